@@ -79,7 +79,8 @@ def session_agg(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
 
 
 def count_tumbling(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], size: int,
-                   aggs: Sequence[Column], ranges: int | None = None) -> DataFrame:
+                   aggs: Sequence[Column], ranges: int | None = None,
+                   bucket: Column | None = None) -> DataFrame:
     """Per key, consecutive groups of ``size`` rows in ``order_by``; only full
     groups are emitted (the trailing partial group never fires). ``group_no`` is 0-based.
 
@@ -87,14 +88,15 @@ def count_tumbling(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     most ``size`` rows, so the final aggregate is evenly spread.
     """
     keys = list(keys)
-    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges)
+    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges, bucket=bucket)
     d = d.withColumn("group_no", F.floor((F.col("_tm_rn") - 1) / size).cast("bigint"))
     g = d.groupBy(*keys, "group_no").agg(F.count(F.lit(1)).alias("_tm_n"), *aggs)
     return g.where(F.col("_tm_n") == size).drop("_tm_n")
 
 
 def count_sliding(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], size: int,
-                  slide: int, aggs: Sequence[Column], ranges: int | None = None) -> DataFrame:
+                  slide: int, aggs: Sequence[Column], ranges: int | None = None,
+                  bucket: Column | None = None) -> DataFrame:
     """Per key, fire on every ``slide``-th row with the last ``size`` rows (up to
     ``size``: the first firings hold fewer). ``fire_seq`` is the row number that fired.
 
@@ -104,7 +106,7 @@ def count_sliding(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], s
     ``fire_seq``.
     """
     keys = list(keys)
-    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges)
+    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges, bucket=bucket)
     fires = F.filter(F.sequence(F.col("_tm_rn"), F.col("_tm_rn") + (size - 1)),
                      lambda f: f % slide == 0)
     d = d.withColumn("fire_seq", F.explode(fires))

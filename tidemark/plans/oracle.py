@@ -59,6 +59,18 @@ FROM ({_CLICKS}) l JOIN ({_PURCHASES}) r
  AND r.purchase_ts BETWEEN l.click_ts - INTERVAL 2 HOUR AND l.click_ts + INTERVAL 2 HOUR
 """
 
+_JOIN_FLAGS = f"""
+u AS (SELECT event_id, user_id, ts, event_type = 'click' AS is_left, {ARRIVAL} AS arrival
+      FROM events WHERE event_type IN ('click', 'purchase')),
+m AS (SELECT *, MAX(CASE WHEN is_left THEN ts END) OVER o AS ml,
+                MAX(CASE WHEN NOT is_left THEN ts END) OVER o AS mr
+      FROM u WINDOW o AS (ORDER BY arrival, event_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, COALESCE(ts < CASE WHEN ml IS NOT NULL AND mr IS NOT NULL
+                                   THEN least(ml, mr) - INTERVAL 30 MINUTE END, FALSE) AS late
+      FROM m)
+"""
+
 ORACLE: dict[str, str] = {
     "word_count": """
 WITH lines AS (SELECT unnest(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS line
@@ -71,10 +83,7 @@ SELECT w AS word, COUNT(*) AS n FROM (SELECT unnest(ws) AS w FROM toks) GROUP BY
 """,
     "line_count": "SELECT event_type AS line, CAST(SUM(1) AS BIGINT) AS n FROM events GROUP BY event_type",
     "parse_users": """
-SELECT event_id, CAST(NULL AS VARCHAR) AS id, event_type AS name, CAST(user_id AS INTEGER) AS age,
-       CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS email,
-       CAST(NULL AS DATE) AS create_time
-FROM events
+SELECT event_id, event_type AS name, CAST(user_id AS INTEGER) AS age FROM events
 """,
     "parse_readings": f"""
 SELECT event_id, event_type AS id, CAST(user_id AS INTEGER) AS vc,
@@ -162,26 +171,20 @@ FROM ({_CLICKS}) l JOIN ({_PURCHASES}) r
     "interval_join": _INTERVAL_JOIN,
     "interval_join_plain": _INTERVAL_JOIN,
     "interval_join_late": f"""
-WITH u AS (SELECT event_id, user_id, ts, event_type = 'click' AS is_left, {ARRIVAL} AS arrival
-           FROM events WHERE event_type IN ('click', 'purchase')),
-m AS (SELECT *, MAX(CASE WHEN is_left THEN ts END) OVER o AS ml,
-                MAX(CASE WHEN NOT is_left THEN ts END) OVER o AS mr
-      FROM u WINDOW o AS (ORDER BY arrival, event_id
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-c AS (SELECT *, COALESCE(ts < CASE WHEN ml IS NOT NULL AND mr IS NOT NULL
-                                   THEN least(ml, mr) - INTERVAL 30 MINUTE END, FALSE) AS late
-      FROM m)
-SELECT 'joined' AS output, l.user_id, l.event_id AS click_id, r.event_id AS purchase_id,
-       l.ts AS click_ts, r.ts AS purchase_ts
+WITH {_JOIN_FLAGS}
+SELECT l.user_id, l.event_id AS click_id, l.ts AS click_ts, r.event_id AS purchase_id,
+       r.ts AS purchase_ts
 FROM c l JOIN c r
   ON l.user_id = r.user_id AND r.ts BETWEEN l.ts - INTERVAL 2 HOUR AND l.ts + INTERVAL 2 HOUR
 WHERE l.is_left AND NOT r.is_left AND NOT l.late AND NOT r.late
-UNION ALL
-SELECT 'left_late', user_id, event_id, CAST(NULL AS BIGINT), ts, CAST(NULL AS TIMESTAMP)
-FROM c WHERE is_left AND late
-UNION ALL
-SELECT 'right_late', user_id, CAST(NULL AS BIGINT), event_id, CAST(NULL AS TIMESTAMP), ts
-FROM c WHERE NOT is_left AND late
+""",
+    "interval_join_late_left": f"""
+WITH {_JOIN_FLAGS}
+SELECT user_id, event_id AS click_id, ts AS click_ts FROM c WHERE is_left AND late
+""",
+    "interval_join_late_right": f"""
+WITH {_JOIN_FLAGS}
+SELECT user_id, event_id AS purchase_id, ts AS purchase_ts FROM c WHERE NOT is_left AND late
 """,
     "running_sum": f"""
 SELECT event_id, user_id,

@@ -5,20 +5,26 @@
 one key (or the whole stream) holds a large share of the rows. The scan below is the
 classic two-level parallel prefix:
 
-1. ``repartitionByRange`` over (keys, order) cuts the data into ``ranges`` contiguous,
-   sample-balanced slices. A hot key simply spans many slices. The slice number
-   (``spark_partition_id`` right after the exchange) is monotone in the order within a key.
+1. Rows are cut into *slices* that are contiguous in the order within each key. A hot
+   key simply spans many slices.
 2. Inside each (key, slice) a normal running window computes the local prefix.
-3. A small summary, one row per (key, slice) -- at most ``ranges`` rows per key -- gives
-   each slice the total of all earlier slices of its key (exclusive running aggregate).
+3. A small summary, one row per (key, slice), gives each slice the total of all earlier
+   slices of its key (an exclusive running aggregate over slice totals).
 4. The summary is joined back on (key, slice) and combined with the local prefix.
 
+Slices come from one of two places:
+
+* ``bucket``: a deterministic column, monotone in the order, with a bound on rows per
+  bucket known to the caller -- e.g. ``floor(event_id / 2**20)`` for a unique id order
+  holds at most 2**20 rows per (key, bucket). No extra shuffle.
+* otherwise ``repartitionByRange`` over (keys, order) into ``ranges`` sample-balanced
+  slices, numbered by ``spark_partition_id``. The range sampler is seeded per RDD, so
+  two separately planned copies of the exchange could cut differently; the sliced rows
+  are therefore checkpointed once (to ``spark.checkpoint.dir``) and both branches read
+  the same slices. This also cuts the lineage, so a lost executor never re-slices.
+
 Only associative aggregates qualify (sum, count, max, min). The order must be total
 (include a unique tie-breaker) for the result to be deterministic.
-
-``repartitionByRange`` with an explicit partition count is never coalesced by AQE, so
-the slice numbers are stable; recomputing a lost shuffle partition reads the same
-bounds, so the scan is safe under executor loss.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import default_ranges
+from tidemark.session import default_ranges, ensure_checkpoint_dir
 
 SLICE = "_tm_slice"
 
@@ -64,14 +70,25 @@ def _combine(kind: str, before: Column, local: Column) -> Column:
     return F.least(before, local)
 
 
+def slice_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
+               ranges: int | None = None) -> DataFrame:
+    """Range-slice ``df`` over (keys, order) and checkpoint it: adds ``SLICE``."""
+    n = ranges or default_ranges(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
+    sliced = (df.repartitionByRange(n, *[F.col(c) for c in list(partition_by) + list(order_by)])
+              .withColumn(SLICE, F.spark_partition_id()))
+    return sliced.checkpoint(eager=True)
+
+
 def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
                 partition_by: Sequence[str] = (), ranges: int | None = None,
-                keep_slice: bool = False) -> DataFrame:
+                keep_slice: bool = False, bucket: Column | None = None) -> DataFrame:
     """Add one column per entry of ``scans``: its running aggregate over ``order_by``
     (ascending) within ``partition_by``.
 
-    If ``df`` already carries a slice column from an earlier scan with the same keys and
-    order (``keep_slice=True``), that slicing is reused and no new range exchange is made.
+    ``bucket`` supplies deterministic slices (see the module notes). If ``df`` already
+    carries a slice column from an earlier scan with the same keys and order
+    (``keep_slice=True``), that slicing is reused.
     """
     keys = list(partition_by)
     order = list(order_by)
@@ -81,10 +98,10 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
 
     if SLICE in df.columns:
         sliced = df
+    elif bucket is not None:
+        sliced = df.withColumn(SLICE, bucket)
     else:
-        n = ranges or default_ranges(df.sparkSession)
-        sliced = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-                  .withColumn(SLICE, F.spark_partition_id()))
+        sliced = slice_rows(df, order, keys, ranges)
 
     local_w = Window.partitionBy(*keys, SLICE).orderBy(*order)
     incl = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -112,15 +129,26 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     out = joined.withColumns({
         name: _combine(s.kind, F.col(f"_tm_before_{name}"), F.col(f"_tm_local_{name}"))
         for name, s in scans.items()})
-    drop = [c for c in out.columns if c.startswith("_tm_") and c != SLICE]
+    drop = [c for c in out.columns
+            if c.startswith(("_tm_local_", "_tm_before_", "_tm_key_", "_tm_tot_"))]
     if not keep_slice:
         drop.append(SLICE)
     return out.drop(*drop)
 
 
 def running_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
-                   name: str = "rn", ranges: int | None = None,
-                   keep_slice: bool = False) -> DataFrame:
+                   name: str = "rn", ranges: int | None = None, keep_slice: bool = False,
+                   bucket: Column | None = None) -> DataFrame:
     """1-based row number in ``order_by`` within ``partition_by`` (a running count)."""
     return prefix_scan(df, order_by, {name: Scan("count", F.lit(1))}, partition_by,
-                       ranges=ranges, keep_slice=keep_slice)
+                       ranges=ranges, keep_slice=keep_slice, bucket=bucket)
+
+
+# Rows per bucket for orders by a unique integer id: at most this many rows of one key
+# share a slice.
+ID_BUCKET_ROWS = 1 << 20
+
+
+def id_buckets(id_col: str, rows: int = ID_BUCKET_ROWS) -> Column:
+    """Deterministic slices for an order by a unique integer id."""
+    return F.floor(F.col(id_col) / rows)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import parse
 from tidemark.functions.time import cents, epoch_micros, interval
 from tidemark.operators import aggregates, joins, lateness, running, topn, windows
+from tidemark.plans.prefix import id_buckets
 from tidemark.sources.tables import table
 
 # Fixed parameters of the query set.
@@ -63,7 +64,9 @@ def line_count(spark, sf):
 
 def parse_users(spark, sf):
     ev = _events(spark, sf).select("event_id", parse.to_line("event_type", "user_id").alias("value"))
-    return ev.select("event_id", *parse.parse_user("value"))
+    users = ev.select("event_id", *parse.parse_user("value"))
+    # The parser leaves id, address, email and create_time null; compare what it reads.
+    return users.select("event_id", "name", "age")
 
 
 def parse_readings(spark, sf):
@@ -129,14 +132,14 @@ def window_count_tumbling(spark, sf):
     ev = _with_cents(_events(spark, sf))
     return windows.count_tumbling(ev, ["user_id"], ["event_id"], 5, [
         F.min("event_id").alias("first_event_id"), F.max("event_id").alias("last_event_id"),
-        F.sum("cents").alias("cents")])
+        F.sum("cents").alias("cents")], bucket=id_buckets("event_id"))
 
 
 def window_count_sliding(spark, sf):
     ev = _with_cents(_events(spark, sf))
     return windows.count_sliding(ev, ["user_id"], ["event_id"], 5, 2, [
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
-        F.sum("cents").alias("cents")])
+        F.sum("cents").alias("cents")], bucket=id_buckets("event_id"))
 
 
 def window_reduce(spark, sf):
@@ -198,7 +201,7 @@ def interval_join_plain(spark, sf):
                                JOIN_BOUND, JOIN_BOUND, bucketed=False)
 
 
-def interval_join_late(spark, sf):
+def _join_sides_flagged(spark, sf):
     ev = _with_arrival(_events(spark, sf))
     clicks = ev.where(F.col("event_type") == "click").select(
         "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"),
@@ -206,23 +209,27 @@ def interval_join_late(spark, sf):
     purchases = ev.where(F.col("event_type") == "purchase").select(
         "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"),
         "event_id", "arrival")
-    l, r = lateness.join_lateness(clicks, purchases, "click_ts", "purchase_ts", ARRIVAL, DELAY)
-    keep_l = ["user_id", "click_id", "click_ts"]
-    keep_r = ["user_id", "purchase_id", "purchase_ts"]
-    joined = joins.interval_join(l.where(~F.col("late")).select(*keep_l),
-                                 r.where(~F.col("late")).select(*keep_r),
-                                 "user_id", "click_ts", "purchase_ts", JOIN_BOUND, JOIN_BOUND)
-    out = ["output", "user_id", "click_id", "purchase_id", "click_ts", "purchase_ts"]
-    joined = joined.withColumn("output", F.lit("joined")).select(*out)
-    left_late = (l.where(F.col("late")).select(*keep_l)
-                 .withColumn("output", F.lit("left_late"))
-                 .withColumn("purchase_id", F.lit(None).cast("bigint"))
-                 .withColumn("purchase_ts", F.lit(None).cast("timestamp_ntz")).select(*out))
-    right_late = (r.where(F.col("late")).select(*keep_r)
-                  .withColumn("output", F.lit("right_late"))
-                  .withColumn("click_id", F.lit(None).cast("bigint"))
-                  .withColumn("click_ts", F.lit(None).cast("timestamp_ntz")).select(*out))
-    return joined.unionByName(left_late).unionByName(right_late)
+    return lateness.join_lateness(clicks, purchases, "click_ts", "purchase_ts", ARRIVAL, DELAY)
+
+
+def interval_join_late(spark, sf):
+    """J3 main output: pairs within +-2 h whose two rows are both not late."""
+    l, r = _join_sides_flagged(spark, sf)
+    return joins.interval_join(l.where(~F.col("late")).select("user_id", "click_id", "click_ts"),
+                               r.where(~F.col("late")).select("user_id", "purchase_id", "purchase_ts"),
+                               "user_id", "click_ts", "purchase_ts", JOIN_BOUND, JOIN_BOUND)
+
+
+def interval_join_late_left(spark, sf):
+    """J3 / L7 side output: late rows of the left (click) input."""
+    l, _ = _join_sides_flagged(spark, sf)
+    return l.where(F.col("late")).select("user_id", "click_id", "click_ts")
+
+
+def interval_join_late_right(spark, sf):
+    """J3 / L7 side output: late rows of the right (purchase) input."""
+    _, r = _join_sides_flagged(spark, sf)
+    return r.where(F.col("late")).select("user_id", "purchase_id", "purchase_ts")
 
 # --------------------------------------------------------------------------- state
 
@@ -230,18 +237,19 @@ def interval_join_late(spark, sf):
 def running_sum(spark, sf):
     ev = _with_cents(_events(spark, sf)).select("event_id", "user_id", "cents")
     return running.running_sum(ev, ["user_id"], ["event_id"], "cents",
-                               name="running_cents").drop("cents")
+                               name="running_cents", bucket=id_buckets("event_id")).drop("cents")
 
 
 def running_count(spark, sf):
     ev = _events(spark, sf).select("event_id", "user_id", "event_type")
-    return running.running_count(ev, ["user_id", "event_type"], ["event_id"], name="running_n")
+    return running.running_count(ev, ["user_id", "event_type"], ["event_id"], name="running_n",
+                                 bucket=id_buckets("event_id"))
 
 
 def running_avg(spark, sf):
     ev = _with_cents(_events(spark, sf)).select("event_id", "user_id", "cents")
     return running.running_avg(ev, ["user_id"], ["event_id"], "cents",
-                               name="running_avg_cents").drop("cents")
+                               name="running_avg_cents", bucket=id_buckets("event_id")).drop("cents")
 
 
 def window_top_n(spark, sf):
@@ -292,6 +300,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join": interval_join,
     "interval_join_plain": interval_join_plain,
     "interval_join_late": interval_join_late,
+    "interval_join_late_left": interval_join_late_left,
+    "interval_join_late_right": interval_join_late_right,
     "running_sum": running_sum,
     "running_count": running_count,
     "running_avg": running_avg,
