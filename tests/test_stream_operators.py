@@ -1,0 +1,107 @@
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from fixtures import HELLO_LINES, INTERVAL_JOIN_RIGHT, JOIN_EXPECTED, JOIN_LEFT, WINDOW_JOIN_RIGHT
+from streamutil import json_stream, run_to_memory, write_batches
+from tidemark.functions import parse
+from tidemark.operators import aggregates, topn, windows
+from tidemark.streaming import operators as so
+from tidemark.streaming import sources
+from tidemark.streaming.run import run_bounded
+
+
+def test_text_stream_word_count_equals_batch(spark, scratch):
+    src = os.path.join(scratch, "txt")
+    os.makedirs(src)
+    for i, chunk in enumerate([HELLO_LINES[:2], HELLO_LINES[2:], ["hello  there ", ""]]):
+        p = os.path.join(src, f"f{i}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(chunk))
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    stream = sources.text_stream(spark, src, max_files_per_trigger=1)
+    counts = so.running_counts(parse.word_pairs(stream), ["word"], "n")
+    got = run_to_memory(counts, os.path.join(scratch, "ck"), mode="complete")
+    batch = aggregates.word_count(spark.read.text(src))
+    assert rows(got, "word", "n") == rows(batch, "word", "n")
+
+
+def test_windowed_stream_equals_batch_for_closed_windows(spark, scratch):
+    recs = [{"k": "a" if i % 3 else "b", "t": t} for i, t in enumerate(range(0, 60, 2))]
+    src = os.path.join(scratch, "in")
+    write_batches(src, [recs[i:i + 7] for i in range(0, len(recs), 7)])
+    df = json_stream(spark, src, "k string, t long")
+    ev = so.with_event_time(df, "ts", "0 seconds", F.timestamp_seconds("t"))
+    out = run_to_memory(so.windowed(ev, ["k"], windows.tumbling("ts", "10 seconds"),
+                                    [F.count("*").alias("n")]), os.path.join(scratch, "ck"))
+    static = spark.read.schema("k string, t long").json(src).withColumn("ts", F.timestamp_seconds("t"))
+    batch = windows.window_agg(static, ["k"], windows.tumbling("ts", "10 seconds"), [F.count("*").alias("n")])
+    # append mode releases a window once the watermark passes its end: all but the last
+    closed = batch.where(F.col("window_end") <= F.timestamp_seconds(F.lit(58)))
+    assert rows(out, "k", "window_start", "n") == rows(closed, "k", "window_start", "n")
+
+
+def test_session_window_stream_complete_mode(spark, scratch):
+    recs = [{"k": "a", "t": t} for t in (0, 12, 25)]
+    src = os.path.join(scratch, "in")
+    write_batches(src, [recs[:1], recs[1:]])
+    df = json_stream(spark, src, "k string, t long")
+    ev = so.with_event_time(df, "ts", "1 hour", F.timestamp_seconds("t"))
+    agg = ev.groupBy("k", windows.session("ts", "12 seconds").alias("s")).agg(F.count("*").alias("n"))
+    out = run_to_memory(agg, os.path.join(scratch, "ck"), mode="complete")
+    got = sorted((r.s.start.second, r.s.end.second, r.n) for r in out.collect())
+    assert got == [(0, 24, 2), (25, 37, 1)]
+
+
+def _join_streams(spark, scratch, left, right):
+    ls, rs = os.path.join(scratch, "l"), os.path.join(scratch, "r")
+    write_batches(ls, [[{"k": k, "lt": t} for k, t in left]])
+    write_batches(rs, [[{"k": k, "rt": t, "v": v} for k, t, v in right]])
+    l = so.with_event_time(json_stream(spark, ls, "k string, lt long"), "lts", "10 seconds",
+                           F.timestamp_seconds("lt"))
+    r = so.with_event_time(json_stream(spark, rs, "k string, rt long, v long"), "rts", "10 seconds",
+                           F.timestamp_seconds("rt"))
+    return l, r
+
+
+def test_stream_interval_join_literals(spark, scratch):
+    l, r = _join_streams(spark, scratch, JOIN_LEFT, INTERVAL_JOIN_RIGHT)
+    j = so.interval_join(l, r, "k", "lts", "rts", "2 seconds", "2 seconds")
+    out = run_to_memory(j, os.path.join(scratch, "ck"))
+    assert rows(out, "k", "lt", "rt", "v") == JOIN_EXPECTED
+
+
+def test_stream_window_join_literals(spark, scratch):
+    l, r = _join_streams(spark, scratch, JOIN_LEFT, WINDOW_JOIN_RIGHT)
+    j = so.window_join(l, r, "k", "lts", "rts", "5 seconds")
+    out = run_to_memory(j, os.path.join(scratch, "ck"))
+    assert rows(out, "k", "lt", "rt", "v") == JOIN_EXPECTED
+
+
+def test_stream_top_n_per_window(spark, scratch):
+    recs = [{"k": k, "t": t} for t, k in enumerate("aabbbcaaddddbb" * 3)]
+    src = os.path.join(scratch, "in")
+    write_batches(src, [recs[i:i + 10] for i in range(0, len(recs), 10)])
+    df = json_stream(spark, src, "k string, t long")
+    ev = so.with_event_time(df, "ts", "0 seconds", F.timestamp_seconds("t"))
+    counts = so.windowed(ev, ["k"], windows.sliding("ts", "10 seconds", "5 seconds"), [F.count("*").alias("n")])
+    out_dir = os.path.join(scratch, "top")
+    writer = so.top_n_writer(["window_start", "window_end"], [F.col("n").desc(), F.col("k").asc()], 2, ["k"],
+                             lambda d, b: d.write.mode("overwrite").parquet(os.path.join(out_dir, f"b={b}")))
+    run_bounded(counts, foreach_batch=writer, checkpoint=os.path.join(scratch, "ck"))
+    got = spark.read.parquet(out_dir)
+    static = spark.read.schema("k string, t long").json(src).withColumn("ts", F.timestamp_seconds("t"))
+    bc = windows.window_agg(static, ["k"], windows.sliding("ts", "10 seconds", "5 seconds"), [F.count("*").alias("n")])
+    expected = topn.top_n(bc, ["window_start", "window_end"], [F.col("n").desc(), F.col("k").asc()], 2, ["k"])
+    closed = expected.where(F.col("window_end") <= F.lit(max(r["t"] for r in recs)).cast("timestamp"))
+    cols = ("window_start", "rank", "k", "n")
+    assert rows(got, *cols) == rows(closed, *cols)
+
+
+def test_generator_batch_and_topic_options(spark):
+    gen = sources.generator_batch(spark, 99_999, partitions=8)
+    assert gen.count() == 99_999
+    assert gen.where(F.col("value") == "输入数字为：99998").count() == 1
+    opts = sources.topic_options("broker:9092", "test")
+    assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "test", "startingOffsets": "latest"}

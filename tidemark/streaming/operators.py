@@ -47,14 +47,19 @@ def running_counts(lines_or_pairs: DataFrame, keys: Sequence[str], value: str |
 
 def window_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
                 size: str) -> DataFrame:
-    """J1 on two watermarked streams: equality on key and on the tumbling window."""
-    l = left.withColumn("_tm_lw", F.window(left_ts, size))
-    r = right.withColumnRenamed(on, "_tm_rkey").withColumn("_tm_rw", F.window(right_ts, size))
-    j = l.join(r, (l[on] == r["_tm_rkey"]) & (l["_tm_lw"] == r["_tm_rw"]), "inner")
+    """J1 on two watermarked streams: equality on key and window start. The redundant
+    bound ``|right_ts - left_ts| < size`` (true for any same-window pair) lets Spark evict
+    each side's state once the other side's watermark has passed."""
+    l = left.withColumn("window_start", F.window(left_ts, size).start)
+    r = (right.withColumnRenamed(on, "_tm_rkey")
+         .withColumn("_tm_rws", F.window(right_ts, size).start))
+    cond = ((l[on] == r["_tm_rkey"]) & (l["window_start"] == r["_tm_rws"])
+            & (r[right_ts] > l[left_ts] - interval(size)) & (r[right_ts] < l[left_ts] + interval(size)))
+    j = l.join(r, cond, "inner")
     rest_l = [c for c in left.columns if c != on]
     rest_r = [c for c in right.columns if c != on]
-    return j.select(on, F.col("_tm_lw.start").alias("window_start"),
-                    F.col("_tm_lw.end").alias("window_end"), *rest_l, *rest_r)
+    return j.select(on, "window_start", (F.col("window_start") + interval(size)).alias("window_end"),
+                    *rest_l, *rest_r)
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
