@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.parse import lines_of, tokens
 from tidemark.operators.windows import window_agg
+from tidemark.plans.partitioning import spread
 
 
 def word_count(df: DataFrame, text: str = "value", whole_texts: bool = False) -> DataFrame:
@@ -24,8 +25,9 @@ def word_count(df: DataFrame, text: str = "value", whole_texts: bool = False) ->
     With ``whole_texts`` each value is a whole multi-line text (for example a document),
     split into lines first. Every line and every word is counted; nothing is truncated.
     """
-    lines = df.select(F.explode(lines_of(text)).alias("_tm_line")) if whole_texts \
-        else df.select(F.col(text).alias("_tm_line"))
+    src = spread(df.select(text))
+    lines = src.select(F.explode(lines_of(text)).alias("_tm_line")) if whole_texts \
+        else src.select(F.col(text).alias("_tm_line"))
     words = lines.select(F.explode(tokens("_tm_line")).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
