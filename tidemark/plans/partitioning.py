@@ -17,3 +17,4 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+

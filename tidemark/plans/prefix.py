@@ -20,8 +20,8 @@ Slices come from one of two places:
 * otherwise ``repartitionByRange`` over (keys, order) into ``ranges`` sample-balanced
   slices, numbered by ``spark_partition_id``. The range sampler is seeded per RDD, so
   two separately planned copies of the exchange could cut differently; the sliced rows
-  are therefore checkpointed once (to ``spark.checkpoint.dir``) and both branches read
-  the same slices. This also cuts the lineage, so a lost executor never re-slices.
+  are therefore checkpointed once (to the shared ``spark.checkpoint.dir``) and both
+  branches read the same slices. This also cuts the lineage, so a lost executor never re-slices.
 
 Only associative aggregates qualify (sum, count, max, min). The order must be total
 (include a unique tie-breaker) for the result to be deterministic.
