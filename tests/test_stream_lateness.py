@@ -99,3 +99,37 @@ def test_stream_lateness_restart(spark, scratch):
     assert [r.lateness for r in out["classified"].orderBy("seq").collect()] == OOO_CLASS
     got = sorted((int(r.window_start.timestamp()), r.firing, r.n) for r in out["firings"].collect())
     assert got == [(0, 0, 3), (0, 1, 4), (10, 0, 3), (20, 0, 1), (40, 0, 1)]
+
+
+@pytest.mark.parametrize("sizes", [[10_000], [1, 30, 2, 100, 60], [40] * 20])
+def test_stream_interval_join_late_equals_batch(spark, scratch, sizes):
+    from tidemark.operators import joins
+    from tidemark.streaming.lateness import IntervalJoinLateOperator
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where(
+        F.col("event_type").isin("click", "purchase"))
+    arr = F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") * 7919 % 7200) * 1_000_000
+    recs = (ev.select(F.when(F.col("event_type") == "click", "L").otherwise("R").alias("side"),
+                      "user_id", "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                      arr.alias("arrival")).orderBy("arrival", "event_id").collect())
+    data = [r.asDict() for r in recs]
+    tag = "j" + "_".join(map(str, sizes[:3]))
+    src = os.path.join(scratch, f"in-{tag}")
+    write_batches(src, split(data, sizes))
+    schema = "side string, user_id long, event_id long, ts timestamp, arrival long"
+    op = IntervalJoinLateOperator(os.path.join(scratch, f"st-{tag}"), os.path.join(scratch, f"out-{tag}"),
+                                  "user_id", "ts", ["arrival", "event_id"], ["event_id"],
+                                  "2 hours", "2 hours", "30 minutes")
+    run_bounded(json_stream(spark, src, schema), foreach_batch=op, checkpoint=os.path.join(scratch, f"ck-{tag}"))
+    out = op.outputs(spark)
+
+    static = spark.read.schema(schema).json(src)
+    l, r = lateness.join_lateness(static.where(F.col("side") == "L"), static.where(F.col("side") == "R"),
+                                  "ts", "ts", ["arrival", "event_id"], "30 minutes")
+    assert rows(out["left_late"], "event_id") == rows(l.where("late"), "event_id")
+    assert rows(out["right_late"], "event_id") == rows(r.where("late"), "event_id")
+    lj = l.where(~F.col("late")).select("user_id", F.col("event_id").alias("l_event_id"), F.col("ts").alias("l_ts"))
+    rj = r.where(~F.col("late")).select("user_id", F.col("event_id").alias("r_event_id"), F.col("ts").alias("r_ts"))
+    expected = joins.interval_join(lj, rj, "user_id", "l_ts", "r_ts", "2 hours", "2 hours")
+    assert rows(out["joined"], "l_event_id", "r_event_id") == rows(expected, "l_event_id", "r_event_id")
+    assert expected.count() > 0 and l.where("late").count() > 0

@@ -157,3 +157,100 @@ class LatenessOperator:
             except AnalysisException:
                 out[name] = None
         return out
+
+
+class IntervalJoinLateOperator:
+    """J3 / L7 on a stream, exactly: an interval join of two inputs whose late rows go
+    to per-side outputs, as the batch ``join_lateness`` + ``interval_join`` define it.
+
+    The input is one stream carrying both sides (``side`` = ``"L"`` or ``"R"``; a union of
+    two sources), with the key, the event time ``ts``, the arrival order columns and
+    payload columns. Per micro-batch:
+
+    * each row meets the joint watermark ``min(max left ts, max right ts) - delay`` of the
+      rows before it (carried across batches, prefix maximum inside the batch) and is
+      late if its time is below it;
+    * non-late rows join the other side's buffered and new non-late rows, so every pair
+      is produced once, in the batch where its later row arrives;
+    * a buffered row is dropped once no future non-late row can reach it: left rows when
+      ``ts + upper < wm``, right rows when ``ts + lower < wm`` (the watermark never moves
+      back), so the buffers hold only the retention horizon.
+    """
+
+    def __init__(self, state_dir: str, out_dir: str, key: str, ts: str, arrival: Sequence[str],
+                 payload: Sequence[str], lower: str, upper: str, delay: str, side: str = "side",
+                 ranges: int | None = None):
+        self.state_dir, self.out_dir = state_dir, out_dir
+        self.key, self.ts, self.arrival, self.payload = key, ts, list(arrival), list(payload)
+        self.lower, self.upper, self.delay, self.side, self.ranges = lower, upper, delay, side, ranges
+        self.cols = [key, ts, *self.payload]
+
+    def _previous(self, spark: SparkSession, batch_id: int):
+        try:
+            meta = spark.read.parquet(_join(self.state_dir, "meta"))
+        except AnalysisException:
+            return None, None, None
+        row = meta.where(F.col("v") < batch_id).orderBy(F.col("v").desc()).limit(1).collect()
+        return (row[0]["v"], row[0]["max_l"], row[0]["max_r"]) if row else (None, None, None)
+
+    def _buffer(self, spark: SparkSession, version, name: str, like: DataFrame) -> DataFrame:
+        if version is None:
+            return like.select(*self.cols).limit(0)
+        return spark.read.parquet(_join(self.state_dir, name, f"v={version}"))
+
+    def _pairs(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        from tidemark.operators.joins import interval_join
+
+        l = left.select(self.key, *[F.col(c).alias(f"l_{c}") for c in [self.ts, *self.payload]])
+        r = right.select(self.key, *[F.col(c).alias(f"r_{c}") for c in [self.ts, *self.payload]])
+        return interval_join(l, r, self.key, f"l_{self.ts}", f"r_{self.ts}", self.lower, self.upper)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev_v, max_l, max_r = self._previous(spark, batch_id)
+        ts = F.col(self.ts)
+        ts_type = batch.schema[self.ts].dataType
+        is_left = F.col(self.side) == "L"
+        us = F.unix_micros(ts.cast("timestamp"))
+        rows = prefix_scan(batch, self.arrival, {
+            "_tm_ml": Scan("max", F.when(is_left, us), inclusive=False),
+            "_tm_mr": Scan("max", F.when(~is_left, us), inclusive=False)}, ranges=self.ranges)
+        ml = F.greatest(F.lit(max_l).cast("bigint"), F.col("_tm_ml"))
+        mr = F.greatest(F.lit(max_r).cast("bigint"), F.col("_tm_mr"))
+        wm = F.when(ml.isNotNull() & mr.isNotNull(),
+                    F.timestamp_micros(F.least(ml, mr)).cast(ts_type) - interval(self.delay))
+        rows = (rows.withColumn("late", F.coalesce(ts < wm, F.lit(False)))
+                .drop("_tm_ml", "_tm_mr").checkpoint(eager=True))
+
+        m = rows.agg(F.max(F.when(is_left, us)).alias("l"), F.max(F.when(~is_left, us)).alias("r")).collect()[0]
+        new_l = max([x for x in (max_l, m["l"]) if x is not None], default=None)
+        new_r = max([x for x in (max_r, m["r"]) if x is not None], default=None)
+
+        fresh_l = rows.where(is_left & ~F.col("late")).select(*self.cols)
+        fresh_r = rows.where(~is_left & ~F.col("late")).select(*self.cols)
+        buf_l = self._buffer(spark, prev_v, "left", rows)
+        buf_r = self._buffer(spark, prev_v, "right", rows)
+        pairs = self._pairs(buf_l.unionByName(fresh_l), fresh_r).unionByName(self._pairs(fresh_l, buf_r))
+
+        pairs.write.mode("overwrite").parquet(_join(self.out_dir, "joined", f"batch={batch_id}"))
+        for tag, cond in (("left_late", is_left), ("right_late", ~is_left)):
+            rows.where(cond & F.col("late")).select(*self.cols).write.mode("overwrite").parquet(
+                _join(self.out_dir, tag, f"batch={batch_id}"))
+        keep_l, keep_r = buf_l.unionByName(fresh_l), buf_r.unionByName(fresh_r)
+        if new_l is not None and new_r is not None:
+            wm_now = F.timestamp_micros(F.lit(min(new_l, new_r))).cast(ts_type) - interval(self.delay)
+            keep_l = keep_l.where(ts + interval(self.upper) >= wm_now)
+            keep_r = keep_r.where(ts + interval(self.lower) >= wm_now)
+        keep_l.write.mode("overwrite").parquet(_join(self.state_dir, "left", f"v={batch_id}"))
+        keep_r.write.mode("overwrite").parquet(_join(self.state_dir, "right", f"v={batch_id}"))
+        spark.createDataFrame([(new_l, new_r)], "max_l bigint, max_r bigint").write.mode(
+            "overwrite").parquet(_join(self.state_dir, "meta", f"v={batch_id}"))
+
+    def outputs(self, spark: SparkSession) -> dict[str, DataFrame]:
+        out = {}
+        for name in ("joined", "left_late", "right_late"):
+            try:
+                out[name] = spark.read.parquet(_join(self.out_dir, name)).drop("batch")
+            except AnalysisException:
+                out[name] = None
+        return out
