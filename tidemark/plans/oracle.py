@@ -89,6 +89,15 @@ SELECT event_id, event_type AS name, CAST(user_id AS INTEGER) AS age FROM events
 SELECT event_id, event_type AS id, CAST(user_id AS INTEGER) AS vc,
        CAST({CENTS} % 100 AS INTEGER) AS count
 FROM events
+""",
+    "parse_pairs": """
+SELECT event_id, CAST(user_id AS VARCHAR) AS k, CAST(epoch_us(ts) // 1000000 AS INTEGER) AS t
+FROM events
+""",
+    "parse_triples": f"""
+SELECT event_id, CAST(user_id AS VARCHAR) AS k, CAST(epoch_us(ts) // 1000000 AS INTEGER) AS t,
+       CAST({CENTS} % 100 AS INTEGER) AS v
+FROM events
 """,
     "filter_gt": "SELECT event_id, user_id, value FROM events WHERE value > 18",
     "generate_rows": """
@@ -215,6 +224,10 @@ FROM r WHERE rk <= 2
     "late_events": f"""
 WITH {_CLASSIFIED}
 SELECT event_id, event_type, ts, arrival, window_start, window_end, wm, lateness FROM c
+""",
+    "late_rows": f"""
+WITH {_CLASSIFIED}
+SELECT event_id, event_type, ts, window_start, window_end, wm FROM c WHERE lateness = 'late'
 """,
     "window_refinements": f"""
 WITH {_CLASSIFIED},

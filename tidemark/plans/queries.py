@@ -76,6 +76,22 @@ def parse_readings(spark, sf):
     return lines.select("event_id", *parse.parse_reading("value"))
 
 
+def parse_pairs(spark, sf):
+    """``"k,t"`` lines (user, event second) parsed back."""
+    ev = _events(spark, sf)
+    t = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lines = ev.select("event_id", parse.to_line("user_id", t).alias("value"))
+    return lines.select("event_id", *parse.parse_pair("value"))
+
+
+def parse_triples(spark, sf):
+    """``"k,t,v"`` lines parsed back."""
+    ev = _with_cents(_events(spark, sf))
+    t = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lines = ev.select("event_id", parse.to_line("user_id", t, F.col("cents") % 100).alias("value"))
+    return lines.select("event_id", *parse.parse_triple("value"))
+
+
 def filter_gt(spark, sf):
     ev = _events(spark, sf)
     return ev.where(F.col("value") > 18).select("event_id", "user_id", "value")
@@ -273,6 +289,12 @@ def late_events(spark, sf):
                                          "window_start", "window_end", "wm", "lateness")
 
 
+def late_rows(spark, sf):
+    """L6 side output alone: the rows past the allowed lateness."""
+    late = lateness.side_outputs(_classified(spark, sf))["late"]
+    return late.select("event_id", "event_type", "ts", "window_start", "window_end", "wm")
+
+
 def window_refinements(spark, sf):
     return lateness.refinements(_classified(spark, sf), ["event_type"], ARRIVAL)
 
@@ -282,6 +304,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_count": line_count,
     "parse_users": parse_users,
     "parse_readings": parse_readings,
+    "parse_pairs": parse_pairs,
+    "parse_triples": parse_triples,
     "filter_gt": filter_gt,
     "generate_rows": generate_rows,
     "window_tumbling": window_tumbling,
@@ -307,5 +331,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_avg": running_avg,
     "window_top_n": window_top_n,
     "late_events": late_events,
+    "late_rows": late_rows,
     "window_refinements": window_refinements,
 }
