@@ -42,14 +42,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared (distributed) folder and is used as is.
-    Only when it is unset, as in local tests, a scratch folder is created and set.
+    On a cluster this setting names a shared (distributed) folder and is used as is; if it
+    is missing there, this fails rather than write to a machine-local folder. Only in
+    local mode (tests, benchmarks) a scratch folder is created and set when it is unset.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...): "
+                             "ordered scans and stream operators cut lineage there")
         current = fallback or tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
