@@ -67,5 +67,17 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
 
 
 def default_ranges(spark: SparkSession) -> int:
-    """Number of range partitions used by ordered scans: the shuffle partition count."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Number of range slices used by ordered scans: ``tidemark.scan.ranges`` if set
+    (size it so that a slice fits a task: input bytes / ~256 MB), else the shuffle
+    partition count."""
+    v = spark.conf.get("tidemark.scan.ranges", None)
+    return int(v) if v else int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on whatever file system it names (local, HDFS, S3)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)

@@ -33,12 +33,25 @@ from pyspark.sql.utils import AnalysisException
 from tidemark.functions.time import interval
 from tidemark.operators.lateness import ALLOWED_LATE, LATE, ON_TIME
 from tidemark.plans.prefix import Scan, prefix_scan
+from tidemark.session import delete_path
+
+# State versions kept behind the newest committed one (a replay needs the one before it).
+KEEP_VERSIONS = 2
 
 
 def _join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if "://" in base else os.path.join(base, *parts)
 
 
+def _prune(spark: SparkSession, state_dir: str, parts: Sequence[str], batch_id: int) -> None:
+    """Drop the state version that fell out of the retention window. Only versions older
+    than the one a replay of the current batch would read are removed."""
+    old = batch_id - KEEP_VERSIONS - 1
+    if old >= 0:
+        for part in parts:
+            delete_path(spark, _join(state_dir, part, f"v={old}"))
+
+
 class LatenessOperator:
     """Use as ``stream.writeStream.foreachBatch(op)``; after a bounded input ends, call
     :meth:`flush` to fire the windows the final watermark closes, then read
@@ -133,6 +146,7 @@ class LatenessOperator:
             _join(self.state_dir, "windows", f"v={batch_id}"))
         spark.createDataFrame([(new_max,)], "max_us bigint") \
             .write.mode("overwrite").parquet(_join(self.state_dir, "meta", f"v={batch_id}"))
+        _prune(spark, self.state_dir, ["windows", "meta"], batch_id)
 
     # ------------------------------------------------------------------ end of input
     def flush(self, spark: SparkSession) -> None:
@@ -245,6 +259,7 @@ class IntervalJoinLateOperator:
         keep_r.write.mode("overwrite").parquet(_join(self.state_dir, "right", f"v={batch_id}"))
         spark.createDataFrame([(new_l, new_r)], "max_l bigint, max_r bigint").write.mode(
             "overwrite").parquet(_join(self.state_dir, "meta", f"v={batch_id}"))
+        _prune(spark, self.state_dir, ["left", "right", "meta"], batch_id)
 
     def outputs(self, spark: SparkSession) -> dict[str, DataFrame]:
         out = {}
