@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.formats import aggregate_result_text
 from tidemark.functions.parse import lines_of, tokens
 from tidemark.operators.windows import window_agg
 from tidemark.plans.partitioning import spread
@@ -62,9 +63,9 @@ def window_reduce(df: DataFrame, keys: Sequence[str], window: Column, seq: str,
 
 def window_aggregate(df: DataFrame, keys: Sequence[str], window: Column,
                      aggregate: Column, as_text: bool = False, name: str = "result") -> DataFrame:
-    """A5: an incremental (mergeable) aggregate per key and window; the result may be
-    rendered as text like the reference's ``getResult``."""
-    agg = aggregate.cast("string") if as_text else aggregate
+    """A5: an incremental (mergeable) aggregate per key and window; with ``as_text`` the
+    result is rendered like the reference's ``getResult``."""
+    agg = aggregate_result_text(aggregate) if as_text else aggregate
     return window_agg(df, keys, window, [agg.alias(name)])
 
 

@@ -155,7 +155,7 @@ FROM events GROUP BY ALL
     "window_aggregate": f"""
 SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-       CAST(CAST(SUM({CENTS}) AS BIGINT) AS VARCHAR) AS result
+       '最终结果的输出为：' || CAST(CAST(SUM({CENTS}) AS BIGINT) AS VARCHAR) AS result
 FROM events GROUP BY ALL
 """,
     "window_agg_process": _HOURLY_BY_USER,
