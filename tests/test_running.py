@@ -70,3 +70,15 @@ def test_top_n_salted_exact(spark):
         best = sorted([(-n, k) for ww, k, n in data if ww == w])[:3]
         expected += [(w, i + 1, k, -nn) for i, (nn, k) in enumerate(best)]
     assert rows(got, "w", "rank", "k", "n") == sorted(expected)
+
+
+def test_prefix_scan_null_key_is_its_own_group(spark):
+    data = [(i, None if i % 3 == 0 else "a", 1) for i in range(60)]
+    df = spark.createDataFrame(data, "seq long, k string, v long")
+    got = prefix_scan(df, ["seq"], {"c": Scan("sum", F.col("v"))}, partition_by=["k"], ranges=5)
+    seen = {}
+    expected = []
+    for i, k, _ in data:
+        seen[k] = seen.get(k, 0) + 1
+        expected.append((i, seen[k]))
+    assert rows(got, "seq", "c") == expected

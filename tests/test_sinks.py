@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from conftest import rows
 from fixtures import HELLO_LINES, USER_LINES
 from streamutil import json_stream, write_batches
-from tidemark.functions import parse
 from tidemark.streaming import sinks
 from tidemark.streaming.run import run_bounded
 

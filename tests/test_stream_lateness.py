@@ -85,7 +85,6 @@ def test_stream_lateness_restart(spark, scratch):
     ck = os.path.join(scratch, "ckpt-r")
     run_bounded(json_stream(spark, src, SCHEMA), foreach_batch=op, checkpoint=ck)
     # more input arrives; a new query run resumes from the offsets and the state versions
-    from streamutil import write_batches as wb
     import json, time
     for j, batch in enumerate(split(recs[5:], [1, 4])):
         p = os.path.join(src, f"part-later-{j}.json")

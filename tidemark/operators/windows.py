@@ -32,10 +32,6 @@ def session(ts: str | Column, gap: str | Column) -> Column:
     return F.session_window(col(ts), gap)
 
 
-def _agg_names(aggs: Sequence[Column], frame: DataFrame, skip: Sequence[str]) -> list[str]:
-    return [c for c in frame.columns if c not in skip]
-
-
 def window_agg(df: DataFrame, keys: Sequence[str], window: Column,
                aggs: Sequence[Column]) -> DataFrame:
     """Keyed (or, with no keys, all-row: W8) windowed aggregate, flattened to
@@ -46,7 +42,7 @@ def window_agg(df: DataFrame, keys: Sequence[str], window: Column,
     """
     keys = list(keys)
     g = df.groupBy(*keys, window.alias("_tm_w")).agg(*aggs)
-    rest = _agg_names(aggs, g, keys + ["_tm_w"])
+    rest = [c for c in g.columns if c not in keys + ["_tm_w"]]
     return g.select(*keys, F.col("_tm_w.start").alias("window_start"),
                     F.col("_tm_w.end").alias("window_end"), *rest)
 

@@ -34,6 +34,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import default_ranges, ensure_checkpoint_dir
 
@@ -103,39 +104,65 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     else:
         sliced = slice_rows(df, order, keys, ranges)
 
-    local_w = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    # Null-safe grouping columns shared by the local window, the summary and the join:
+    # the join then reuses the window's hash partitioning instead of shuffling the rows
+    # again when the summary is too large to broadcast.
+    gexprs = _group_columns(sliced, keys)
+    gcols = list(gexprs)
+    part = gcols + [SLICE]
+    sliced = sliced.withColumns(gexprs)
+
+    local_w = Window.partitionBy(*part).orderBy(*order)
     incl = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     excl = local_w.rowsBetween(Window.unboundedPreceding, -1)
-
     local_cols = {f"_tm_local_{name}": _LOCAL[s.kind](s.expr).over(incl if s.inclusive else excl)
                   for name, s in scans.items()}
     with_local = sliced.withColumns(local_cols)
 
-    # One row per (key, slice): the slice's total for every scan.
-    totals = sliced.groupBy(*keys, SLICE).agg(
+    # One row per (key, slice): the slice's total for every scan, then the total of all
+    # earlier slices of the same key.
+    totals = sliced.groupBy(*part).agg(
         *[_LOCAL[s.kind](s.expr).alias(f"_tm_tot_{name}") for name, s in scans.items()])
-    before_w = (Window.partitionBy(*keys).orderBy(SLICE)
+    before_w = (Window.partitionBy(*gcols).orderBy(SLICE)
                 .rowsBetween(Window.unboundedPreceding, -1))
     before = totals.select(
-        *[F.col(k).alias(f"_tm_key_{i}") for i, k in enumerate(keys)],
-        F.col(SLICE).alias("_tm_key_slice"),
-        *[_ACROSS[s.kind](F.col(f"_tm_tot_{name}")).over(before_w).alias(f"_tm_before_{name}")
-          for name, s in scans.items()])
-
-    cond = [with_local[SLICE] == before["_tm_key_slice"]]
-    cond += [with_local[k].eqNullSafe(before[f"_tm_key_{i}"]) for i, k in enumerate(keys)]
-    joined = with_local.join(before, on=cond, how="left")
+        *part, *[_ACROSS[s.kind](F.col(f"_tm_tot_{name}")).over(before_w).alias(f"_tm_before_{name}")
+                 for name, s in scans.items()])
 
+    joined = with_local.join(before, on=part, how="left")
     out = joined.withColumns({
         name: _combine(s.kind, F.col(f"_tm_before_{name}"), F.col(f"_tm_local_{name}"))
         for name, s in scans.items()})
-    drop = [c for c in out.columns
-            if c.startswith(("_tm_local_", "_tm_before_", "_tm_key_", "_tm_tot_"))]
+    drop = gcols + [c for c in out.columns if c.startswith(("_tm_local_", "_tm_before_"))]
     if not keep_slice:
         drop.append(SLICE)
     return out.drop(*drop)
 
 
+def _zero(dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_micros(F.lit(0)).cast(dtype)
+    raise TypeError(f"prefix_scan keys must be atomic, not {dtype.simpleString()}")
+
+
+def _group_columns(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Per key: the value with nulls replaced, plus a null flag (so null stays its own
+    group, as in ``partitionBy``)."""
+    out = {}
+    for i, k in enumerate(keys):
+        field = df.schema[k]
+        out[f"_tm_g{i}"] = F.coalesce(F.col(k), _zero(field.dataType)) if field.nullable else F.col(k)
+        if field.nullable:
+            out[f"_tm_z{i}"] = F.col(k).isNull()
+    return out
+
+
 def running_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                    name: str = "rn", ranges: int | None = None, keep_slice: bool = False,
                    bucket: Column | None = None) -> DataFrame:
