@@ -110,7 +110,8 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     gexprs = _group_columns(sliced, keys)
     gcols = list(gexprs)
     part = gcols + [SLICE]
-    sliced = sliced.withColumns(gexprs)
+    if not all(c in sliced.columns for c in gcols):  # reused as is after a kept slicing
+        sliced = sliced.withColumns(gexprs)
 
     local_w = Window.partitionBy(*part).orderBy(*order)
     incl = local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -133,12 +134,20 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     out = joined.withColumns({
         name: _combine(s.kind, F.col(f"_tm_before_{name}"), F.col(f"_tm_local_{name}"))
         for name, s in scans.items()})
-    drop = gcols + [c for c in out.columns if c.startswith(("_tm_local_", "_tm_before_"))]
+    drop = [c for c in out.columns if c.startswith(("_tm_local_", "_tm_before_"))]
     if not keep_slice:
-        drop.append(SLICE)
+        drop += gcols + [SLICE]
     return out.drop(*drop)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` into the shared ``spark.checkpoint.dir`` when it feeds more than
+    one branch of a plan: each branch then reads the stored rows instead of recomputing
+    the scans and shuffles behind them, and the lineage is cut."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _zero(dtype: T.DataType) -> Column:
     if isinstance(dtype, T.NumericType):
         return F.lit(0).cast(dtype)
