@@ -82,3 +82,18 @@ def test_prefix_scan_null_key_is_its_own_group(spark):
         seen[k] = seen.get(k, 0) + 1
         expected.append((i, seen[k]))
     assert rows(got, "seq", "c") == expected
+
+
+def test_hot_key_is_split_into_balanced_slices(spark):
+    """A key holding 70% of the rows spans many slices, none much larger than
+    total / ranges -- so no task of the running window sees the whole key."""
+    from tidemark.plans.prefix import SLICE, slice_rows
+
+    rnd = random.Random(5)
+    data = [(i, "hot" if rnd.random() < 0.7 else f"k{rnd.randint(0, 50)}") for i in range(4000)]
+    df = spark.createDataFrame(data, "seq long, k string")
+    sliced = slice_rows(df, ["seq"], ["k"], ranges=8)
+    sizes = {(r.k, r[SLICE]): r["count"] for r in sliced.groupBy("k", SLICE).count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    assert len(hot) >= 5
+    assert max(sizes.values()) <= 2 * len(data) / 8
