@@ -77,4 +77,6 @@ def test_multi_output_writer_idempotent(spark, scratch):
 
 def test_console_static(spark, capsys):
     sinks.console(spark.createDataFrame([("x",)], "value string"), label="main")
-    assert "main" in capsys.readouterr().out
+    sinks.console(spark.createDataFrame([("y",)], "value string"), label="late", stderr=True)
+    got = capsys.readouterr()
+    assert "main" in got.out and "late" in got.err

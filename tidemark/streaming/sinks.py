@@ -25,13 +25,19 @@ def _join(base: str, *parts: str) -> str:
 
 
 # ---------------------------------------------------------------------------- K1 console
-def console(df: DataFrame, label: str | None = None, rows: int = 20, **kw) -> StreamingQuery | None:
-    """K1: print rows; a static DataFrame is shown, a stream goes to the console sink.
-    ``label`` names the query (the reference's print prefix)."""
+def console(df: DataFrame, label: str | None = None, rows: int = 20, stderr: bool = False,
+            **kw) -> StreamingQuery | None:
+    """K1 / K2: print rows; a static DataFrame is shown (to stderr with ``stderr``, as
+    the reference prints side outputs), a stream goes to the console sink. ``label``
+    names the query (the reference's print prefix)."""
     if not df.isStreaming:
-        if label:
-            print(label)
-        df.show(rows, truncate=False)
+        import contextlib
+        import sys
+
+        with contextlib.redirect_stdout(sys.stderr if stderr else sys.stdout):
+            if label:
+                print(label)
+            df.show(rows, truncate=False)
         return None
     return start(df, sink="console", query_name=label, options={"truncate": "false", "numRows": rows},
                  **kw)
