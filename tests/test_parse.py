@@ -75,3 +75,16 @@ def test_window_label_format(spark):
         parse.window_label("k", F.timestamp_seconds("s"), F.timestamp_seconds("e"), "n").alias("l"))
     assert df.collect()[0]["l"] == (
         "key=a的窗口，其开始时间为:【1970-01-01 00:00:00.000，结束时间为:1970-01-01 00:00:10.000】数据共有： 3条")
+
+
+def test_parse_strict_fails_on_missing_field(spark):
+    df = lines(spark, ["dora"]).select(*parse.parse_user("value"))
+    with pytest.raises(Exception):
+        df.collect()
+
+
+def test_parse_pair_and_triple(spark):
+    df = lines(spark, ["a,2", "b,3"]).select(*parse.parse_pair("value"))
+    assert rows(df) == [("a", 2), ("b", 3)]
+    df = lines(spark, ["a,2,11"]).select(*parse.parse_triple("value"))
+    assert rows(df) == [("a", 2, 11)]
