@@ -51,3 +51,14 @@ def test_join_lateness(spark):
     # seq3 L2: wm=7 -> late ; seq4 L30: wm 7 -> ok ; seq5 R1: wm=min(30,20)-3=17 -> late
     assert rows(l, "id", "late") == [(1, False), (2, True), (3, False)]
     assert rows(r, "id", "late") == [(7, False), (8, True), (9, True)]
+
+
+def test_watermarked_windows_drop_late_rows(spark):
+    out = lateness.watermarked_windows(trace(spark), ["name"], "ts", ["seq"], "10 seconds", "3 seconds",
+                                       [F.count("*").alias("n")])
+    got = sorted((int(r.window_start.timestamp()), r.n) for r in out.collect())
+    assert got == [(0, 3), (10, 3), (20, 1), (40, 1)]
+    asc = lateness.watermarked_windows(trace(spark), ["name"], "ts", ["seq"], "10 seconds", "0 seconds",
+                                       [F.collect_list("age").alias("ages")])
+    got = {int(r.window_start.timestamp()): sorted(r.ages) for r in asc.collect()}
+    assert got == {0: [1, 9], 10: [12, 13, 15], 20: [27], 40: [40]}

@@ -61,6 +61,17 @@ def classify_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], size: s
                         .otherwise(F.lit(LATE)))
 
 
+def watermarked_windows(df: DataFrame, keys: Sequence[str], ts: str, arrival: Sequence[str],
+                        size: str, delay: str, aggs: Sequence, ranges: int | None = None) -> DataFrame:
+    """W6 + L2/L3 without allowed lateness: each event-time tumbling window as it fires
+    once the watermark passes its end, aggregating its on-time rows; rows arriving after
+    that are dropped (no side output). A window holding only late rows never fires."""
+    c = classify_window_rows(df, ts, arrival, size, delay, ranges=ranges)
+    keys = list(keys)
+    return (c.where(F.col("lateness") == ON_TIME)
+            .groupBy(*keys, "window_start", "window_end").agg(*aggs))
+
+
 def side_outputs(classified: DataFrame, name: str = "lateness") -> dict[str, DataFrame]:
     """Output tag -> DataFrame. ``main`` holds the rows the windows count (on time
     and allowed late), ``late`` the rows past the allowed lateness."""

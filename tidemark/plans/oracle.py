@@ -48,6 +48,19 @@ c AS (SELECT *, window_start + INTERVAL 1 HOUR AS window_end,
       FROM m)
 """
 
+_WATERMARKED = """
+WITH a AS (SELECT event_type, ts, {cents} AS c, {arrival} AS arrival, event_id FROM events),
+m AS (SELECT *, MAX(ts) OVER (ORDER BY arrival, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                - INTERVAL {delay} AS wm,
+             time_bucket(INTERVAL 1 HOUR, ts) AS window_start
+      FROM a)
+SELECT event_type, window_start, window_start + INTERVAL 1 HOUR AS window_end, COUNT(*) AS n,
+       CAST(SUM(c) AS BIGINT) AS cents
+FROM m WHERE wm IS NULL OR window_start + INTERVAL 1 HOUR > wm
+GROUP BY ALL
+"""
+
 _CLICKS = "SELECT user_id, event_id AS click_id, ts AS click_ts FROM events WHERE event_type = 'click'"
 _PURCHASES = ("SELECT user_id, event_id AS purchase_id, ts AS purchase_ts FROM events "
               "WHERE event_type = 'purchase'")
@@ -225,6 +238,8 @@ FROM r WHERE rk <= 2
 WITH {_CLASSIFIED}
 SELECT event_id, event_type, ts, arrival, window_start, window_end, wm, lateness FROM c
 """,
+    "window_watermark_ascending": _WATERMARKED.format(delay="0 SECOND", cents=CENTS, arrival=ARRIVAL),
+    "window_watermark_bounded": _WATERMARKED.format(delay="30 MINUTE", cents=CENTS, arrival=ARRIVAL),
     "late_rows": f"""
 WITH {_CLASSIFIED}
 SELECT event_id, event_type, ts, window_start, window_end, wm FROM c WHERE lateness = 'late'

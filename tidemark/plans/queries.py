@@ -289,6 +289,23 @@ def late_events(spark, sf):
                                          "window_start", "window_end", "wm", "lateness")
 
 
+def _watermarked(spark, sf, delay):
+    ev = _with_cents(_with_arrival(_events(spark, sf))).select(
+        "event_id", "event_type", "ts", "arrival", "cents")
+    return lateness.watermarked_windows(ev, ["event_type"], "ts", ARRIVAL, "1 hour", delay,
+                                        _count_cents())
+
+
+def window_watermark_ascending(spark, sf):
+    """W6 + L2: ascending-timestamp watermark (no wait) over disordered arrival."""
+    return _watermarked(spark, sf, "0 seconds")
+
+
+def window_watermark_bounded(spark, sf):
+    """W6 + L3: bounded out-of-orderness watermark (30 minutes)."""
+    return _watermarked(spark, sf, DELAY)
+
+
 def late_rows(spark, sf):
     """L6 side output alone: the rows past the allowed lateness."""
     late = lateness.side_outputs(_classified(spark, sf))["late"]
@@ -330,6 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_count": running_count,
     "running_avg": running_avg,
     "window_top_n": window_top_n,
+    "window_watermark_ascending": window_watermark_ascending,
+    "window_watermark_bounded": window_watermark_bounded,
     "late_events": late_events,
     "late_rows": late_rows,
     "window_refinements": window_refinements,
