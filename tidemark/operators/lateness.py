@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import col, interval
@@ -40,21 +40,26 @@ def with_event_time(df: DataFrame, seconds_field: str, name: str = "ts") -> Data
 
 
 def arrival_watermark(df: DataFrame, ts: str, arrival: Sequence[str], delay: str,
-                      name: str = "wm", ranges: int | None = None) -> DataFrame:
-    """L2 (delay ``"0 seconds"``) / L3: the watermark each row meets on arrival."""
+                      name: str = "wm", ranges: int | None = None,
+                      carried: Column | None = None) -> DataFrame:
+    """L2 (delay ``"0 seconds"``) / L3: the watermark each row meets on arrival.
+
+    ``carried`` is the maximum event time of rows that came before ``df`` (the earlier
+    micro-batches of a stream); null for a whole table."""
     s = prefix_scan(df, arrival, {"_tm_max": Scan("max", F.col(ts), inclusive=False)},
                     ranges=ranges)
-    return s.withColumn(name, F.col("_tm_max") - interval(delay)).drop("_tm_max")
+    seen = F.col("_tm_max") if carried is None else F.greatest(carried, F.col("_tm_max"))
+    return s.withColumn(name, seen - interval(delay)).drop("_tm_max")
 
 
 def classify_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], size: str,
                          delay: str, allowed: str = "0 seconds", name: str = "lateness",
-                         ranges: int | None = None) -> DataFrame:
+                         ranges: int | None = None, carried: Column | None = None) -> DataFrame:
     """Tag each row ``on_time`` / ``allowed_late`` / ``late`` for its tumbling
     window; adds ``window_start``, ``window_end``, ``wm`` and ``name``."""
     w = F.window(F.col(ts), size)
     d = df.withColumn("window_start", w.start).withColumn("window_end", w.end)
-    d = arrival_watermark(d, ts, arrival, delay, ranges=ranges)
+    d = arrival_watermark(d, ts, arrival, delay, ranges=ranges, carried=carried)
     end, wm = F.col("window_end"), F.col("wm")
     return d.withColumn(name, F.when(wm.isNull() | (end > wm), F.lit(ON_TIME))
                         .when(end + interval(allowed) > wm, F.lit(ALLOWED_LATE))

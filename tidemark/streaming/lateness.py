@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.time import interval
-from tidemark.operators.lateness import ALLOWED_LATE, LATE, ON_TIME
+from tidemark.operators.lateness import ALLOWED_LATE, LATE, ON_TIME, classify_window_rows
 from tidemark.plans.prefix import Scan, prefix_scan
 from tidemark.session import delete_path
 
@@ -88,19 +88,11 @@ class LatenessOperator:
         spark = batch.sparkSession
         prev_v, prev_max = self._previous(spark, batch_id)
         ts = F.col(self.ts)
-        w = F.window(ts, self.size)
-        rows = batch.withColumn("window_start", w.start).withColumn("window_end", w.end)
-        rows = prefix_scan(rows, self.arrival, {"_tm_max": Scan("max", ts, inclusive=False)},
-                           ranges=self.ranges)
         ts_type = batch.schema[self.ts].dataType
         carried = F.timestamp_micros(F.lit(prev_max)).cast(ts_type) if prev_max is not None \
             else F.lit(None).cast(ts_type)
-        wm = F.greatest(carried, F.col("_tm_max")) - interval(self.delay)
-        end = F.col("window_end")
-        rows = (rows.withColumn("wm", wm).drop("_tm_max")
-                .withColumn("lateness", F.when(F.col("wm").isNull() | (end > F.col("wm")), F.lit(ON_TIME))
-                            .when(end + interval(self.allowed) > F.col("wm"), F.lit(ALLOWED_LATE))
-                            .otherwise(F.lit(LATE))))
+        rows = classify_window_rows(batch, self.ts, self.arrival, self.size, self.delay,
+                                    self.allowed, ranges=self.ranges, carried=carried)
         rows = rows.checkpoint(eager=True)  # classified once; read by every output below
 
         # state after this batch
