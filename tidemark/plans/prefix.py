@@ -130,6 +130,9 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
         *part, *[_ACROSS[s.kind](F.col(f"_tm_tot_{name}")).over(before_w).alias(f"_tm_before_{name}")
                  for name, s in scans.items()])
 
+    if not keys:
+        # one row per slice: the size is bounded by the slice count, so broadcasting is safe
+        before = F.broadcast(before)
     joined = with_local.join(before, on=part, how="left")
     out = joined.withColumns({
         name: _combine(s.kind, F.col(f"_tm_before_{name}"), F.col(f"_tm_local_{name}"))
