@@ -98,3 +98,15 @@ def test_process_window_hook(spark):
     out = aggregates.process_window(df, ["k"], windows.tumbling("ts", "10 seconds"), fn,
                                     "k string, n long")
     assert rows(out) == [("a", 2), ("b", 1)]
+
+
+def test_reduce_window_user_fold(spark):
+    df = spark.createDataFrame([(1, "u", 10, 1), (2, "u", 5, 3), (3, "v", 7, 2)],
+                               "id long, name string, age long, t int").withColumn("ts", F.timestamp_seconds("t"))
+
+    def add_ages(a, b):
+        return {**a, "age": a["age"] + b["age"], "note": "merged"}
+
+    out = aggregates.reduce_window(df, ["name"], windows.tumbling("ts", "12 seconds"), "id", add_ages,
+                                   "name string, id long, age long, note string")
+    assert rows(out) == [("u", 1, 15, "merged"), ("v", 3, 7, None)]

@@ -90,3 +90,23 @@ def process_window(df: DataFrame, keys: Sequence[str], window: Column,
               .withColumn("window_start", F.col("_tm_w.start"))
               .withColumn("window_end", F.col("_tm_w.end")).drop("_tm_w"))
     return framed.groupBy(*keys, "window_start", "window_end").applyInPandas(fn, schema)
+
+
+def reduce_window(df: DataFrame, keys: Sequence[str], window: Column, seq: str,
+                  fn: Callable[[dict, dict], dict], schema: T.StructType | str) -> DataFrame:
+    """A user's pairwise reduce ``fn(acc, row) -> acc`` folded over each (key, window)
+    in ``seq`` order, for logic aggregate columns cannot express. A window with one row
+    passes through unchanged, as with the reference's reduce. Output rows follow
+    ``schema`` (window bounds are available as ``window_start`` / ``window_end``).
+    Like :func:`process_window`, this loads one group into one Python worker: keep it to
+    groups of bounded size and use :func:`window_reduce` for the common case."""
+    names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        recs = pdf.sort_values(seq, kind="stable").to_dict("records")
+        acc = recs[0]
+        for rec in recs[1:]:
+            acc = fn(acc, rec)
+        return pd.DataFrame([{n: acc.get(n) for n in names}])
+
+    return process_window(df, keys, window, fold, schema)
