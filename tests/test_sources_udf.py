@@ -25,3 +25,13 @@ def test_elements_and_udfs(spark):
     assert rows(words) == [("a",), ("b",), ("c",)]
     upper = udf.map_values(lambda s: s.str.upper(), "string")
     assert rows(df.select(upper(F.col("value")).alias("u"))) == [("A B",), ("C",)]
+
+
+def test_aggregate_values_per_window(spark):
+    from tidemark.operators import windows
+
+    df = spark.createDataFrame([("a", 1, 4), ("a", 2, 6), ("b", 3, 5)], "k string, t int, v long").withColumn(
+        "ts", F.timestamp_seconds("t"))
+    spread = udf.aggregate_values(lambda s: float(s.max() - s.min()), "double")
+    out = windows.window_agg(df, ["k"], windows.tumbling("ts", "10 seconds"), [spread(F.col("v")).alias("r")])
+    assert rows(out, "k", "r") == [("a", 2.0), ("b", 0.0)]

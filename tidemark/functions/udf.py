@@ -27,3 +27,15 @@ def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
             yield fn(b)
 
     return df.mapInPandas(run, schema)
+
+
+def aggregate_values(fn: Callable[[pd.Series], object], return_type: T.DataType | str) -> Callable[..., Column]:
+    """U6 general form: a user aggregate over all values of a group, as a grouped-aggregate
+    pandas UDF usable in ``agg`` (also per window). Spark sends each group's values to one
+    Python worker (no partial aggregation), so use it for groups of bounded size; built-in
+    aggregates cover sums, counts and extremes with map-side combining."""
+
+    def agg(values: pd.Series) -> object:
+        return fn(values)
+
+    return F.pandas_udf(agg, return_type)
