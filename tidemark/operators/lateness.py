@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import col, interval
-from tidemark.plans.prefix import Scan, materialize, prefix_scan
+from tidemark.plans.prefix import Scan, prefix_scan
 
 ON_TIME = "on_time"
 ALLOWED_LATE = "allowed_late"
@@ -95,8 +95,7 @@ def refinements(classified: DataFrame, keys: Sequence[str], arrival: Sequence[st
     """
     keys = list(keys)
     wkeys = keys + ["window_start", "window_end"]
-    # read by the counts and by the refinement scan: store the classified rows once
-    classified = materialize(classified.select(*wkeys, *arrival, name))
+    classified = classified.select(*wkeys, *arrival, name)
     base = classified.groupBy(*wkeys).agg(
         F.count(F.when(F.col(name) == ON_TIME, 1)).alias("_tm_n0"))
     first = base.where(F.col("_tm_n0") > 0).select(
@@ -127,8 +126,8 @@ def join_lateness(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str
         "_tm_mr": Scan("max", F.when(~is_left, F.col("_tm_t")), inclusive=False)}, ranges=ranges)
     wm = F.when(F.col("_tm_ml").isNotNull() & F.col("_tm_mr").isNotNull(),
                 F.least("_tm_ml", "_tm_mr") - interval(delay))
-    # both outputs read the flagged rows: store them once
-    s = materialize(s.withColumn("late", F.coalesce(F.col("_tm_t") < wm, F.lit(False))))
+    # both outputs read the flags from the scan's checkpoint plus its small summary
+    s = s.withColumn("late", F.coalesce(F.col("_tm_t") < wm, F.lit(False)))
     l_out = s.where(is_left).select(*left.columns, "late")
     r_out = s.where(~is_left).select(*right.columns, "late")
     return l_out, r_out

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import col, interval
-from tidemark.plans.prefix import Scan, materialize, prefix_scan, running_number
+from tidemark.plans.prefix import Scan, prefix_scan, running_number
 
 
 def tumbling(ts: str | Column, size: str) -> Column:
@@ -67,8 +67,8 @@ def session_agg(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
                     partition_by=keys, ranges=ranges, keep_slice=True)
     d = d.withColumn("_tm_new", (F.col("_tm_prev_end").isNull()
                                  | (F.col(ts) > F.col("_tm_prev_end"))).cast("long"))
-    # the flags feed both the second scan's rows and its summary: store them once
-    d = materialize(d.drop("_tm_prev_end"))
+    # the flags are a cheap function of the checkpointed first scan, so the second
+    # scan's rows and summary both read them from there (same slices, same partitioning)
     d = prefix_scan(d, order, {"_tm_sid": Scan("sum", F.col("_tm_new"))},
                     partition_by=keys, ranges=ranges)
     g = d.groupBy(*keys, "_tm_sid").agg(F.min(ts).alias("session_start"),

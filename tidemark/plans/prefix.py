@@ -19,9 +19,10 @@ Slices come from one of two places:
   holds at most 2**20 rows per (key, bucket). No extra shuffle.
 * otherwise ``repartitionByRange`` over (keys, order) into ``ranges`` sample-balanced
   slices, numbered by ``spark_partition_id``. The range sampler is seeded per RDD, so
-  two separately planned copies of the exchange could cut differently; the sliced rows
-  are therefore checkpointed once (to the shared ``spark.checkpoint.dir``) and both
-  branches read the same slices. This also cuts the lineage, so a lost executor never re-slices.
+  two separately planned copies of the exchange could cut differently; the sliced rows,
+  with their local running values, are therefore checkpointed once (to the shared
+  ``spark.checkpoint.dir``) and the summary and every later branch read those rows. This
+  also cuts the lineage, so a lost executor never re-slices.
 
 Only associative aggregates qualify (sum, count, max, min). The order must be total
 (include a unique tie-breaker) for the result to be deterministic.
@@ -73,12 +74,11 @@ def _combine(kind: str, before: Column, local: Column) -> Column:
 
 def slice_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                ranges: int | None = None) -> DataFrame:
-    """Range-slice ``df`` over (keys, order) and checkpoint it: adds ``SLICE``."""
+    """Range-slice ``df`` over (keys, order): adds ``SLICE``. The result must be read by
+    one branch only (see :func:`prefix_scan`, which checkpoints right after it)."""
     n = ranges or default_ranges(df.sparkSession)
-    ensure_checkpoint_dir(df.sparkSession)
-    sliced = (df.repartitionByRange(n, *[F.col(c) for c in list(partition_by) + list(order_by)])
-              .withColumn(SLICE, F.spark_partition_id()))
-    return sliced.checkpoint(eager=True)
+    return (df.repartitionByRange(n, *[F.col(c) for c in list(partition_by) + list(order_by)])
+            .withColumn(SLICE, F.spark_partition_id()))
 
 
 def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
@@ -97,6 +97,7 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
         if kind not in _LOCAL:
             raise ValueError(f"prefix_scan supports sum/count/max/min, not {kind!r}")
 
+    ranged = SLICE not in df.columns and bucket is None
     if SLICE in df.columns:
         sliced = df
     elif bucket is not None:
@@ -119,6 +120,12 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     local_cols = {f"_tm_local_{name}": _LOCAL[s.kind](s.expr).over(incl if s.inclusive else excl)
                   for name, s in scans.items()}
     with_local = sliced.withColumns(local_cols)
+    if ranged:
+        # Slicing and the local window run once, inside this checkpoint; the summary
+        # below and every later consumer read the stored rows (still partitioned by
+        # key and slice), so a chained scan on the same slicing needs no new shuffle.
+        with_local = materialize(with_local)
+        sliced = with_local
 
     # One row per (key, slice): the slice's total for every scan, then the total of all
     # earlier slices of the same key.
