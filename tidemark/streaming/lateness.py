@@ -93,7 +93,8 @@ class LatenessOperator:
             else F.lit(None).cast(ts_type)
         rows = classify_window_rows(batch, self.ts, self.arrival, self.size, self.delay,
                                     self.allowed, ranges=self.ranges, carried=carried)
-        rows = rows.checkpoint(eager=True)  # classified once; read by every output below
+        # the classification reads the scan's checkpoint plus a broadcast summary, so the
+        # outputs below re-read it cheaply instead of storing another copy
 
         # state after this batch
         counts = rows.groupBy(*self.wkeys).agg(
@@ -225,8 +226,7 @@ class IntervalJoinLateOperator:
         mr = F.greatest(F.lit(max_r).cast("bigint"), F.col("_tm_mr"))
         wm = F.when(ml.isNotNull() & mr.isNotNull(),
                     F.timestamp_micros(F.least(ml, mr)).cast(ts_type) - interval(self.delay))
-        rows = (rows.withColumn("late", F.coalesce(ts < wm, F.lit(False)))
-                .drop("_tm_ml", "_tm_mr").checkpoint(eager=True))
+        rows = rows.withColumn("late", F.coalesce(ts < wm, F.lit(False))).drop("_tm_ml", "_tm_mr")
 
         m = rows.agg(F.max(F.when(is_left, us)).alias("l"), F.max(F.when(~is_left, us)).alias("r")).collect()[0]
         new_l = max([x for x in (max_l, m["l"]) if x is not None], default=None)
