@@ -52,17 +52,20 @@ ARRIVAL = ["arrival", "event_id"]
 
 
 def word_count(spark, sf):
+    """S1 + T4 + A1: words of every line of every document, counted."""
     docs = table(spark, sf, "documents").select("text")
     return aggregates.word_count(docs, "text", whole_texts=True)
 
 
 def line_count(spark, sf):
+    """T5 + A1/A3: each event type as a line, (line, 1) summed per line."""
     lines = _events(spark, sf).select(F.col("event_type").alias("value"))
     pairs = parse.line_pairs(lines)
     return aggregates.keyed_sum(pairs, ["line"], "n")
 
 
 def parse_users(spark, sf):
+    """``event_type,user_id`` lines parsed back as User (name, age)."""
     ev = _events(spark, sf).select("event_id", parse.to_line("event_type", "user_id").alias("value"))
     users = ev.select("event_id", *parse.parse_user("value"))
     # The parser leaves id, address, email and create_time null; compare what it reads.
@@ -70,6 +73,7 @@ def parse_users(spark, sf):
 
 
 def parse_readings(spark, sf):
+    """``event_type,user_id,cents%100`` lines parsed back as sensor readings."""
     ev = _with_cents(_events(spark, sf))
     lines = ev.select("event_id", parse.to_line("event_type", "user_id", F.col("cents") % 100)
                       .alias("value"))
@@ -93,6 +97,7 @@ def parse_triples(spark, sf):
 
 
 def filter_gt(spark, sf):
+    """Strict ``> 18`` filter."""
     ev = _events(spark, sf)
     return ev.where(F.col("value") > 18).select("event_id", "user_id", "value")
 
@@ -112,22 +117,26 @@ def _count_cents():
 
 
 def window_tumbling(spark, sf):
+    """1-hour tumbling windows per event type: rows and cents."""
     ev = _with_cents(_events(spark, sf))
     return windows.window_agg(ev, ["event_type"], windows.tumbling("ts", "1 hour"), _count_cents())
 
 
 def window_sliding(spark, sf):
+    """W2/W7 + A6: 10-minute windows sliding by 5 minutes per event type: rows."""
     ev = _events(spark, sf)
     return windows.window_agg(ev, ["event_type"], windows.sliding("ts", "10 minutes", "5 minutes"),
                               [F.count(F.lit(1)).alias("n")])
 
 
 def window_all(spark, sf):
+    """1-hour windows over all rows (no key), pre-aggregated in every task."""
     ev = _with_cents(_events(spark, sf))
     return windows.window_agg(ev, [], windows.tumbling("ts", "1 hour"), _count_cents())
 
 
 def window_session(spark, sf):
+    """Sessions per user with a 2-hour gap."""
     ev = _with_cents(_events(spark, sf))
     return windows.session_agg(ev, ["user_id"], "ts", "2 hours", "event_id", _count_cents())
 
@@ -140,11 +149,13 @@ def session_gap():
 
 
 def window_session_dynamic(spark, sf):
+    """Sessions per user with a gap per row (by event type)."""
     ev = _with_cents(_events(spark, sf))
     return windows.session_agg(ev, ["user_id"], "ts", session_gap(), "event_id", _count_cents())
 
 
 def window_count_tumbling(spark, sf):
+    """Groups of 5 consecutive events per user (full groups only)."""
     ev = _with_cents(_events(spark, sf))
     return windows.count_tumbling(ev, ["user_id"], ["event_id"], 5, [
         F.min("event_id").alias("first_event_id"), F.max("event_id").alias("last_event_id"),
@@ -152,6 +163,7 @@ def window_count_tumbling(spark, sf):
 
 
 def window_count_sliding(spark, sf):
+    """Every 2nd event per user, the last up-to-5 events."""
     ev = _with_cents(_events(spark, sf))
     return windows.count_sliding(ev, ["user_id"], ["event_id"], 5, 2, [
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
@@ -159,29 +171,34 @@ def window_count_sliding(spark, sf):
 
 
 def window_reduce(spark, sf):
+    """A4: per user and hour, first id, summed cents, blanked text when > 1 row."""
     ev = _with_cents(_events(spark, sf))
     return aggregates.window_reduce(ev, ["user_id"], windows.tumbling("ts", "1 hour"), "event_id",
                                     ["event_id"], "cents", ["event_type", "props"])
 
 
 def window_process(spark, sf):
+    """Per user and hour, start, end, row count and cents (built-ins)."""
     ev = _with_cents(_events(spark, sf))
     return windows.window_agg(ev, ["user_id"], windows.tumbling("ts", "1 hour"), _count_cents())
 
 
 def window_aggregate(spark, sf):
+    """A5: per user and hour, the summed cents as the aggregate's result text."""
     ev = _with_cents(_events(spark, sf))
     return aggregates.window_aggregate(ev, ["user_id"], windows.tumbling("ts", "1 hour"),
                                        F.sum("cents"), as_text=True, name="result")
 
 
 def window_agg_process(spark, sf):
+    """Per user and hour, the aggregate together with the true row count."""
     ev = _with_cents(_events(spark, sf))
     return aggregates.window_agg_with_context(ev, ["user_id"], windows.tumbling("ts", "1 hour"),
                                               [F.sum("cents").alias("cents")])
 
 
 def window_label(spark, sf):
+    """Per user and hour, the printed window line."""
     ev = _events(spark, sf)
     w = windows.window_agg(ev, ["user_id"], windows.tumbling("ts", "1 hour"),
                            [F.count(F.lit(1)).alias("n")])
@@ -201,17 +218,20 @@ def _clicks_purchases(spark, sf):
 
 
 def window_join(spark, sf):
+    """Clicks and purchases of the same user in the same hour."""
     clicks, purchases = _clicks_purchases(spark, sf)
     return joins.window_join(clicks, purchases, "user_id", "click_ts", "purchase_ts", "1 hour")
 
 
 def interval_join(spark, sf):
+    """Clicks and purchases of the same user within +-2 hours (time-bucketed)."""
     clicks, purchases = _clicks_purchases(spark, sf)
     return joins.interval_join(clicks, purchases, "user_id", "click_ts", "purchase_ts",
                                JOIN_BOUND, JOIN_BOUND, bucketed=True)
 
 
 def interval_join_plain(spark, sf):
+    """J2, plain form: key equi-join with the range as a residual condition."""
     clicks, purchases = _clicks_purchases(spark, sf)
     return joins.interval_join(clicks, purchases, "user_id", "click_ts", "purchase_ts",
                                JOIN_BOUND, JOIN_BOUND, bucketed=False)
@@ -251,24 +271,28 @@ def interval_join_late_right(spark, sf):
 
 
 def running_sum(spark, sf):
+    """A3: per user, running sum of cents in event order, one row per event."""
     ev = _with_cents(_events(spark, sf)).select("event_id", "user_id", "cents")
     return running.running_sum(ev, ["user_id"], ["event_id"], "cents",
                                name="running_cents", bucket=id_buckets("event_id")).drop("cents")
 
 
 def running_count(spark, sf):
+    """ST1: per user and event type, running row count, one row per event."""
     ev = _events(spark, sf).select("event_id", "user_id", "event_type")
     return running.running_count(ev, ["user_id", "event_type"], ["event_id"], name="running_n",
                                  bucket=id_buckets("event_id"))
 
 
 def running_avg(spark, sf):
+    """ST2: per user, running average of cents (double), one row per event."""
     ev = _with_cents(_events(spark, sf)).select("event_id", "user_id", "cents")
     return running.running_avg(ev, ["user_id"], ["event_id"], "cents",
                                name="running_avg_cents", bucket=id_buckets("event_id")).drop("cents")
 
 
 def window_top_n(spark, sf):
+    """ST4: per 10-minute window sliding by 5, the 2 users with most events."""
     ev = _events(spark, sf)
     counts = windows.window_agg(ev, ["user_id"], windows.sliding("ts", "10 minutes", "5 minutes"),
                                 [F.count(F.lit(1)).alias("n")])
@@ -285,6 +309,7 @@ def _classified(spark, sf):
 
 
 def late_events(spark, sf):
+    """Every row in disordered arrival with its window, watermark and class."""
     return _classified(spark, sf).select("event_id", "event_type", "ts", "arrival",
                                          "window_start", "window_end", "wm", "lateness")
 
@@ -313,6 +338,7 @@ def late_rows(spark, sf):
 
 
 def window_refinements(spark, sf):
+    """Every firing of every (event type, hour) window with its row count."""
     return lateness.refinements(_classified(spark, sf), ["event_type"], ARRIVAL)
 
 
