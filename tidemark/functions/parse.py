@@ -109,9 +109,19 @@ def lines_of(text: str | Column) -> Column:
     return F.split(F.regexp_replace(col(text), "\n$", ""), "\n", -1)
 
 
+def words(df: DataFrame, line: str = "value") -> DataFrame:
+    """T4 as a flat-map: one row (``word``) per token of each line, with the same rules as
+    :func:`tokens`; the trailing spaces are stripped once, before the explode."""
+    d = df.select(F.col(line).alias("_tm_l"), F.regexp_replace(line, " +$", "").alias("_tm_s"))
+    toks = (F.when(F.col("_tm_l") == "", F.array(F.lit("")))
+            .when(F.col("_tm_s") == "", F.array().cast("array<string>"))
+            .otherwise(F.split("_tm_s", " ", -1)))
+    return d.select(F.explode(toks).alias("word"))
+
+
 def word_pairs(df: DataFrame, line: str = "value") -> DataFrame:
     """T4 as a flat-map: one ``(word, n=1)`` row per token."""
-    return df.select(F.explode(tokens(line)).alias("word"), F.lit(1).alias("n"))
+    return words(df, line).withColumn("n", F.lit(1))
 
 
 def line_pairs(df: DataFrame, line: str = "value") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.formats import aggregate_result_text
-from tidemark.functions.parse import lines_of, tokens
+from tidemark.functions.parse import lines_of, words
 from tidemark.operators.windows import window_agg
 from tidemark.plans.partitioning import spread
 
@@ -29,8 +29,7 @@ def word_count(df: DataFrame, text: str = "value", whole_texts: bool = False) ->
     src = spread(df.select(text))
     lines = src.select(F.explode(lines_of(text)).alias("_tm_line")) if whole_texts \
         else src.select(F.col(text).alias("_tm_line"))
-    words = lines.select(F.explode(tokens("_tm_line")).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words(lines, "_tm_line").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def keyed_sum(df: DataFrame, keys: Sequence[str], value: str, name: str = "n") -> DataFrame:
