@@ -78,3 +78,32 @@ def test_count_windows_match_brute_force(spark, data, size, slide):
         for f in range(slide, len(seqs) + 1, slide):
             expected.append((k, f, tuple(seqs[max(0, f - size):f])))
     assert got == sorted(expected)
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 40)), min_size=1, max_size=25),
+       right=st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 40)), min_size=1, max_size=25))
+def test_window_join_matches_brute_force(spark, left, right):
+    from tidemark.operators import joins
+
+    l = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(left)], "k string, lt long, li long") \
+        .withColumn("lts", F.timestamp_seconds("lt"))
+    r = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(right)], "k string, rt long, ri long") \
+        .withColumn("rts", F.timestamp_seconds("rt"))
+    got = sorted((x.li, x.ri) for x in joins.window_join(l, r, "k", "lts", "rts", "5 seconds").collect())
+    want = sorted((i, j) for i, (a, t) in enumerate(left) for j, (b, u) in enumerate(right)
+                  if a == b and t // 5 == u // 5)
+    assert got == want
+
+
+@SETTINGS
+@given(data=ROWS, size=st.integers(1, 6))
+def test_count_tumbling_matches_brute_force(spark, data, size):
+    df = spark.createDataFrame([(i, k) for i, (k, _) in enumerate(data)], "seq long, k string")
+    out = windows.count_tumbling(df, ["k"], ["seq"], size, [F.collect_list("seq").alias("s")], ranges=3)
+    got = sorted((r.k, r.group_no, tuple(sorted(r.s))) for r in out.collect())
+    want = []
+    for k in sorted({k for k, _ in data}):
+        seqs = [i for i, (kk, _) in enumerate(data) if kk == k]
+        want += [(k, g, tuple(seqs[g * size:(g + 1) * size])) for g in range(len(seqs) // size)]
+    assert got == sorted(want)
