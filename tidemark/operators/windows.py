@@ -57,7 +57,8 @@ def session_agg(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
 
     Both steps are running aggregates, computed with :func:`prefix_scan`, so a hot key is
     split over many tasks instead of sorted in one. Aggregates must be ordinary
-    (mergeable) aggregate columns.
+    (mergeable) aggregate columns. The scan checkpoints its input rows: pass only the
+    columns the keys, time, tie-breaker, gap and aggregates use.
     """
     keys = list(keys)
     gap_col = interval(gap) if isinstance(gap, str) else gap

@@ -87,6 +87,9 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     """Add one column per entry of ``scans``: its running aggregate over ``order_by``
     (ascending) within ``partition_by``.
 
+    In range mode the rows are checkpointed with all their columns (nothing can prune
+    through a checkpoint): select the columns the caller needs before scanning.
+
     ``bucket`` supplies deterministic slices (see the module notes). If ``df`` already
     carries a slice column from an earlier scan with the same keys and order
     (``keep_slice=True``), that slicing is reused.

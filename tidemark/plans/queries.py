@@ -137,7 +137,7 @@ def window_all(spark, sf):
 
 def window_session(spark, sf):
     """Sessions per user with a 2-hour gap."""
-    ev = _with_cents(_events(spark, sf))
+    ev = _with_cents(_events(spark, sf)).select("user_id", "ts", "event_id", "cents")
     return windows.session_agg(ev, ["user_id"], "ts", "2 hours", "event_id", _count_cents())
 
 
@@ -150,7 +150,7 @@ def session_gap():
 
 def window_session_dynamic(spark, sf):
     """Sessions per user with a gap per row (by event type)."""
-    ev = _with_cents(_events(spark, sf))
+    ev = _with_cents(_events(spark, sf)).select("user_id", "ts", "event_id", "event_type", "cents")
     return windows.session_agg(ev, ["user_id"], "ts", session_gap(), "event_id", _count_cents())
 
 
