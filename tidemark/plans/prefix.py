@@ -16,9 +16,13 @@ Slices come from one of two places:
 
 * ``bucket``: a deterministic column, monotone in the order, with a bound on rows per
   bucket known to the caller -- e.g. ``floor(event_id / 2**20)`` for a unique id order
-  holds at most 2**20 rows per (key, bucket). No extra shuffle.
+  holds at most 2**20 rows per (key, bucket). No range shuffle and no checkpoint, but
+  the summary holds one row per (key, bucket) the key touches: with many sparse keys
+  whose ids interleave (users in a global event id space) that is as many rows as the
+  data. Use it only for few, dense keys; the default below is right for both.
 * otherwise ``repartitionByRange`` over (keys, order) into ``ranges`` sample-balanced
-  slices, numbered by ``spark_partition_id``. The range sampler is seeded per RDD, so
+  slices, numbered by ``spark_partition_id``. A sparse key lies in one slice, a hot key
+  spans many, so the summary has about ``#keys + ranges`` rows. The range sampler is seeded per RDD, so
   two separately planned copies of the exchange could cut differently; the sliced rows,
   with their local running values, are therefore checkpointed once (to the shared
   ``spark.checkpoint.dir``) and the summary and every later branch read those rows. This

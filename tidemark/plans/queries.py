@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import parse
 from tidemark.functions.time import cents, epoch_micros, interval
 from tidemark.operators import aggregates, joins, lateness, running, topn, windows
-from tidemark.plans.prefix import id_buckets
 from tidemark.sources.tables import table
 
 # Fixed parameters of the query set.
@@ -156,18 +155,18 @@ def window_session_dynamic(spark, sf):
 
 def window_count_tumbling(spark, sf):
     """Groups of 5 consecutive events per user (full groups only)."""
-    ev = _with_cents(_events(spark, sf))
+    ev = _with_cents(_events(spark, sf)).select("user_id", "event_id", "cents")
     return windows.count_tumbling(ev, ["user_id"], ["event_id"], 5, [
         F.min("event_id").alias("first_event_id"), F.max("event_id").alias("last_event_id"),
-        F.sum("cents").alias("cents")], bucket=id_buckets("event_id"))
+        F.sum("cents").alias("cents")])
 
 
 def window_count_sliding(spark, sf):
     """Every 2nd event per user, the last up-to-5 events."""
-    ev = _with_cents(_events(spark, sf))
+    ev = _with_cents(_events(spark, sf)).select("user_id", "event_id", "cents")
     return windows.count_sliding(ev, ["user_id"], ["event_id"], 5, 2, [
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
-        F.sum("cents").alias("cents")], bucket=id_buckets("event_id"))
+        F.sum("cents").alias("cents")])
 
 
 def window_reduce(spark, sf):
@@ -274,21 +273,20 @@ def running_sum(spark, sf):
     """A3: per user, running sum of cents in event order, one row per event."""
     ev = _with_cents(_events(spark, sf)).select("event_id", "user_id", "cents")
     return running.running_sum(ev, ["user_id"], ["event_id"], "cents",
-                               name="running_cents", bucket=id_buckets("event_id")).drop("cents")
+                               name="running_cents").drop("cents")
 
 
 def running_count(spark, sf):
     """ST1: per user and event type, running row count, one row per event."""
     ev = _events(spark, sf).select("event_id", "user_id", "event_type")
-    return running.running_count(ev, ["user_id", "event_type"], ["event_id"], name="running_n",
-                                 bucket=id_buckets("event_id"))
+    return running.running_count(ev, ["user_id", "event_type"], ["event_id"], name="running_n")
 
 
 def running_avg(spark, sf):
     """ST2: per user, running average of cents (double), one row per event."""
     ev = _with_cents(_events(spark, sf)).select("event_id", "user_id", "cents")
     return running.running_avg(ev, ["user_id"], ["event_id"], "cents",
-                               name="running_avg_cents", bucket=id_buckets("event_id")).drop("cents")
+                               name="running_avg_cents").drop("cents")
 
 
 def window_top_n(spark, sf):
