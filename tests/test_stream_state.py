@@ -91,3 +91,29 @@ def test_processing_time_windows(spark, scratch):
     agg = windows.window_agg(df, [], windows.tumbling("arrival_ts", "12 seconds"), [F.count("*").alias("n")])
     got = run_to_memory(agg, os.path.join(scratch, "ck"), mode="complete")
     assert sum(r.n for r in got.collect()) == 12
+
+
+def test_per_record_word_count_on_text_stream(spark, scratch):
+    """A3 per record on a text stream: one running count per word occurrence."""
+    from fixtures import HELLO_LINES
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import parse
+    from tidemark.streaming import sources
+
+    src = os.path.join(scratch, "txt")
+    os.makedirs(src)
+    for i, chunk in enumerate([HELLO_LINES[:2], HELLO_LINES[2:]]):
+        p = os.path.join(src, f"f{i}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(chunk))
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    lines = sources.numbered_text_stream(spark, src, max_files_per_trigger=1)
+    pairs = parse.words(lines, keep=["file_time", "file", "line_no"], position="word_no") \
+        .withColumn("n", F.lit(1))
+    seq = ["file_time", "file", "line_no", "word_no"]
+    out = run_to_memory(state.running_sum_stream(pairs, ["word"], "n", seq), os.path.join(scratch, "ck"))
+    got = sorted((r.word, r.running_sum) for r in out.collect())
+    assert len(got) == 10
+    assert [n for w, n in got if w == "hello"] == [1, 2, 3, 4, 5]
+    assert all(n == 1 for w, n in got if w != "hello")

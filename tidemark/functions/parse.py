@@ -109,14 +109,18 @@ def lines_of(text: str | Column) -> Column:
     return F.split(F.regexp_replace(col(text), "\n$", ""), "\n", -1)
 
 
-def words(df: DataFrame, line: str = "value") -> DataFrame:
+def words(df: DataFrame, line: str = "value", keep: Sequence[str] = (),
+          position: str | None = None) -> DataFrame:
     """T4 as a flat-map: one row (``word``) per token of each line, with the same rules as
-    :func:`tokens`; the trailing spaces are stripped once, before the explode."""
-    d = df.select(F.col(line).alias("_tm_l"), F.regexp_replace(line, " +$", "").alias("_tm_s"))
+    :func:`tokens`; the trailing spaces are stripped once, before the explode. ``keep``
+    carries other columns along; ``position`` adds the word's index in its line."""
+    d = df.select(*keep, F.col(line).alias("_tm_l"), F.regexp_replace(line, " +$", "").alias("_tm_s"))
     toks = (F.when(F.col("_tm_l") == "", F.array(F.lit("")))
             .when(F.col("_tm_s") == "", F.array().cast("array<string>"))
             .otherwise(F.split("_tm_s", " ", -1)))
-    return d.select(F.explode(toks).alias("word"))
+    if position:
+        return d.select(*keep, F.posexplode(toks).alias(position, "word"))
+    return d.select(*keep, F.explode(toks).alias("word"))
 
 
 def word_pairs(df: DataFrame, line: str = "value") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import generated_text
+from tidemark.functions.parse import generated_text, lines_of
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -62,3 +62,16 @@ def with_arrival_time(df: DataFrame, name: str = "arrival_ts") -> DataFrame:
     """Processing time as a column: the ingest time of the micro-batch (W1-W3 on
     processing time group by this column)."""
     return df if name in df.columns else df.withColumn(name, F.current_timestamp())
+
+
+def numbered_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S2 with an arrival order per line: each new file is read whole and split into
+    lines with their position, so ``(file_time, file, line_no)`` orders the lines of a
+    stream the way they were written (keyed state needs this for per-record output)."""
+    reader = spark.readStream.format("text").option("wholetext", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = reader.load(path).select(
+        "value", F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("file"))
+    return files.select("file_time", "file", F.posexplode(lines_of("value")).alias("line_no", "value"))

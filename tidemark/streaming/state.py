@@ -19,10 +19,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
-def _batch(rows: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
+def _batch(rows: Iterator[pd.DataFrame], seq: str | Sequence[str]) -> pd.DataFrame:
+    """One key's rows of one micro-batch, in arrival order (``seq``: one column or a
+    list of columns, compared in turn)."""
     frames = list(rows)
     pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
-    return pdf.sort_values(seq, kind="stable").reset_index(drop=True)
+    return pdf.sort_values(list(seq) if not isinstance(seq, str) else seq,
+                           kind="stable").reset_index(drop=True)
 
 
 class RunningCountProcessor(StatefulProcessor):
@@ -130,7 +133,7 @@ def _schema(df: DataFrame, extra: list[T.StructField]) -> T.StructType:
     return T.StructType(list(df.schema.fields) + extra)
 
 
-def running_count_stream(df: DataFrame, keys: Sequence[str], level: str, seq: str,
+def running_count_stream(df: DataFrame, keys: Sequence[str], level: str, seq: str | Sequence[str],
                          out: str = "running_n") -> DataFrame:
     """ST1 per record on a stream (the batch form is ``operators.running.running_count``
     with keys + level)."""
@@ -139,7 +142,7 @@ def running_count_stream(df: DataFrame, keys: Sequence[str], level: str, seq: st
         RunningCountProcessor(level, seq, out), schema, "append", "None")
 
 
-def running_avg_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str,
+def running_avg_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str | Sequence[str],
                        out: str = "running_avg") -> DataFrame:
     """ST2 per record on a stream."""
     schema = _schema(df, [T.StructField(out, T.DoubleType())])
@@ -147,7 +150,7 @@ def running_avg_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str,
         RunningAggProcessor(value, seq, out, "avg"), schema, "append", "None")
 
 
-def running_sum_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str,
+def running_sum_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str | Sequence[str],
                        out: str = "running_sum") -> DataFrame:
     """A3 per record on a stream (one output per input row)."""
     schema = _schema(df, [T.StructField(out, T.LongType())])
