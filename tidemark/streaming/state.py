@@ -130,9 +130,21 @@ class CountWindowProcessor(StatefulProcessor):
 
 
 def _schema(df: DataFrame, extra: list[T.StructField]) -> T.StructType:
+    _use_rocksdb(df)
     return T.StructType(list(df.schema.fields) + extra)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _use_rocksdb(df: DataFrame) -> None:
+    """``transformWithState`` keeps its state only in the RocksDB state store: select it
+    for queries started from now on unless the session already did."""
+    conf = df.sparkSession.conf
+    if ROCKSDB.split(".")[-1] not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def running_count_stream(df: DataFrame, keys: Sequence[str], level: str, seq: str | Sequence[str],
                          out: str = "running_n") -> DataFrame:
     """ST1 per record on a stream (the batch form is ``operators.running.running_count``
@@ -162,6 +174,7 @@ def count_window_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str
                         slide: int | None = None) -> DataFrame:
     """W4 (``slide`` omitted) / W5 on a stream."""
     slide = slide or size
+    _use_rocksdb(df)
     fields = [df.schema[k] for k in keys] + [T.StructField("fire_seq", T.LongType())]
     if slide == size:
         fields.append(T.StructField("group_no", T.LongType()))
