@@ -132,3 +132,46 @@ def test_stream_interval_join_late_equals_batch(spark, scratch, sizes):
     expected = joins.interval_join(lj, rj, "user_id", "l_ts", "r_ts", "2 hours", "2 hours")
     assert rows(out["joined"], "l_event_id", "r_event_id") == rows(expected, "l_event_id", "r_event_id")
     assert expected.count() > 0 and l.where("late").count() > 0
+
+
+def test_stream_interval_join_late_restart(spark, scratch):
+    """Stop after part of the input and resume from the checkpoint: same as batch."""
+    import json
+    import time
+
+    from tidemark.operators import joins
+    from tidemark.streaming.lateness import IntervalJoinLateOperator
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where(
+        F.col("event_type").isin("click", "purchase"))
+    arr = F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") * 7919 % 7200) * 1_000_000
+    data = [r.asDict() for r in ev.select(
+        F.when(F.col("event_type") == "click", "L").otherwise("R").alias("side"), "user_id", "event_id",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), arr.alias("arrival"))
+        .orderBy("arrival", "event_id").collect()]
+    half = len(data) // 2
+    src = os.path.join(scratch, "in-jr")
+    write_batches(src, split(data[:half], [50, 50, half]))
+    schema = "side string, user_id long, event_id long, ts timestamp, arrival long"
+    op = IntervalJoinLateOperator(os.path.join(scratch, "st-jr"), os.path.join(scratch, "out-jr"),
+                                  "user_id", "ts", ["arrival", "event_id"], ["event_id"],
+                                  "2 hours", "2 hours", "30 minutes", ranges=3)
+    ck = os.path.join(scratch, "ck-jr")
+    run_bounded(json_stream(spark, src, schema), foreach_batch=op, checkpoint=ck)
+    for j, batch in enumerate(split(data[half:], [70, 10_000])):
+        p = os.path.join(src, f"part-later-{j}.json")
+        with open(p, "w") as f:
+            f.write("\n".join(json.dumps(r) for r in batch) + "\n")
+        t = time.time() + j
+        os.utime(p, (t, t))
+    run_bounded(json_stream(spark, src, schema), foreach_batch=op, checkpoint=ck)
+    out = op.outputs(spark)
+
+    static = spark.read.schema(schema).json(src)
+    l, r = lateness.join_lateness(static.where(F.col("side") == "L"), static.where(F.col("side") == "R"),
+                                  "ts", "ts", ["arrival", "event_id"], "30 minutes")
+    lj = l.where(~F.col("late")).select("user_id", F.col("event_id").alias("l_event_id"), F.col("ts").alias("l_ts"))
+    rj = r.where(~F.col("late")).select("user_id", F.col("event_id").alias("r_event_id"), F.col("ts").alias("r_ts"))
+    expected = joins.interval_join(lj, rj, "user_id", "l_ts", "r_ts", "2 hours", "2 hours")
+    assert rows(out["joined"], "l_event_id", "r_event_id") == rows(expected, "l_event_id", "r_event_id")
+    assert rows(out["left_late"], "event_id") == rows(l.where("late"), "event_id")
