@@ -123,3 +123,13 @@ def test_window_reduce_on_stream(spark, scratch):
     # windows closed by the final watermark (40 s): [0,12) and [12,24) and [24,36)
     assert got == [("u", 0, 1, 1, "addr"), ("u", 12, 3, 3, "addr"), ("u", 24, 5, 5, "addr"),
                    ("v", 0, 0, 2, ""), ("v", 12, 4, 4, "addr")]
+
+
+def test_word_count_operator_on_a_stream(spark, scratch):
+    src = os.path.join(scratch, "txt")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(HELLO_LINES))
+    counts = aggregates.word_count(sources.text_stream(spark, src))
+    got = run_to_memory(counts, os.path.join(scratch, "ck"), mode="complete")
+    assert dict(rows(got))["hello"] == 5

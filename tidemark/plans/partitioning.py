@@ -13,6 +13,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     alone (no shuffle); a small one stored as a single row group would otherwise be
     processed by one task, so its rows are dealt round-robin first.
     """
+    if df.isStreaming:  # a stream's parallelism comes from its source
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
