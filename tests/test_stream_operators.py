@@ -133,3 +133,15 @@ def test_word_count_operator_on_a_stream(spark, scratch):
     counts = aggregates.word_count(sources.text_stream(spark, src))
     got = run_to_memory(counts, os.path.join(scratch, "ck"), mode="complete")
     assert dict(rows(got))["hello"] == 5
+
+
+def test_batch_only_scans_refuse_streams_clearly(spark, scratch):
+    import pytest
+
+    from tidemark.operators import running
+
+    src = os.path.join(scratch, "in")
+    write_batches(src, [[{"k": "a", "v": 1, "seq": 0}]])
+    df = json_stream(spark, src, "k string, v long, seq long")
+    with pytest.raises(ValueError, match="batch operators"):
+        running.running_sum(df, ["k"], ["seq"], "v")

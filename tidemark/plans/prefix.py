@@ -98,6 +98,10 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     carries a slice column from an earlier scan with the same keys and order
     (``keep_slice=True``), that slicing is reused.
     """
+    if df.isStreaming:
+        raise ValueError("ordered scans are batch operators; on streams use "
+                         "tidemark.streaming.state (per-key state) or tidemark.streaming.lateness "
+                         "(foreachBatch), which apply them per micro-batch")
     keys = list(partition_by)
     order = list(order_by)
     for kind in (s.kind for s in scans.values()):
