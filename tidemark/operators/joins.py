@@ -44,7 +44,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, righ
     (both ends closed; bounds may differ). Output: key, the other left and right columns.
 
     ``bucketed`` (default) joins on (key, time bucket) first; ``bucket_width`` defaults to
-    ``lower + upper`` so each right row reaches at most two buckets.
+    ``lower + upper`` so each right row reaches at most two buckets, and the rows compared
+    stay within a constant factor of the pairs produced. ``bucketed=False`` compares every
+    left and right row of a key (Catalyst's equi-join with a residual range): only for
+    small inputs and as a reference in tests.
     """
     lo, hi = interval_seconds(lower), interval_seconds(upper)
     cond_range = lambda l, r: (r[right_ts] >= l[left_ts] - interval(lower)) & \
