@@ -19,7 +19,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import interval, to_stream_time
+from tidemark.functions.time import epoch_micros, interval, interval_seconds, to_stream_time
 from tidemark.operators.topn import top_n
 from tidemark.operators.windows import window_agg
 
@@ -63,15 +63,31 @@ def window_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
-                  lower: str, upper: str) -> DataFrame:
+                  lower: str, upper: str, bucketed: bool = True) -> DataFrame:
     """J2 on two watermarked streams: Spark's stream-stream join keeps each side's rows
     in state until the other side's watermark passes the range, then evicts them. The
-    joint watermark is the minimum of the inputs' (``multipleWatermarkPolicy=min``)."""
+    joint watermark is the minimum of the inputs' (``multipleWatermarkPolicy=min``).
+
+    As in the batch form, the key is extended by a time bucket of width
+    ``lower + upper`` (the right row is copied to the at most two buckets its range
+    reaches), so a new row is compared only with buffered rows of nearby time, not with
+    every buffered row of its key."""
     r = right.withColumnRenamed(on, "_tm_rkey")
-    cond = ((left[on] == r["_tm_rkey"])
-            & (r[right_ts] >= left[left_ts] - interval(lower))
-            & (r[right_ts] <= left[left_ts] + interval(upper)))
-    j = left.join(r, cond, "inner")
+    l = left
+    cond = ((l[on] == r["_tm_rkey"])
+            & (r[right_ts] >= l[left_ts] - interval(lower))
+            & (r[right_ts] <= l[left_ts] + interval(upper)))
+    if bucketed:
+        lo, hi = interval_seconds(lower), interval_seconds(upper)
+        w_us = int(max(lo + hi, 1) * 1_000_000)
+        l = l.withColumn("_tm_b", F.floor(epoch_micros(left_ts) / w_us))
+        r_us = epoch_micros(right_ts)
+        r = r.withColumn("_tm_rb", F.explode(F.sequence(F.floor((r_us - int(hi * 1_000_000)) / w_us),
+                                                       F.floor((r_us + int(lo * 1_000_000)) / w_us))))
+        cond = ((l[on] == r["_tm_rkey"]) & (l["_tm_b"] == r["_tm_rb"])
+                & (r[right_ts] >= l[left_ts] - interval(lower))
+                & (r[right_ts] <= l[left_ts] + interval(upper)))
+    j = l.join(r, cond, "inner")
     rest_l = [c for c in left.columns if c != on]
     rest_r = [c for c in right.columns if c != on]
     return j.select(on, *rest_l, *rest_r)
