@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # checkpointed scan slices are dropped from the shared folder once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
