@@ -97,3 +97,23 @@ def test_hot_key_is_split_into_balanced_slices(spark):
     hot = [n for (k, _), n in sizes.items() if k == "hot"]
     assert len(hot) >= 5
     assert max(sizes.values()) <= 2 * len(data) / 8
+
+
+def test_skew_check_picks_the_plan(spark):
+    """No hot key: a plain keyed window (no range slicing). A key with most rows: slices.
+    Both give the single-window answer."""
+    from tidemark.plans.prefix import no_hot_key
+
+    even = spark.createDataFrame([(i, f"k{i % 20}", 1) for i in range(400)], "seq long, k string, v long")
+    hot = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 20}", 1) for i in range(400)],
+                                "seq long, k string, v long")
+    assert no_hot_key(even, ["k"], ranges=8)
+    assert not no_hot_key(hot, ["k"], ranges=8)
+    for df in (even, hot):
+        got = prefix_scan(df, ["seq"], {"c": Scan("count", F.lit(1))}, partition_by=["k"], ranges=8)
+        ref = df.select("seq", F.count(F.lit(1)).over(
+            Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
+        assert rows(got, "seq", "c") == rows(ref, "seq", "c")
+    plan = prefix_scan(even, ["seq"], {"c": Scan("count", F.lit(1))}, partition_by=["k"], ranges=8) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange") == 1

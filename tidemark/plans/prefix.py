@@ -28,6 +28,10 @@ Slices come from one of two places:
   ``spark.checkpoint.dir``) and the summary and every later branch read those rows. This
   also cuts the lineage, so a lost executor never re-slices.
 
+Keyed scans first count rows per key (:func:`no_hot_key`): when no key holds more than
+twice an average slice, every key is its own slice and a plain keyed window does the job
+with one shuffle and no summary. Only when a hot key exists are the rows range-sliced.
+
 Only associative aggregates qualify (sum, count, max, min). The order must be total
 (include a unique tie-breaker) for the result to be deterministic.
 """
@@ -44,6 +48,7 @@ from pyspark.sql import types as T
 from tidemark.session import default_ranges, ensure_checkpoint_dir
 
 SLICE = "_tm_slice"
+PLAIN = "_tm_plain"  # marks a scan whose keys each fit one slice (kept with keep_slice)
 
 
 @dataclass(frozen=True)
@@ -85,6 +90,20 @@ def slice_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[st
             .withColumn(SLICE, F.spark_partition_id()))
 
 
+def no_hot_key(df: DataFrame, keys: Sequence[str], ranges: int | None = None) -> bool:
+    """True when no key holds more than twice the rows of an average slice, so a plain
+    keyed window spreads evenly. One aggregation pass (partial counts per key, then two
+    numbers to the driver). ``tidemark.scan.skewCheck=false`` skips it and always slices."""
+    spark = df.sparkSession
+    if str(spark.conf.get("tidemark.scan.skewCheck", "true")).lower() == "false":
+        return False
+    n = ranges or default_ranges(spark)
+    st = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("t")).collect()[0]
+    if st["t"] is None:
+        return True
+    return st["m"] <= max(2.0 * st["t"] / n, 1.0)
+
+
 def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
                 partition_by: Sequence[str] = (), ranges: int | None = None,
                 keep_slice: bool = False, bucket: Column | None = None) -> DataFrame:
@@ -108,12 +127,18 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
         if kind not in _LOCAL:
             raise ValueError(f"prefix_scan supports sum/count/max/min, not {kind!r}")
 
-    ranged = SLICE not in df.columns and bucket is None
+    ranged = plain = False
     if SLICE in df.columns:
         sliced = df
+        plain = PLAIN in df.columns
     elif bucket is not None:
         sliced = df.withColumn(SLICE, bucket)
+    elif keys and no_hot_key(df, keys, ranges):
+        # every key fits a task: one slice per key, a plain keyed window, no summary
+        plain = True
+        sliced = df.withColumns({SLICE: F.lit(0), PLAIN: F.lit(True)})
     else:
+        ranged = True
         sliced = slice_rows(df, order, keys, ranges)
 
     # Null-safe grouping columns shared by the local window, the summary and the join:
@@ -131,6 +156,10 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     local_cols = {f"_tm_local_{name}": _LOCAL[s.kind](s.expr).over(incl if s.inclusive else excl)
                   for name, s in scans.items()}
     with_local = sliced.withColumns(local_cols)
+    if plain:
+        out = with_local.withColumns({name: F.col(f"_tm_local_{name}") for name in scans})
+        out = out.drop(*local_cols)
+        return out if keep_slice else out.drop(*gcols, SLICE, PLAIN)
     if ranged:
         # Slicing and the local window run once, inside this checkpoint; the summary
         # below and every later consumer read the stored rows (still partitioned by
