@@ -30,3 +30,13 @@ def rows(df, *cols):
     """Sorted list of tuples for order-insensitive comparison."""
     cols = cols or tuple(df.columns)
     return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+
+
+@pytest.fixture()
+def sliced_scans(spark):
+    """Run a test with the global-scan shortcut off, so its scans are range-sliced."""
+    spark.conf.set("tidemark.scan.singleTaskRows", "0")
+    spark.conf.set("tidemark.scan.skewCheck", "false")
+    yield
+    spark.conf.unset("tidemark.scan.singleTaskRows")
+    spark.conf.unset("tidemark.scan.skewCheck")

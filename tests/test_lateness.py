@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -11,7 +12,10 @@ def trace(spark):
             .withColumn("ts", F.timestamp_seconds("age")))
 
 
-def test_classification_trace(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_classification_trace(spark, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     c = lateness.classify_window_rows(trace(spark), "ts", ["seq"], "10 seconds", "3 seconds",
                                       "2 seconds", ranges=3)
     got = [r.lateness for r in c.orderBy("seq").collect()]
@@ -27,7 +31,10 @@ def test_side_outputs_and_property(spark):
     assert outs["main"].count() + outs["late"].count() == len(OOO_ARRIVAL)
 
 
-def test_refinements_trace(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_refinements_trace(spark, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     c = lateness.classify_window_rows(trace(spark), "ts", ["seq"], "10 seconds", "3 seconds", "2 seconds")
     ref = lateness.refinements(c, ["name"], ["seq"])
     got = sorted((int(r.window_start.timestamp()), r.firing, r.n) for r in ref.collect())
@@ -41,7 +48,10 @@ def test_zero_delay_watermark(spark):
     assert got[5] == "late" and got[13] == "on_time" and got[1] == "on_time"
 
 
-def test_join_lateness(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_join_lateness(spark, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     left = spark.createDataFrame([(1, 10, 0), (2, 2, 3), (3, 30, 4)], "id long, t int, seq long") \
         .withColumn("lts", F.timestamp_seconds("t"))
     right = spark.createDataFrame([(7, 20, 1), (8, 5, 2), (9, 1, 5)], "id long, t int, seq long") \

@@ -107,3 +107,22 @@ def test_count_tumbling_matches_brute_force(spark, data, size):
         seqs = [i for i, (kk, _) in enumerate(data) if kk == k]
         want += [(k, g, tuple(seqs[g * size:(g + 1) * size])) for g in range(len(seqs) // size)]
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(times=st.lists(st.integers(0, 100), min_size=1, max_size=50), delay=st.integers(0, 10))
+def test_lateness_classes_with_sliced_scan(spark, times, delay):
+    """The same rule with the global scan forced onto range slices."""
+    spark.conf.set("tidemark.scan.singleTaskRows", "0")
+    try:
+        df = (spark.createDataFrame(list(enumerate(times)), "seq long, t long")
+              .withColumn("ts", F.timestamp_seconds("t")))
+        c = lateness.classify_window_rows(df, "ts", ["seq"], "10 seconds", f"{delay} seconds", ranges=3)
+        got = {r.seq: r.wm for r in c.collect()}
+        mx = None
+        for i, t in enumerate(times):
+            want = None if mx is None else mx - delay
+            assert (got[i] is None and want is None) or int(got[i].timestamp()) == want
+            mx = t if mx is None else max(mx, t)
+    finally:
+        spark.conf.unset("tidemark.scan.singleTaskRows")

@@ -49,7 +49,10 @@ def test_prefix_scan_hot_key_matches_single_window(spark, mode):
     assert rows(got, "seq", "s", "mx", "c", "mn") == rows(ref, "seq", "s", "mx", "c", "mn")
 
 
-def test_prefix_scan_global_order(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_prefix_scan_global_order(spark, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     data = [(i, (i * 37) % 101) for i in range(300)]
     df = spark.createDataFrame(data, "seq long, v int")
     got = prefix_scan(df, ["seq"], {"m": Scan("max", F.col("v"), inclusive=False)}, ranges=5)
@@ -72,7 +75,7 @@ def test_top_n_salted_exact(spark):
     assert rows(got, "w", "rank", "k", "n") == sorted(expected)
 
 
-def test_prefix_scan_null_key_is_its_own_group(spark):
+def test_prefix_scan_null_key_is_its_own_group(spark, sliced_scans):
     data = [(i, None if i % 3 == 0 else "a", 1) for i in range(60)]
     df = spark.createDataFrame(data, "seq long, k string, v long")
     got = prefix_scan(df, ["seq"], {"c": Scan("sum", F.col("v"))}, partition_by=["k"], ranges=5)

@@ -48,7 +48,10 @@ def test_stream_lateness_matches_replay(spark, scratch, sizes):
     assert got == [(0, 0, 3), (0, 1, 4), (10, 0, 3), (20, 0, 1), (40, 0, 1)]
 
 
-def test_stream_lateness_equals_batch_on_events(spark, scratch):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_stream_lateness_equals_batch_on_events(spark, scratch, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     arr = F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") * 7919 % 7200) * 1_000_000
     recs = (ev.select(F.col("event_id").alias("seq"), F.col("event_type").alias("k"),

@@ -31,6 +31,8 @@ Slices come from one of two places:
 Keyed scans first count rows per key (:func:`no_hot_key`): when no key holds more than
 twice an average slice, every key is its own slice and a plain keyed window does the job
 with one shuffle and no summary. Only when a hot key exists are the rows range-sliced.
+A global scan (no key) runs as one ordered window only when its input is counted to be
+at most ``tidemark.scan.singleTaskRows`` rows (:func:`fits_one_task`); otherwise it is sliced.
 
 Only associative aggregates qualify (sum, count, max, min). The order must be total
 (include a unique tie-breaker) for the result to be deterministic.
@@ -104,6 +106,26 @@ def no_hot_key(df: DataFrame, keys: Sequence[str], ranges: int | None = None) ->
     return st["m"] <= max(2.0 * st["t"] / n, 1.0)
 
 
+# Rows one task may take for a global (unkeyed) scan without slicing.
+SINGLE_TASK_ROWS = 1_000_000
+
+
+# Inputs read by more tasks than this are taken as large without counting them.
+SINGLE_TASK_MAX_PARTITIONS = 64
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """True when the input has at most ``tidemark.scan.singleTaskRows`` rows (default
+    1,000,000), counted exactly: then one ordered window over all rows is bounded and
+    cheaper than slicing. An input split over more than 64 partitions is taken as large
+    from its plan alone (no pass over the data); larger inputs are always sliced."""
+    spark = df.sparkSession
+    bound = int(spark.conf.get("tidemark.scan.singleTaskRows", str(SINGLE_TASK_ROWS)))
+    if bound <= 0 or df.rdd.getNumPartitions() > SINGLE_TASK_MAX_PARTITIONS:
+        return False
+    return df.limit(bound + 1).count() <= bound
+
+
 def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
                 partition_by: Sequence[str] = (), ranges: int | None = None,
                 keep_slice: bool = False, bucket: Column | None = None) -> DataFrame:
@@ -133,8 +155,9 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
         plain = PLAIN in df.columns
     elif bucket is not None:
         sliced = df.withColumn(SLICE, bucket)
-    elif keys and no_hot_key(df, keys, ranges):
-        # every key fits a task: one slice per key, a plain keyed window, no summary
+    elif (keys and no_hot_key(df, keys, ranges)) or (not keys and fits_one_task(df)):
+        # every key fits a task (or, with no key, the whole counted input does): one
+        # slice per key, a plain window, no summary
         plain = True
         sliced = df.withColumns({SLICE: F.lit(0), PLAIN: F.lit(True)})
     else:
