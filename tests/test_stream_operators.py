@@ -175,3 +175,23 @@ def test_event_table_stream_windows_equal_batch(spark, scratch):
     want = rows(closed.select("event_type", F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("w"),
                               "n", "cents"), "event_type", "w", "n", "cents")
     assert got == want and len(got) > 100
+
+
+def test_dynamic_gap_sessions_on_a_stream(spark, scratch):
+    """W9 on a stream: the gap is an expression of the row, as in the batch query."""
+    from tidemark.plans.queries import session_gap
+
+    recs = [{"k": "a", "t": t, "event_type": e} for t, e in
+            [(0, "click"), (1500, "view"), (3000, "view"), (9000, "purchase"), (20000, "click")]]
+    src = os.path.join(scratch, "in")
+    write_batches(src, [recs[:2], recs[2:]])
+    df = json_stream(spark, src, "k string, t long, event_type string")
+    ev = so.with_event_time(df, "ts", "10 hours", F.timestamp_seconds("t"))
+    agg = ev.groupBy("k", windows.session("ts", session_gap()).alias("s")).agg(F.count("*").alias("n"))
+    out = run_to_memory(agg, os.path.join(scratch, "ck"), mode="complete")
+    got = sorted((int(r.s.start.timestamp()), int(r.s.end.timestamp()), r.n) for r in out.collect())
+    static = spark.read.schema("k string, t long, event_type string").json(src).withColumn(
+        "ts", F.timestamp_seconds("t"))
+    batch = windows.session_agg(static, ["k"], "ts", session_gap(), "t", [F.count("*").alias("n")])
+    want = sorted((int(r.session_start.timestamp()), int(r.session_end.timestamp()), r.n) for r in batch.collect())
+    assert got == want == [(0, 6600, 3), (9000, 16200, 1), (20000, 21800, 1)]

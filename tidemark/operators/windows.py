@@ -28,7 +28,13 @@ def sliding(ts: str | Column, size: str, slide: str) -> Column:
 
 def session(ts: str | Column, gap: str | Column) -> Column:
     """Spark's native session window (fixed or per-row gap). Used by the
-    streaming path; the batch path uses :func:`session_agg`, which splits hot keys."""
+    streaming path; the batch path uses :func:`session_agg`, which splits hot keys.
+
+    A per-row gap may be given as the same day-time interval expression the batch path
+    takes; it is rendered as the interval text ``session_window`` reads."""
+    if isinstance(gap, Column):
+        micros = F.unix_micros(F.timestamp_seconds(F.lit(0)) + gap)
+        gap = F.concat(micros.cast("string"), F.lit(" microseconds"))
     return F.session_window(col(ts), gap)
 
 
