@@ -178,3 +178,28 @@ def test_stream_interval_join_late_restart(spark, scratch):
     expected = joins.interval_join(lj, rj, "user_id", "l_ts", "r_ts", "2 hours", "2 hours")
     assert rows(out["joined"], "l_event_id", "r_event_id") == rows(expected, "l_event_id", "r_event_id")
     assert rows(out["left_late"], "event_id") == rows(l.where("late"), "event_id")
+
+
+def test_late_interval_join_from_two_streams(spark, scratch):
+    """Two sources, as in the reference's two-topic job: tagged, unioned, joined with
+    per-side late outputs. Arrival is the shared sequence column."""
+    from tidemark.streaming.lateness import IntervalJoinLateOperator, both_sides
+
+    left = [{"k": k, "t": t, "seq": i} for i, (k, t) in enumerate([("a", 2), ("b", 30), ("c", 1)])]
+    right = [{"k": k, "t": t, "v": v, "seq": 10 + i} for i, (k, t, v) in
+             enumerate([("a", 3, 11), ("b", 31, 22), ("c", 2, 33)])]
+    ls, rs = os.path.join(scratch, "l"), os.path.join(scratch, "r")
+    write_batches(ls, [left])
+    write_batches(rs, [right])
+    l = json_stream(spark, ls, "k string, t long, seq long").withColumn("ts", F.timestamp_seconds("t"))
+    r = json_stream(spark, rs, "k string, t long, v long, seq long").withColumn("ts", F.timestamp_seconds("t"))
+    op = IntervalJoinLateOperator(os.path.join(scratch, "st"), os.path.join(scratch, "out"), "k", "ts",
+                                  ["seq"], ["t", "v"], "2 seconds", "2 seconds", "0 seconds")
+    run_bounded(both_sides(l, r), foreach_batch=op, checkpoint=os.path.join(scratch, "ck"))
+    out = op.outputs(spark)
+    # arrival by seq: L a2, L b30, L c1, R a3, R b31, R c2. The joint watermark exists once
+    # both sides have a row: at R b31 it is min(30, 3) = 3, at R c2 min(30, 31) = 30, so
+    # c2 is late on the right and c has no pair.
+    assert rows(out["joined"], "k", "l_t", "r_t") == [("a", 2, 3), ("b", 30, 31)]
+    assert rows(out["right_late"], "k", "t") == [("c", 2)]
+    assert out["left_late"].count() == 0

@@ -166,6 +166,14 @@ class LatenessOperator:
         return out
 
 
+def both_sides(left: DataFrame, right: DataFrame, side: str = "side") -> DataFrame:
+    """Two input streams (e.g. two topics) as the one stream the late interval join
+    reads: rows tagged ``"L"`` / ``"R"`` in ``side``, columns aligned by name (a column
+    only one side has is null on the other)."""
+    return (left.withColumn(side, F.lit("L"))
+            .unionByName(right.withColumn(side, F.lit("R")), allowMissingColumns=True))
+
+
 class IntervalJoinLateOperator:
     """J3 / L7 on a stream, exactly: an interval join of two inputs whose late rows go
     to per-side outputs, as the batch ``join_lateness`` + ``interval_join`` define it.
