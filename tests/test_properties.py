@@ -72,6 +72,8 @@ def test_count_windows_match_brute_force(spark, data, size, slide):
     df = spark.createDataFrame([(i, k) for i, (k, _) in enumerate(data)], "seq long, k string")
     sl = windows.count_sliding(df, ["k"], ["seq"], size, slide, [F.collect_list("seq").alias("s")], ranges=3)
     got = sorted((r.k, r.fire_seq, tuple(sorted(r.s))) for r in sl.collect())
+    framed = windows.count_sliding(df, ["k"], ["seq"], size, slide, {"s": F.collect_list("seq")}, ranges=3)
+    assert sorted((r.k, r.fire_seq, tuple(sorted(r.s))) for r in framed.collect()) == got
     expected = []
     for k in sorted({k for k, _ in data}):
         seqs = [i for i, (kk, _) in enumerate(data) if kk == k]

@@ -164,9 +164,8 @@ def window_count_tumbling(spark, sf):
 def window_count_sliding(spark, sf):
     """Every 2nd event per user, the last up-to-5 events."""
     ev = _with_cents(_events(spark, sf)).select("user_id", "event_id", "cents")
-    return windows.count_sliding(ev, ["user_id"], ["event_id"], 5, 2, [
-        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event_id"),
-        F.sum("cents").alias("cents")])
+    return windows.count_sliding(ev, ["user_id"], ["event_id"], 5, 2, {
+        "n": F.count(F.lit(1)), "first_event_id": F.min("event_id"), "cents": F.sum("cents")})
 
 
 def window_reduce(spark, sf):
