@@ -1,5 +1,6 @@
 import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -39,7 +40,10 @@ def test_session_every_input_order(spark):
         assert got == [(0, 24, 2), (25, 37, 1)]
 
 
-def test_session_matches_native_session_window(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_session_matches_native_session_window(spark, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     data = [("a", t) for t in (0, 3, 20, 21, 50, 62, 63, 100)] + [("b", t) for t in (1, 30, 41)]
     df = timed(spark, data)
     mine = windows.session_agg(df, ["k"], "ts", "10 seconds", "t", [F.count("*").alias("n")], ranges=3)
@@ -59,7 +63,10 @@ def test_dynamic_gap_session(spark):
     assert got == [(0, 5, 1), (8, 13, 1), (30, 50, 2)]
 
 
-def test_count_windows(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_count_windows(spark, request, sliced):
+    if sliced:
+        request.getfixturevalue("sliced_scans")
     df = spark.createDataFrame([("a", i) for i in range(1, 12)] + [("b", 100), ("b", 101)],
                                "k string, seq long")
     tum = windows.count_tumbling(df, ["k"], ["seq"], 5, [F.collect_list("seq").alias("s")])

@@ -77,10 +77,13 @@ def session_agg(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
     # the flags are a cheap function of the checkpointed first scan, so the second
     # scan's rows and summary both read them from there (same slices, same partitioning)
     d = prefix_scan(d, order, {"_tm_sid": Scan("sum", F.col("_tm_new"))},
-                    partition_by=keys, ranges=ranges)
-    g = d.groupBy(*keys, "_tm_sid").agg(F.min(ts).alias("session_start"),
-                                       F.max("_tm_end").alias("session_end"), *aggs)
-    return g.drop("_tm_sid")
+                    partition_by=keys, ranges=ranges, keep_slice=True)
+    # Without a hot key every key (so every session) is in one partition already: group
+    # within it. A hot key's sessions may span slices, so they are shuffled by session.
+    part = [c for c in d.columns if c.startswith(("_tm_g", "_tm_z"))] if PLAIN in d.columns else []
+    g = d.groupBy(*part, *keys, "_tm_sid").agg(F.min(ts).alias("session_start"),
+                                              F.max("_tm_end").alias("session_end"), *aggs)
+    return g.drop("_tm_sid", *part)
 
 
 def count_tumbling(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], size: int,
