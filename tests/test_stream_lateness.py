@@ -203,3 +203,12 @@ def test_late_interval_join_from_two_streams(spark, scratch):
     assert rows(out["joined"], "k", "l_t", "r_t") == [("a", 2, 3), ("b", 30, 31)]
     assert rows(out["right_late"], "k", "t") == [("c", 2)]
     assert out["left_late"].count() == 0
+
+
+def test_state_versions_are_bounded(spark, scratch):
+    """Ten micro-batches leave only the last few state versions behind."""
+    out = run_operator(spark, scratch, split(trace_records(), [1] * 10), "10 seconds", "3 seconds",
+                       "2 seconds", "v")
+    assert out["classified"].count() == 10
+    versions = sorted(os.listdir(os.path.join(scratch, "state-v", "windows")))
+    assert len(versions) <= 3 and versions[-1] == "v=9"
