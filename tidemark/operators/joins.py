@@ -50,8 +50,11 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, righ
     small inputs and as a reference in tests.
     """
     lo, hi = interval_seconds(lower), interval_seconds(upper)
-    cond_range = lambda l, r: (r[right_ts] >= l[left_ts] - interval(lower)) & \
-        (r[right_ts] <= l[left_ts] + interval(upper))
+
+    def cond_range(l: DataFrame, r: DataFrame):
+        return ((r[right_ts] >= l[left_ts] - interval(lower))
+                & (r[right_ts] <= l[left_ts] + interval(upper)))
+
     rest_l = [c for c in left.columns if c != on]
     rest_r = [c for c in right.columns if c != on]
     r0 = _rename_key(right, on)
