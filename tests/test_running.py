@@ -32,7 +32,7 @@ def test_running_sum_word_stream(spark):
 
 
 @pytest.mark.parametrize("mode", ["ranges", "bucket"])
-def test_prefix_scan_hot_key_matches_single_window(spark, mode):
+def test_prefix_scan_hot_key_matches_single_window(spark, sliced_scans, mode):
     rnd = random.Random(3)
     # one key holds most rows, as a hot key would
     data = [(i, "hot" if rnd.random() < 0.7 else rnd.choice("abc"), rnd.randint(-5, 9)) for i in range(400)]
@@ -110,8 +110,13 @@ def test_skew_check_picks_the_plan(spark):
     even = spark.createDataFrame([(i, f"k{i % 20}", 1) for i in range(400)], "seq long, k string, v long")
     hot = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 20}", 1) for i in range(400)],
                                 "seq long, k string, v long")
-    assert no_hot_key(even, ["k"], ranges=8)
-    assert not no_hot_key(hot, ["k"], ranges=8)
+    spark.conf.set("tidemark.scan.hotKeyRows", "0")
+    try:
+        assert no_hot_key(even, ["k"], ranges=8)
+        assert not no_hot_key(hot, ["k"], ranges=8)
+    finally:
+        spark.conf.unset("tidemark.scan.hotKeyRows")
+    assert no_hot_key(hot, ["k"], ranges=8)  # 267 rows are below the absolute floor
     for df in (even, hot):
         got = prefix_scan(df, ["seq"], {"c": Scan("count", F.lit(1))}, partition_by=["k"], ranges=8)
         ref = df.select("seq", F.count(F.lit(1)).over(

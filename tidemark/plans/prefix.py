@@ -92,18 +92,24 @@ def slice_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[st
             .withColumn(SLICE, F.spark_partition_id()))
 
 
+# A key with at most this many rows is never treated as hot (one task takes it easily).
+HOT_KEY_MIN_ROWS = 1_000_000
+
+
 def no_hot_key(df: DataFrame, keys: Sequence[str], ranges: int | None = None) -> bool:
-    """True when no key holds more than twice the rows of an average slice, so a plain
-    keyed window spreads evenly. One aggregation pass (partial counts per key, then two
-    numbers to the driver). ``tidemark.scan.skewCheck=false`` skips it and always slices."""
+    """True when no key holds more than twice the rows of an average slice (or, at
+    least, ``tidemark.scan.hotKeyRows`` rows, default 1,000,000), so a plain keyed window
+    spreads evenly. One aggregation pass (partial counts per key, then two numbers to the
+    driver). ``tidemark.scan.skewCheck=false`` skips it and always slices."""
     spark = df.sparkSession
     if str(spark.conf.get("tidemark.scan.skewCheck", "true")).lower() == "false":
         return False
     n = ranges or default_ranges(spark)
+    floor = int(spark.conf.get("tidemark.scan.hotKeyRows", str(HOT_KEY_MIN_ROWS)))
     st = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("t")).collect()[0]
     if st["t"] is None:
         return True
-    return st["m"] <= max(2.0 * st["t"] / n, 1.0)
+    return st["m"] <= max(2.0 * st["t"] / n, floor, 1.0)
 
 
 # Rows one task may take for a global (unkeyed) scan without slicing.
