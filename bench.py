@@ -25,10 +25,13 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     scratch = tempfile.mkdtemp(prefix="tidemark-bench-")
+    extra = {"spark.driver.memory": "16g",
+             "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+             "spark.local.dir": os.path.join(scratch, "local")}
+    if os.environ.get("BENCH_FORCE_SLICES"):  # measure the hot-key / large-input plans
+        extra.update({"tidemark.scan.skewCheck": "false", "tidemark.scan.singleTaskRows": "0"})
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="tidemark-bench",
-                          extra={"spark.driver.memory": "16g",
-                                 "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-                                 "spark.local.dir": os.path.join(scratch, "local")})
+                          extra=extra)
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
