@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.line_dedup import line_report
+from tidemark.llm.near_dedup import near_classes
 from tidemark.llm.packing import pack
 from tidemark.llm.text import read_table
 from tidemark.llm.topk import quantise, top_products
@@ -20,14 +22,25 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary_path(PACK_VOCABULARY))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class."""
+    classes = near_classes(read_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "copies", "class_size", "kept")
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest inner products of every 50th vector against all others."""
     vectors = quantise(read_table(spark, sf_dir, "embeddings"))
     return top_products(vectors.filter("vec_id % 50 = 0"), vectors, k=5)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its number of duplicate lines and the digest of what stays."""
+    return line_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_harmonic_packing, op9_exact_topk,
+    op1_harmonic_packing, op4_near_dedup, op9_exact_topk, op10_line_dedup,
 )}
 
 ORACLE: dict[str, str] = {

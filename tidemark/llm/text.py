@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Characters that str.split() takes for white space and the tokenizers' \s does not.
 UNSHARED_SPACE = re.compile("[\x1c-\x1f]")
@@ -46,3 +47,15 @@ def slices_at_space(text: str, size: int = 1 << 20) -> Iterator[str]:
         start = m.end()
     if start < n or not n:
         yield text[start:]
+
+
+# A table of at most this many flat rows (some 64 bytes each) may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def join_counted(big: DataFrame, small: DataFrame, on, how: str = "inner", rows: int | None = None) -> DataFrame:
+    """Join with a materialised ``small`` side: broadcast if its rows (or ``rows``, the
+    number of flat entries that it holds) are within :data:`BROADCAST_ROWS`, so that
+    ``big`` is not shuffled; else by shuffle."""
+    n = small.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
+    return big.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on, how)
