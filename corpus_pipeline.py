@@ -10,19 +10,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import remove_contaminated
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.near_dedup import keep_one_of_each
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import resample
 from tidemark.llm.queries import PACK_VOCABULARY
 from tidemark.llm.text import read_table
 from tidemark.llm.vocabulary import vocabulary_path
 from tidemark.session import checkpoint_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance resampling takes."""
+    return resample(docs, read_table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that an earlier document has."""
+    return dedup_lines(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return keep_one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an overlap with the benchmark."""
+    return remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All remaining documents as pieces of token sequences."""
     return pack(docs, vocabulary_path(PACK_VOCABULARY))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("packing", packing),
 ]
 

@@ -7,9 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.line_dedup import line_report
 from tidemark.llm.near_dedup import near_classes
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import selected
 from tidemark.llm.text import read_table
 from tidemark.llm.topk import quantise, top_products
 from tidemark.llm.vocabulary import vocabulary_path
@@ -22,12 +24,22 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary_path(PACK_VOCABULARY))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's verified overlaps with benchmark items."""
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class."""
     classes = near_classes(read_table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "copies", "class_size", "kept")
 
 
+def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight and whether the Gumbel top-k takes it."""
+    return selected(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest inner products of every 50th vector against all others."""
     vectors = quantise(read_table(spark, sf_dir, "embeddings"))
@@ -40,7 +52,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_harmonic_packing, op4_near_dedup, op9_exact_topk, op10_line_dedup,
+    op1_harmonic_packing, op2_decontaminate, op4_near_dedup, op7_quality_resampling, op9_exact_topk, op10_line_dedup,
 )}
 
 ORACLE: dict[str, str] = {
