@@ -11,10 +11,11 @@ binary parts of m, which again gives sequences whose lengths are powers of two.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,18 +29,35 @@ _ARROW = pa.schema([pa.field(n, pa.int64()) for n in
                     ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
+# Marks that form a token of their own behind a word and don't change the word.
+_MARKS = "!#$%&*,.:;?|"
+
+
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit bytes, from a tokenizer file that drops white
-    space: its ids of a text are those of the text's white-space-separated chunks, one
-    after the other, so each distinct chunk is encoded once."""
+    space and case: its ids of a text are those of the text's white-space-separated chunks,
+    one after the other, and those of a word with marks behind it are the word's and the
+    marks'. So each distinct word is encoded once, and chunks are put together from words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache = ChunkCache(self.encode)
+        self.words = ChunkCache(self.encode, limit=600_000)
+        self.cache = ChunkCache(self.chunk, limit=500_000)
 
     def encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def chunk(self, chunk: str) -> bytes:
+        word = chunk.rstrip(_MARKS)
+        lower = word.lower()
+        if not lower.isalpha():  # of a few capitals the lower case ends in a mark
+            return self.encode(chunk)
+        ids = self.words[lower if word.isascii() else word]
+        return ids if len(word) == len(chunk) else ids + self.words[chunk[len(word):]]
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -108,7 +126,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, capacity: int
         raise ValueError("the capacity must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = word_tokenizer(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes()
+        ids_of, end = word_tokenizer(tokenizer_path), end_id.to_bytes(4, "little")
         bins = HarmonicBins(capacity, TaskContext.get().partitionId() << 40)
         rows: list[tuple] = []
 

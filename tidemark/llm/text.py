@@ -18,19 +18,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class ChunkCache(dict):
-    """``chunk -> make(chunk)``, remembered for short chunks; emptied when ``limit`` is
-    reached, so that a worker's memory stays bounded whatever the vocabulary."""
+    """``chunk -> make(chunk)``, remembered for short chunks. At ``limit`` entries the older
+    half goes, but for what was asked for since, so that a worker's memory stays bounded
+    whatever the vocabulary."""
 
     def __init__(self, make: Callable, limit: int = 300_000, longest: int = 48):
         super().__init__()
-        self.make, self.limit, self.longest = make, limit, longest
+        self.make, self.half, self.longest, self.older = make, limit // 2, longest, {}
 
     def __missing__(self, chunk):
-        value = self.make(chunk)
-        if len(chunk) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[chunk] = value
+        value = self.older.pop(chunk, None)
+        if value is None:
+            value = self.make(chunk)
+            if len(chunk) > self.longest:
+                return value
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = value
         return value
 
 
