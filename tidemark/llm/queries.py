@@ -12,8 +12,10 @@ from tidemark.llm.line_dedup import line_report
 from tidemark.llm.near_dedup import near_classes
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import selected
+from tidemark.llm.secrets import secret_report
 from tidemark.llm.text import read_table
 from tidemark.llm.topk import quantise, top_products
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.vocabulary import vocabulary_path
 
 PACK_VOCABULARY = "word_bpe_49k.json"
@@ -29,12 +31,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score."""
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class."""
     classes = near_classes(read_table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "copies", "class_size", "kept")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: counts, digest and spans."""
+    return secret_report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's importance weight and whether the Gumbel top-k takes it."""
     return selected(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -52,7 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_decontaminate, op4_near_dedup, op7_quality_resampling, op9_exact_topk, op10_line_dedup,
+    op1_harmonic_packing, op2_decontaminate, op3_toxicity, op4_near_dedup, op5_secrets, op7_quality_resampling, op9_exact_topk, op10_line_dedup,
 )}
 
 ORACLE: dict[str, str] = {
