@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.licenses import document_paths, scan_licences
 from tidemark.llm.line_dedup import line_report
 from tidemark.llm.near_dedup import near_classes
 from tidemark.llm.packing import pack
@@ -15,10 +17,18 @@ from tidemark.llm.quality import selected
 from tidemark.llm.secrets import secret_report
 from tidemark.llm.text import read_table
 from tidemark.llm.topk import quantise, top_products
+from tidemark.llm.token_counts import EDIT_TYPE, apply_edits, build_trees
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.vocabulary import vocabulary_path
 
 PACK_VOCABULARY = "word_bpe_49k.json"
+COUNT_VOCABULARY = "byte_bpe_50k.json"
+
+# One edit for each 2000 characters, at places that follow from the id: up to seven
+# characters are replaced by one of six strings.
+EDITS = """transform(sequence(0L, greatest(length(text) div 2000 - 1, 0)), i -> named_struct(
+  'start', pmod(xxhash64(doc_id, i), length(text) + 1L), 'length', pmod(xxhash64(i, doc_id), 8L),
+  'text', element_at(array('', ' the', 'x', '\\n\\n', '2024', ' -- '), cast(pmod(xxhash64(doc_id, i, 7), 6L) as int) + 1)))"""
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +57,25 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence, its own or its directory's."""
+    return scan_licences(document_paths(read_table(spark, sf_dir, "documents")))
+
+
 def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's importance weight and whether the Gumbel top-k takes it."""
     return selected(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after a set of edits."""
+    path = vocabulary_path(COUNT_VOCABULARY)
+    trees = build_trees(read_table(spark, sf_dir, "documents"), path).withColumn("edits", F.expr(EDITS).cast(EDIT_TYPE))
+    edited = apply_edits(trees, path)
+    return edited.select("doc_id", "tokens_before", "tokens_after", "n_edits", "recounted", F.size("leaf_tokens").alias("n_leaves"),
+                         F.md5("text").alias("text_md5"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest inner products of every 50th vector against all others."""
     vectors = quantise(read_table(spark, sf_dir, "embeddings"))
@@ -64,7 +88,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_decontaminate, op3_toxicity, op4_near_dedup, op5_secrets, op7_quality_resampling, op9_exact_topk, op10_line_dedup,
+    op1_harmonic_packing, op2_decontaminate, op3_toxicity, op4_near_dedup, op5_secrets,
+    op6_license_scan, op7_quality_resampling, op8_edit_counts, op9_exact_topk, op10_line_dedup,
 )}
 
 ORACLE: dict[str, str] = {
