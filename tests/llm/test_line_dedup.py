@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from helpers import DOC_SCHEMA, distance, empty_docs, odd_docs
+from pyspark.sql import functions as F
+
+from tidemark.llm.line_dedup import MIN_CHARS, NO_ID, band_distance, dedup_lines, line_report
+
+
+def brute(docs):
+    at = [(NO_ID if d is None else d, no, raw.strip(" "), i)
+          for i, (d, t) in enumerate(docs) if t is not None for no, raw in enumerate(t.split("\n")) if len(raw.strip(" ")) >= MIN_CHARS]
+    gone = set()
+    for d, no, line, i in at:
+        if any((e, m) < (d, no) and abs(len(x) - len(line)) <= 1 and distance(x, line) <= 1 for e, m, x, _ in at):
+            gone.add((i, no))
+    return [(d, None if t is None else "\n".join(x for no, x in enumerate(t.split("\n")) if (i, no) not in gone)) for i, (d, t) in enumerate(docs)]
+
+
+def variants(n_docs, seed):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randint(18, 60))) for _ in range(20)]
+    docs = []
+    for i in range(n_docs):
+        out = []
+        for _ in range(rng.randint(0, 6)):
+            line = list(rng.choice(base) if rng.random() < 0.6 else base[0])
+            for _ in range(rng.choice([0, 0, 1, 1, 2])):
+                p, o = rng.randrange(len(line)), rng.random()
+                if o < 0.33:
+                    line.pop(p)
+                elif o < 0.66:
+                    line.insert(p, rng.choice("xyz😀"))
+                else:
+                    line[p] = rng.choice("xyz")
+            out.append("".join(line))
+        docs.append((i if i % 17 else None, None if i % 23 == 5 else "\n".join(out)))
+    return [*docs, docs[3], docs[3]]
+
+
+def test_equals_brute_force_with_hot_groups(spark):
+    docs = variants(130, 1)
+    df = spark.createDataFrame([(*d, "en", "s", 1) for d in docs], DOC_SCHEMA).repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in dedup_lines(df).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute(docs)))
+
+
+def test_one_hot_line_in_most_documents(spark):
+    hot = "a line that nearly every document of this table has"
+    docs = [(i, f"{hot}\nits own line number {i * 7919:09d} and more of it") for i in range(300)]
+    df = spark.createDataFrame([(*d, "en", "s", 1) for d in docs], DOC_SCHEMA)
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(df).collect()}
+    assert got == dict(brute(docs)) and got[0].startswith(hot) and not any(got[i].startswith(hot) for i in range(1, 300))
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_band_distance(spark, edits):
+    rng, pairs = random.Random(edits), []
+    for _ in range(200):
+        a = [rng.choice("abé😀") for _ in range(rng.randrange(9))]
+        b = list(a)
+        for _ in range(rng.randrange(5)):
+            p, o = rng.randint(0, len(b)), rng.random()
+            if o < 0.4 and b:
+                b.pop(min(p, len(b) - 1))
+            elif o < 0.7:
+                b.insert(p, rng.choice("abc"))
+            elif b:
+                b[min(p, len(b) - 1)] = "z"
+        pairs.append(("".join(a), "".join(b)))
+    for r in spark.createDataFrame(pairs, "a string, b string").withColumn("d", band_distance(F.col("a"), F.col("b"), edits)).collect():
+        want = distance(r["a"], r["b"])
+        assert r["d"] == want if want <= edits else r["d"] > edits
+
+
+def test_odd_rows_and_columns_stay(spark):
+    docs = odd_docs(spark, ["a first line of some length\nshort", "a first line of some length!\nshort\nanother line that stays here"])
+    out = dedup_lines(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    got = {r["doc_id"]: r["text"] for r in out.collect() if r["doc_id"] is not None}
+    assert got[1] == "short\nanother line that stays here" and got[900] is None and got[901] == ""
+    report = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_report(docs).collect() if r["doc_id"] is not None}
+    assert report[1] == (3, 1) and report[900] == (0, 0) and report[905] == (1, 0)
+    assert dedup_lines(empty_docs(spark)).count() == 0

@@ -1,0 +1,79 @@
+import random
+import zlib
+from array import array
+from collections import defaultdict
+
+import pytest
+from helpers import empty_docs, odd_docs
+
+from tidemark.llm.packing import HarmonicBins, WordTokenizer, pack, piece_lengths
+from tidemark.llm.vocabulary import vocabulary_path
+
+PATH = vocabulary_path("word_bpe_49k.json")
+
+
+def ids(tok, text):
+    return tok.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def test_chunks_give_the_ids_of_the_whole_text():
+    tok, rng = WordTokenizer(PATH), random.Random(2)
+    odd = "aA.,! \n\t\x1c\x85\xa0　Σςé'éİstrd<|endoftext|>09½カ-*|&"
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    for t in [*texts, "ΑΣ. ΑΣ", "we're he'll, THE'S", "A" * 3000, "a b. " * 300_000, ""]:
+        assert tok(t) == array("I", ids(tok, t)[:-1]).tobytes()
+
+
+def test_small_cache_gives_the_same():
+    tok = WordTokenizer(PATH)
+    tok.words.half = tok.cache.half = 3
+    text = " ".join(f"abc{chr(97 + i % 7)}." for i in range(100))
+    assert tok(text) == array("I", ids(tok, text)[:-1]).tobytes()
+
+
+@pytest.mark.parametrize("capacity", [8, 2048])
+def test_pieces_cover_documents_and_sequences_have_no_padding(spark, capacity):
+    docs = odd_docs(spark, ["one two three", "x" * 50, *(" ".join(["tion er"] * n) for n in range(40))]).repartition(3)
+    rows = pack(docs, PATH, capacity=capacity).collect()
+    tok = WordTokenizer(PATH)
+    want = sorted((str(r["doc_id"]), tuple(ids(tok, r["text"]))) for r in docs.collect())
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    seen = {d for d, _ in want}
+    assert {str(d) for d in by_doc} == seen
+    single = [d for d in by_doc if sum(w[0] == str(d) for w in want) == 1]
+    for d in single:
+        whole = next(w[1] for w in want if w[0] == str(d))
+        at = 0
+        for r in sorted(by_doc[d], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(whole)
+            assert r["ids_crc32"] == zlib.crc32(array("I", whole[at:at + r["length"]]).tobytes())
+            at += r["length"]
+        assert at == len(whole)
+    assert sum(r["length"] for r in rows) == sum(len(w[1]) for w in want)
+    for s in by_sequence.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity and at & (at - 1) == 0  # a power of two: nothing is padded
+        assert len({r["length"] for r in s}) == 1
+
+
+def test_bins_of_a_class_hold_a_fixed_number():
+    bins = HarmonicBins(8, 0)
+    out = [r for i in range(7) for r in bins.add(2, (i,))]
+    assert [r[1] for r in out] == [0, 0, 0, 0] and [r[2] for r in out] == [0, 2, 4, 6]
+    assert [r[1:] for r in bins.finish()] == [(1, 0), (1, 2), (2, 0)]
+
+
+def test_piece_lengths():
+    assert piece_lengths(8 + 5, 8) == [8, 4, 1] and piece_lengths(0, 8) == [] and piece_lengths(16, 8) == [8, 8]
+
+
+def test_empty_table_and_bad_capacity(spark):
+    assert pack(empty_docs(spark), PATH).count() == 0
+    with pytest.raises(ValueError):
+        pack(empty_docs(spark), PATH, capacity=12)

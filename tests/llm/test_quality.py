@@ -1,0 +1,71 @@
+import math
+import random
+
+import numpy as np
+from helpers import DOC_SCHEMA, empty_docs, invented, odd_docs
+
+from tidemark.llm.quality import best_cut, kth_largest, ngram_buckets, resample, selected
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def corpus(spark, n=400):
+    rng, docs, labels = random.Random(1), [], []
+    for i in range(n):
+        w = invented(rng.randint(3, 150), i)
+        bad = i % 4 == 0
+        text = " ".join(x + rng.choice(["###", "&&&", "$$$"]) for x in w) if bad else " ".join(w).capitalize() + "."
+        docs.append((i, text, "en", "s", 1))
+        if i % 2 == 0:
+            labels.append((i, int(not bad), 0))
+    return spark.createDataFrame(docs, DOC_SCHEMA).repartition(4), spark.createDataFrame([*labels, (None, 1, 1), (7, None, None)], LABELS)
+
+
+def test_held_out_rows_are_told_apart(spark):
+    docs, labels = corpus(spark)
+    got = {r["doc_id"]: r for r in selected(docs, labels.filter("doc_id < 200 or doc_id is null")).collect()}
+    wrong = [i for i in range(200, 400) if got[i]["selected"] != (i % 4 != 0)]
+    assert len(wrong) <= 4
+    kept = {r["doc_id"] for r in resample(docs, labels.filter("doc_id < 200 or doc_id is null")).collect()}
+    assert kept == {i for i, r in got.items() if r["selected"]}
+    # the top-k property: nothing left out is above anything taken
+    assert min(r["noisy"] for r in got.values() if r["selected"]) > max(r["noisy"] for r in got.values() if not r["selected"])
+
+
+def test_noise_is_gumbel_and_repeats(spark):
+    docs, labels = corpus(spark)
+    a = {r["doc_id"]: r["noisy"] - r["log_weight"] for r in selected(docs, labels).collect()}
+    b = {r["doc_id"]: r["noisy"] - r["log_weight"] for r in selected(docs.repartition(7), labels).collect()}
+    assert all(math.isclose(a[i], b[i], abs_tol=1e-9) for i in a)
+    assert abs(np.mean(list(a.values())) - 0.5772) < 0.25
+
+
+def test_kth_largest(spark):
+    rng = random.Random(3)
+    for values in ([1.0, 1.0, 1.0, 2.0], [rng.gauss(0, 1) for _ in range(3000)], [5.0] * 50 + [rng.random() for _ in range(100)]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        for k in (1, 2, len(values) // 2, len(values)):
+            assert kth_largest(df, "v", k, bins=16, exact=20) == sorted(values, reverse=True)[k - 1]
+
+
+def test_best_cut():
+    assert best_cut([(1.0, 1), (3.0, 1), (-1.0, 0), (0.0, 0)]) == 0.5
+    assert best_cut([(1.0, 1)]) == float("-inf") and best_cut([]) == float("-inf")
+
+
+def test_slices_have_the_ngrams_of_the_whole(monkeypatch):
+    import tidemark.llm.quality as quality
+    text = " ".join(invented(500, 1)) + "  \n X Y"
+    whole = np.sort(ngram_buckets(text))
+    monkeypatch.setattr(quality, "slices_at_space", lambda t: __import__("tidemark.llm.text", fromlist=["x"]).slices_at_space(t, 37))
+    assert (np.sort(ngram_buckets(text)) == whole).all() and len(ngram_buckets("")) == 0 and len(ngram_buckets(None)) == 0
+
+
+def test_odd_rows(spark):
+    _, labels = corpus(spark, 40)
+    docs = odd_docs(spark, [" ".join(invented(20, i)) + "." for i in range(10)])
+    out = resample(docs, labels)
+    assert out.columns == docs.columns
+    assert selected(docs, labels).count() == docs.count()
+    assert resample(docs, labels.limit(0)).count() == docs.count()  # nothing to tell by
+    assert resample(empty_docs(spark), labels).count() == 0 and selected(empty_docs(spark), labels).count() == 0
