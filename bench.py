@@ -28,8 +28,6 @@ def main() -> None:
     extra = {"spark.driver.memory": "16g",
              "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
              "spark.local.dir": os.path.join(scratch, "local")}
-    if os.environ.get("BENCH_FORCE_SLICES"):  # measure the hot-key / large-input plans
-        extra.update({"tidemark.scan.skewCheck": "false", "tidemark.scan.singleTaskRows": "0"})
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="tidemark-bench",
                           extra=extra)
 

@@ -34,9 +34,7 @@ def rows(df, *cols):
 
 @pytest.fixture()
 def sliced_scans(spark):
-    """Run a test with the global-scan shortcut off, so its scans are range-sliced."""
-    spark.conf.set("tidemark.scan.singleTaskRows", "0")
-    spark.conf.set("tidemark.scan.skewCheck", "false")
+    """Run a test with its ordered scans cut into many small slices."""
+    spark.conf.set("tidemark.scan.sliceRows", "500")
     yield
-    spark.conf.unset("tidemark.scan.singleTaskRows")
-    spark.conf.unset("tidemark.scan.skewCheck")
+    spark.conf.unset("tidemark.scan.sliceRows")

@@ -15,18 +15,9 @@ ROWS = st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 120)), min_siz
 @given(data=ROWS, ranges=st.integers(1, 6))
 def test_running_sum_and_max(spark, data, ranges):
     df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(data)], "seq long, k string, v long")
-    got = {}
-    for check in ("true", "false"):  # plain keyed window, then forced range slices
-        spark.conf.set("tidemark.scan.skewCheck", check)
-        try:
-            out = prefix_scan(df, ["seq"], {"s": Scan("sum", F.col("v")),
-                                            "m": Scan("max", F.col("v"), False)},
-                              partition_by=["k"], ranges=ranges)
-            rows_now = {r.seq: (r.s, r.m) for r in out.collect()}
-        finally:
-            spark.conf.unset("tidemark.scan.skewCheck")
-        assert not got or rows_now == got
-        got = rows_now
+    out = prefix_scan(df, ["seq"], {"s": Scan("sum", F.col("v")), "m": Scan("max", F.col("v"), False)},
+                      partition_by=["k"], ranges=ranges)
+    got = {r.seq: (r.s, r.m) for r in out.collect()}
     run, best = {}, {}
     for i, (k, v) in enumerate(data):
         run[k] = run.get(k, 0) + v
@@ -39,13 +30,8 @@ def test_running_sum_and_max(spark, data, ranges):
 def test_sessions_match_brute_force(spark, data, gap, ranges):
     df = (spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(data)], "seq long, k string, t long")
           .withColumn("ts", F.timestamp_seconds("t")))
-    spark.conf.set("tidemark.scan.skewCheck", "false")  # the sliced path; the plain one is
-    try:                                                 # covered by the oracle queries
-        out = windows.session_agg(df, ["k"], "ts", f"{gap} seconds", "seq", [F.count("*").alias("n")],
-                                  ranges=ranges)
-        out = out.collect()
-    finally:
-        spark.conf.unset("tidemark.scan.skewCheck")
+    out = windows.session_agg(df, ["k"], "ts", f"{gap} seconds", "seq", [F.count("*").alias("n")],
+                              ranges=ranges).collect()
     got = sorted((r.k, int(r.session_start.timestamp()), int(r.session_end.timestamp()), r.n)
                  for r in out)
     expected = []
@@ -128,17 +114,13 @@ def test_count_tumbling_matches_brute_force(spark, data, size):
 @SETTINGS
 @given(times=st.lists(st.integers(0, 100), min_size=1, max_size=50), delay=st.integers(0, 10))
 def test_lateness_classes_with_sliced_scan(spark, times, delay):
-    """The same rule with the global scan forced onto range slices."""
-    spark.conf.set("tidemark.scan.singleTaskRows", "0")
-    try:
-        df = (spark.createDataFrame(list(enumerate(times)), "seq long, t long")
-              .withColumn("ts", F.timestamp_seconds("t")))
-        c = lateness.classify_window_rows(df, "ts", ["seq"], "10 seconds", f"{delay} seconds", ranges=3)
-        got = {r.seq: r.wm for r in c.collect()}
-        mx = None
-        for i, t in enumerate(times):
-            want = None if mx is None else mx - delay
-            assert (got[i] is None and want is None) or int(got[i].timestamp()) == want
-            mx = t if mx is None else max(mx, t)
-    finally:
-        spark.conf.unset("tidemark.scan.singleTaskRows")
+    """The same rule with three slices of the arrival order."""
+    df = (spark.createDataFrame(list(enumerate(times)), "seq long, t long")
+          .withColumn("ts", F.timestamp_seconds("t")))
+    c = lateness.classify_window_rows(df, "ts", ["seq"], "10 seconds", f"{delay} seconds", ranges=3)
+    got = {r.seq: r.wm for r in c.collect()}
+    mx = None
+    for i, t in enumerate(times):
+        want = None if mx is None else mx - delay
+        assert (got[i] is None and want is None) or int(got[i].timestamp()) == want
+        mx = t if mx is None else max(mx, t)

@@ -35,8 +35,17 @@ def event_time_from_seconds(c: str | Column) -> Column:
 
 
 def epoch_micros(c: str | Column) -> Column:
-    """Microseconds since the epoch for timestamp or timestamp_ntz columns."""
-    return F.unix_micros(col(c).cast("timestamp"))
+    """Microseconds since the epoch for timestamp or timestamp_ntz columns. A wall-clock
+    value (ntz) is taken as it reads, with no zone: in the session zone two of its values may
+    be one instant, or none, where clocks change."""
+    x = col(c)
+    since = x - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+
+    def part(field: str) -> Column:
+        return F.extract(F.lit(field), since)
+
+    wall = ((part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
+    return F.when(F.typeof(x) == "timestamp_ntz", wall).otherwise(F.unix_micros(x.cast("timestamp")))
 
 
 def cents(c: str | Column) -> Column:

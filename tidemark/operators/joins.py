@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import epoch_micros, interval, interval_seconds
@@ -23,6 +23,12 @@ def _rename_key(right: DataFrame, on: str) -> DataFrame:
     return right.withColumnRenamed(on, "_tm_rkey")
 
 
+def _div(micros: Column, width: int) -> Column:
+    """Whole-number bucket of a time (floor also before the epoch)."""
+    w = F.lit(width).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, w), w)
+
+
 def window_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
                 size: str) -> DataFrame:
     """Pairs with the same key whose times fall in the same tumbling window.
@@ -64,10 +70,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, righ
 
     width = interval_seconds(bucket_width) if bucket_width else max(lo + hi, 1)
     w_us = int(math.ceil(width * 1_000_000))
-    l = left.withColumn("_tm_b", F.floor(epoch_micros(left_ts) / w_us))
+    l = left.withColumn("_tm_b", _div(epoch_micros(left_ts), w_us))
     r_us = epoch_micros(right_ts)
-    first = F.floor((r_us - int(hi * 1_000_000)) / w_us)
-    last = F.floor((r_us + int(lo * 1_000_000)) / w_us)
+    first = _div(r_us - int(hi * 1_000_000), w_us)
+    last = _div(r_us + int(lo * 1_000_000), w_us)
     r = r0.withColumn("_tm_rb", F.explode(F.sequence(first, last)))
     j = l.join(r, (l[on] == r["_tm_rkey"]) & (l["_tm_b"] == r["_tm_rb"]) & cond_range(l, r), "inner")
     return j.select(on, *rest_l, *rest_r)

@@ -15,8 +15,8 @@ instead of emitting, so it is not used as the definition; the streaming operator
 :mod:`tidemark.streaming.lateness` reproduces this replay exactly.
 
 The watermark is a running maximum over the *global* arrival order. It is computed with
-the two-level :func:`tidemark.plans.prefix.prefix_scan` (range slices of the arrival
-order), never with an unpartitioned window that would pull the table into one task.
+the two-level :func:`tidemark.plans.prefix.prefix_scan` (buckets of an integer arrival
+order given as ``bucket``, else range slices of it), never with an unpartitioned window that would pull the table into one task.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import col, interval
-from tidemark.plans.prefix import Scan, prefix_scan
+from tidemark.plans.prefix import Scan, materialize, prefix_scan
 
 ON_TIME = "on_time"
 ALLOWED_LATE = "allowed_late"
@@ -41,25 +41,28 @@ def with_event_time(df: DataFrame, seconds_field: str, name: str = "ts") -> Data
 
 def arrival_watermark(df: DataFrame, ts: str, arrival: Sequence[str], delay: str,
                       name: str = "wm", ranges: int | None = None,
-                      carried: Column | None = None) -> DataFrame:
+                      carried: Column | None = None, bucket: Column | None = None) -> DataFrame:
     """L2 (delay ``"0 seconds"``) / L3: the watermark each row meets on arrival.
 
     ``carried`` is the maximum event time of rows that came before ``df`` (the earlier
     micro-batches of a stream); null for a whole table."""
     s = prefix_scan(df, arrival, {"_tm_max": Scan("max", F.col(ts), inclusive=False)},
-                    ranges=ranges)
+                    ranges=ranges, bucket=bucket)
     seen = F.col("_tm_max") if carried is None else F.greatest(carried, F.col("_tm_max"))
     return s.withColumn(name, seen - interval(delay)).drop("_tm_max")
 
 
 def classify_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], size: str,
                          delay: str, allowed: str = "0 seconds", name: str = "lateness",
-                         ranges: int | None = None, carried: Column | None = None) -> DataFrame:
-    """Tag each row ``on_time`` / ``allowed_late`` / ``late`` for its tumbling
-    window; adds ``window_start``, ``window_end``, ``wm`` and ``name``."""
-    w = F.window(F.col(ts), size)
-    d = df.withColumn("window_start", w.start).withColumn("window_end", w.end)
-    d = arrival_watermark(d, ts, arrival, delay, ranges=ranges, carried=carried)
+                         ranges: int | None = None, carried: Column | None = None,
+                         bucket: Column | None = None, slide: str | None = None) -> DataFrame:
+    """Tag each row ``on_time`` / ``allowed_late`` / ``late`` for its window; adds
+    ``window_start``, ``window_end``, ``wm`` and ``name``. With ``slide`` the windows are
+    sliding ones, and a row has one class for each window that it is in."""
+    d = arrival_watermark(df, ts, arrival, delay, ranges=ranges, carried=carried, bucket=bucket)
+    # the window comes behind the scan: a sliding one multiplies the rows
+    w = F.window(F.col(ts), size, slide)
+    d = d.withColumn("_tm_w", w).withColumns({"window_start": F.col("_tm_w.start"), "window_end": F.col("_tm_w.end")}).drop("_tm_w")
     end, wm = F.col("window_end"), F.col("wm")
     return d.withColumn(name, F.when(wm.isNull() | (end > wm), F.lit(ON_TIME))
                         .when(end + interval(allowed) > wm, F.lit(ALLOWED_LATE))
@@ -67,11 +70,12 @@ def classify_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], size: s
 
 
 def watermarked_windows(df: DataFrame, keys: Sequence[str], ts: str, arrival: Sequence[str],
-                        size: str, delay: str, aggs: Sequence, ranges: int | None = None) -> DataFrame:
-    """W6 + L2/L3 without allowed lateness: each event-time tumbling window as it fires
+                        size: str, delay: str, aggs: Sequence, ranges: int | None = None,
+                        bucket: Column | None = None, slide: str | None = None) -> DataFrame:
+    """W6/W7 + L2/L3 without allowed lateness: each event-time window as it fires
     once the watermark passes its end, aggregating its on-time rows; rows arriving after
     that are dropped (no side output). A window holding only late rows never fires."""
-    c = classify_window_rows(df, ts, arrival, size, delay, ranges=ranges)
+    c = classify_window_rows(df, ts, arrival, size, delay, ranges=ranges, bucket=bucket, slide=slide)
     keys = list(keys)
     return (c.where(F.col("lateness") == ON_TIME)
             .groupBy(*keys, "window_start", "window_end").agg(*aggs))
@@ -95,7 +99,8 @@ def refinements(classified: DataFrame, keys: Sequence[str], arrival: Sequence[st
     """
     keys = list(keys)
     wkeys = keys + ["window_start", "window_end"]
-    classified = classified.select(*wkeys, *arrival, name)
+    # read twice below: classified once
+    classified = materialize(classified.select(*wkeys, *arrival, name))
     base = classified.groupBy(*wkeys).agg(
         F.count(F.when(F.col(name) == ON_TIME, 1)).alias("_tm_n0"))
     first = base.where(F.col("_tm_n0") > 0).select(
@@ -110,8 +115,8 @@ def refinements(classified: DataFrame, keys: Sequence[str], arrival: Sequence[st
 
 
 def join_lateness(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str,
-                  arrival: Sequence[str], delay: str,
-                  ranges: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  arrival: Sequence[str], delay: str, ranges: int | None = None,
+                  bucket: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Flag each row of both join inputs ``late`` under the joint watermark (the
     minimum of the two sides'), both inputs sharing one arrival order.
 
@@ -123,11 +128,12 @@ def join_lateness(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str
     is_left = F.col("_tm_side") == "L"
     s = prefix_scan(tagged, arrival, {
         "_tm_ml": Scan("max", F.when(is_left, F.col("_tm_t")), inclusive=False),
-        "_tm_mr": Scan("max", F.when(~is_left, F.col("_tm_t")), inclusive=False)}, ranges=ranges)
+        "_tm_mr": Scan("max", F.when(~is_left, F.col("_tm_t")), inclusive=False)},
+        ranges=ranges, bucket=bucket)
     wm = F.when(F.col("_tm_ml").isNotNull() & F.col("_tm_mr").isNotNull(),
                 F.least("_tm_ml", "_tm_mr") - interval(delay))
-    # both outputs read the flags from the scan's checkpoint plus its small summary
-    s = s.withColumn("late", F.coalesce(F.col("_tm_t") < wm, F.lit(False)))
+    # both outputs are read from one stored scan
+    s = materialize(s.withColumn("late", F.coalesce(F.col("_tm_t") < wm, F.lit(False))))
     l_out = s.where(is_left).select(*left.columns, "late")
     r_out = s.where(~is_left).select(*right.columns, "late")
     return l_out, r_out

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import col, interval
-from tidemark.plans.prefix import PLAIN, Scan, prefix_scan, running_number
+from tidemark.plans.prefix import Scan, prefix_scan, running_number
 
 
 def tumbling(ts: str | Column, size: str) -> Column:
@@ -78,12 +78,10 @@ def session_agg(df: DataFrame, keys: Sequence[str], ts: str, gap: str | Column,
     # scan's rows and summary both read them from there (same slices, same partitioning)
     d = prefix_scan(d, order, {"_tm_sid": Scan("sum", F.col("_tm_new"))},
                     partition_by=keys, ranges=ranges, keep_slice=True)
-    # Without a hot key every key (so every session) is in one partition already: group
-    # within it. A hot key's sessions may span slices, so they are shuffled by session.
-    part = [c for c in d.columns if c.startswith(("_tm_g", "_tm_z"))] if PLAIN in d.columns else []
-    g = d.groupBy(*part, *keys, "_tm_sid").agg(F.min(ts).alias("session_start"),
-                                              F.max("_tm_end").alias("session_end"), *aggs)
-    return g.drop("_tm_sid", *part)
+    # sessions may span slices, so they are shuffled by session, pre-aggregated
+    g = d.groupBy(*keys, "_tm_sid").agg(F.min(ts).alias("session_start"),
+                                        F.max("_tm_end").alias("session_end"), *aggs)
+    return g.drop("_tm_sid")
 
 
 def count_tumbling(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], size: int,
@@ -93,18 +91,13 @@ def count_tumbling(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     groups are emitted (the trailing partial group never fires). ``group_no`` is 0-based.
 
     Row numbers come from the skew-safe running count; the groups themselves hold at
-    most ``size`` rows, so the final aggregate is evenly spread (and, without a hot key,
-    runs in the numbering's own partitioning with no further shuffle).
+    most ``size`` rows, so the final aggregate is evenly spread.
     """
     keys = list(keys)
-    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges, bucket=bucket,
-                       keep_slice=True)
+    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges, bucket=bucket)
     d = d.withColumn("group_no", F.floor((F.col("_tm_rn") - 1) / size).cast("bigint"))
-    # After a plain keyed numbering the rows of a key are already together: grouping by
-    # that partitioning's columns too needs no further shuffle.
-    part = [c for c in d.columns if c.startswith(("_tm_g", "_tm_z"))] if PLAIN in d.columns else []
-    g = d.groupBy(*part, *keys, "group_no").agg(F.count(F.lit(1)).alias("_tm_n"), *aggs)
-    return g.where(F.col("_tm_n") == size).drop("_tm_n", *part)
+    g = d.groupBy(*keys, "group_no").agg(F.count(F.lit(1)).alias("_tm_n"), *aggs)
+    return g.where(F.col("_tm_n") == size).drop("_tm_n")
 
 
 def count_sliding(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], size: int,
@@ -114,24 +107,13 @@ def count_sliding(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], s
     ``size``: the first firings hold fewer). ``fire_seq`` is the row number that fired.
 
     ``aggs`` maps output names to aggregate columns (a list of aliased aggregates is also
-    accepted). When the row numbering ran as a plain keyed window (no hot key), each
-    key's rows are already together: a ``rowsBetween(-(size-1), 0)`` frame over that same
-    partitioning gives every firing with no further shuffle. Otherwise (a hot key spread
-    over slices, or a list of aggregates) each row is copied to the at most
-    ``ceil(size / slide)`` firings that include it and every firing is an ordinary
-    aggregate group; a firing exists only if its own row does.
+    accepted). Each row is copied to the at most ``ceil(size / slide)`` firings that include
+    it and every firing is an ordinary aggregate group; a firing exists only if its own row
+    does.
     """
     keys = list(keys)
-    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges, bucket=bucket,
-                       keep_slice=True)
-    if isinstance(aggs, dict) and PLAIN in d.columns:
-        part = [c for c in d.columns if c.startswith(("_tm_g", "_tm_z"))]
-        w = Window.partitionBy(*part).orderBy("_tm_rn").rowsBetween(-(size - 1), 0)
-        framed = d.select(*keys, F.col("_tm_rn").alias("fire_seq"),
-                          *[agg.over(w).alias(name) for name, agg in aggs.items()])
-        return framed.where(F.col("fire_seq") % slide == 0)
+    d = running_number(df, order_by, keys, name="_tm_rn", ranges=ranges, bucket=bucket)
     agg_cols = [agg.alias(name) for name, agg in aggs.items()] if isinstance(aggs, dict) else list(aggs)
-    d = d.drop(*[c for c in d.columns if c.startswith(("_tm_g", "_tm_z", "_tm_slice", "_tm_plain"))])
     fires = F.filter(F.sequence(F.col("_tm_rn"), F.col("_tm_rn") + (size - 1)),
                      lambda f: f % slide == 0)
     d = d.withColumn("fire_seq", F.explode(fires))

@@ -61,6 +61,17 @@ FROM m WHERE wm IS NULL OR window_start + INTERVAL 1 HOUR > wm
 GROUP BY ALL
 """
 
+_ON_TIME_SLIDING = f"""
+a AS (SELECT event_id, user_id, event_type, ts, {CENTS} AS c, {ARRIVAL} AS arrival FROM events),
+m AS (SELECT *, MAX(ts) OVER (ORDER BY arrival, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                - INTERVAL 30 MINUTE AS wm
+      FROM a),
+w AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) - i * INTERVAL 1 HOUR AS window_start FROM m, range(2) r(i)),
+o AS (SELECT *, window_start + INTERVAL 2 HOUR AS window_end FROM w
+      WHERE wm IS NULL OR window_start + INTERVAL 2 HOUR > wm)
+"""
+
 _CLICKS = "SELECT user_id, event_id AS click_id, ts AS click_ts FROM events WHERE event_type = 'click'"
 _PURCHASES = ("SELECT user_id, event_id AS purchase_id, ts AS purchase_ts FROM events "
               "WHERE event_type = 'purchase'")
@@ -114,8 +125,7 @@ FROM events
 """,
     "filter_gt": "SELECT event_id, user_id, value FROM events WHERE value > 18",
     "generate_rows": """
-SELECT '输入数字为：' || CAST(i AS VARCHAR) AS value
-FROM (SELECT unnest(range(n)) AS i FROM (SELECT COUNT(*) AS n FROM lineitem))
+SELECT l_orderkey, l_linenumber, '输入数字为：' || CAST(l_orderkey AS VARCHAR) AS value FROM lineitem
 """,
     "window_tumbling": f"""
 SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -243,6 +253,16 @@ SELECT event_id, event_type, ts, arrival, window_start, window_end, wm, lateness
     "late_rows": f"""
 WITH {_CLASSIFIED}
 SELECT event_id, event_type, ts, window_start, window_end, wm FROM c WHERE lateness = 'late'
+""",
+    "window_watermark_sliding": f"""
+WITH {_ON_TIME_SLIDING}
+SELECT event_type, window_start, window_end, COUNT(*) AS n, CAST(SUM(c) AS BIGINT) AS cents FROM o GROUP BY ALL
+""",
+    "window_top_n_watermarked": f"""
+WITH {_ON_TIME_SLIDING},
+g AS (SELECT window_start, window_end, user_id, COUNT(*) AS n FROM o GROUP BY ALL),
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY n DESC, user_id) AS rk FROM g)
+SELECT window_start, window_end, CAST(rk AS BIGINT) AS rank, user_id, n FROM k WHERE rk <= 2
 """,
     "window_refinements": f"""
 WITH {_CLASSIFIED},

@@ -28,11 +28,9 @@ Slices come from one of two places:
   ``spark.checkpoint.dir``) and the summary and every later branch read those rows. This
   also cuts the lineage, so a lost executor never re-slices.
 
-Keyed scans first count rows per key (:func:`no_hot_key`): when no key holds more than
-twice an average slice, every key is its own slice and a plain keyed window does the job
-with one shuffle and no summary. Only when a hot key exists are the rows range-sliced.
-A global scan (no key) runs as one ordered window only when its input is counted to be
-at most ``tidemark.scan.singleTaskRows`` rows (:func:`fits_one_task`); otherwise it is sliced.
+There is one plan for every input size and every key distribution; only the number of
+slices follows the data (:func:`slice_count`: at most ``tidemark.scan.sliceRows`` rows each
+on average, so a task's share has an absolute bound).
 
 Only associative aggregates qualify (sum, count, max, min). The order must be total
 (include a unique tie-breaker) for the result to be deterministic.
@@ -50,7 +48,6 @@ from pyspark.sql import types as T
 from tidemark.session import default_ranges, ensure_checkpoint_dir
 
 SLICE = "_tm_slice"
-PLAIN = "_tm_plain"  # marks a scan whose keys each fit one slice (kept with keep_slice)
 
 
 @dataclass(frozen=True)
@@ -83,55 +80,27 @@ def _combine(kind: str, before: Column, local: Column) -> Column:
     return F.least(before, local)
 
 
+# Rows of an average range slice.
+SLICE_ROWS = 1_000_000
+
+
+def slice_count(df: DataFrame) -> int:
+    """Range slices for ``df``: the shuffle partitions (or ``tidemark.scan.ranges``), and more
+    where the counted rows need them to stay at ``tidemark.scan.sliceRows`` a slice."""
+    spark = df.sparkSession
+    rows = int(spark.conf.get("tidemark.scan.sliceRows", str(SLICE_ROWS)))
+    return max(default_ranges(spark), -(-df.count() // rows))
+
+
 def slice_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                ranges: int | None = None) -> DataFrame:
     """Range-slice ``df`` over (keys, order): adds ``SLICE``. The result must be read by
     one branch only (see :func:`prefix_scan`, which checkpoints right after it)."""
-    n = ranges or default_ranges(df.sparkSession)
+    n = ranges or slice_count(df)
     return (df.repartitionByRange(n, *[F.col(c) for c in list(partition_by) + list(order_by)])
             .withColumn(SLICE, F.spark_partition_id()))
 
 
-# A key with at most this many rows is never treated as hot (one task takes it easily).
-HOT_KEY_MIN_ROWS = 1_000_000
-
-
-def no_hot_key(df: DataFrame, keys: Sequence[str], ranges: int | None = None) -> bool:
-    """True when no key holds more than twice the rows of an average slice (or, at
-    least, ``tidemark.scan.hotKeyRows`` rows, default 1,000,000), so a plain keyed window
-    spreads evenly. One aggregation pass (partial counts per key, then two numbers to the
-    driver). ``tidemark.scan.skewCheck=false`` skips it and always slices."""
-    spark = df.sparkSession
-    if str(spark.conf.get("tidemark.scan.skewCheck", "true")).lower() == "false":
-        return False
-    n = ranges or default_ranges(spark)
-    floor = int(spark.conf.get("tidemark.scan.hotKeyRows", str(HOT_KEY_MIN_ROWS)))
-    st = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("t")).collect()[0]
-    if st["t"] is None:
-        return True
-    return st["m"] <= max(2.0 * st["t"] / n, floor, 1.0)
-
-
-# Rows one task may take for a global (unkeyed) scan without slicing.
-SINGLE_TASK_ROWS = 1_000_000
-
-
-# Inputs read by more tasks than this are taken as large without counting them.
-SINGLE_TASK_MAX_PARTITIONS = 64
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when the input has at most ``tidemark.scan.singleTaskRows`` rows (default
-    1,000,000), counted exactly: then one ordered window over all rows is bounded and
-    cheaper than slicing. An input split over more than 64 partitions is taken as large
-    from its plan alone (no pass over the data); larger inputs are always sliced."""
-    spark = df.sparkSession
-    bound = int(spark.conf.get("tidemark.scan.singleTaskRows", str(SINGLE_TASK_ROWS)))
-    if bound <= 0 or df.rdd.getNumPartitions() > SINGLE_TASK_MAX_PARTITIONS:
-        return False
-    return df.limit(bound + 1).count() <= bound
-
-
 def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
                 partition_by: Sequence[str] = (), ranges: int | None = None,
                 keep_slice: bool = False, bucket: Column | None = None) -> DataFrame:
@@ -155,17 +124,11 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
         if kind not in _LOCAL:
             raise ValueError(f"prefix_scan supports sum/count/max/min, not {kind!r}")
 
-    ranged = plain = False
+    ranged = False
     if SLICE in df.columns:
         sliced = df
-        plain = PLAIN in df.columns
     elif bucket is not None:
         sliced = df.withColumn(SLICE, bucket)
-    elif (keys and no_hot_key(df, keys, ranges)) or (not keys and fits_one_task(df)):
-        # every key fits a task (or, with no key, the whole counted input does): one
-        # slice per key, a plain window, no summary
-        plain = True
-        sliced = df.withColumns({SLICE: F.lit(0), PLAIN: F.lit(True)})
     else:
         ranged = True
         sliced = slice_rows(df, order, keys, ranges)
@@ -185,10 +148,6 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
     local_cols = {f"_tm_local_{name}": _LOCAL[s.kind](s.expr).over(incl if s.inclusive else excl)
                   for name, s in scans.items()}
     with_local = sliced.withColumns(local_cols)
-    if plain:
-        out = with_local.withColumns({name: F.col(f"_tm_local_{name}") for name in scans})
-        out = out.drop(*local_cols)
-        return out if keep_slice else out.drop(*gcols, SLICE, PLAIN)
     if ranged:
         # Slicing and the local window run once, inside this checkpoint; the summary
         # below and every later consumer read the stored rows (still partitioned by
@@ -206,7 +165,7 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str], scans: dict[str, Scan],
         *part, *[_ACROSS[s.kind](F.col(f"_tm_tot_{name}")).over(before_w).alias(f"_tm_before_{name}")
                  for name, s in scans.items()])
 
-    if not keys:
+    if ranged and not keys:
         # one row per slice: the size is bounded by the slice count, so broadcasting is safe
         before = F.broadcast(before)
     joined = with_local.join(before, on=part, how="left")
@@ -259,11 +218,12 @@ def running_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequenc
                        ranges=ranges, keep_slice=keep_slice, bucket=bucket)
 
 
-# Rows per bucket for orders by a unique integer id: at most this many rows of one key
-# share a slice.
-ID_BUCKET_ROWS = 1 << 20
+# Width of a bucket for orders by a dense integer: at most so many rows share a slice,
+# times the rows that share a value.
+ID_BUCKET_ROWS = 1 << 17
 
 
 def id_buckets(id_col: str, rows: int = ID_BUCKET_ROWS) -> Column:
-    """Deterministic slices for an order by a unique integer id."""
-    return F.floor(F.col(id_col) / rows)
+    """Deterministic slices for an order by a dense integer; a null has a slice of its own,
+    before all others, as in the order."""
+    return F.coalesce(F.floor(F.col(id_col) / rows), F.lit(-(1 << 62)))

@@ -102,11 +102,9 @@ def filter_gt(spark, sf):
 
 
 def generate_rows(spark, sf):
-    """The bounded generator, one text row per index; the bound is the row
-    count of ``lineitem`` so the work grows with the data. ``spark.range`` spreads the
-    indexes over all tasks."""
-    n = table(spark, sf, "lineitem").count()
-    return spark.range(n).select(parse.generated_text("id").alias("value"))
+    """The generator's text for the index in each row of ``lineitem``."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return li.select("l_orderkey", "l_linenumber", parse.generated_text("l_orderkey").alias("value"))
 
 # --------------------------------------------------------------------------- windows
 
@@ -336,6 +334,24 @@ def late_rows(spark, sf):
     return late.select("event_id", "event_type", "ts", "window_start", "window_end", "wm")
 
 
+def window_watermark_sliding(spark, sf):
+    """W7 + L3: 2-hour windows sliding by 1 under the bounded watermark, per event type."""
+    ev = _with_cents(_with_arrival(_events(spark, sf))).select(
+        "event_id", "event_type", "ts", "arrival", "cents")
+    return lateness.watermarked_windows(ev, ["event_type"], "ts", ARRIVAL, "2 hours", DELAY,
+                                        _count_cents(), slide="1 hour")
+
+
+def window_top_n_watermarked(spark, sf):
+    """ST4 + L3: per 2-hour window sliding by 1, the 2 users with most on-time events."""
+    ev = _with_arrival(_events(spark, sf)).select("event_id", "user_id", "ts", "arrival")
+    counts = lateness.watermarked_windows(ev, ["user_id"], "ts", ARRIVAL, "2 hours", DELAY,
+                                          [F.count(F.lit(1)).alias("n")], slide="1 hour")
+    best = topn.top_n(counts, ["window_start", "window_end"],
+                      [F.col("n").desc(), F.col("user_id").asc()], 2, salt_cols=["user_id"])
+    return best.select("window_start", "window_end", "rank", "user_id", "n")
+
+
 def window_refinements(spark, sf):
     """Every firing of every (event type, hour) window with its row count."""
     return lateness.refinements(_classified(spark, sf), ["event_type"], ARRIVAL)
@@ -377,4 +393,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_events": late_events,
     "late_rows": late_rows,
     "window_refinements": window_refinements,
+    "window_watermark_sliding": window_watermark_sliding,
+    "window_top_n_watermarked": window_top_n_watermarked,
 }

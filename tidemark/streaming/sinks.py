@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,22 +25,23 @@ def _join(base: str, *parts: str) -> str:
 
 
 # ---------------------------------------------------------------------------- K1 console
-def console(df: DataFrame, label: str | None = None, rows: int = 20, stderr: bool = False,
-            **kw) -> StreamingQuery | None:
-    """K1 / K2: print rows; a static DataFrame is shown (to stderr with ``stderr``, as
-    the reference prints side outputs), a stream goes to the console sink. ``label``
-    names the query (the reference's print prefix)."""
-    if not df.isStreaming:
-        import contextlib
-        import sys
+def _print_rows(df: DataFrame, label: str | None, stderr: bool) -> None:
+    import sys
+
+    out = sys.stderr if stderr else sys.stdout
+    prefix = f"{label}> " if label else ""
+    for row in df.toLocalIterator():  # one partition at a time
+        print(prefix + (str(row[0]) if len(row) == 1 else str(tuple(row))), file=out)
+
 
-        with contextlib.redirect_stdout(sys.stderr if stderr else sys.stdout):
-            if label:
-                print(label)
-            df.show(rows, truncate=False)
+def console(df: DataFrame, label: str | None = None, stderr: bool = False, **kw) -> StreamingQuery | None:
+    """K1 / K2: print every row, one a line (to stderr with ``stderr``, as the reference
+    prints side outputs), with ``label`` before it. A static DataFrame is printed now; of a
+    stream each micro-batch is, by a query named ``label``."""
+    if not df.isStreaming:
+        _print_rows(df, label, stderr)
         return None
-    return start(df, sink="console", query_name=label, options={"truncate": "false", "numRows": rows},
-                 **kw)
+    return start(df, foreach_batch=lambda batch, _: _print_rows(batch, label, stderr), query_name=label, **kw)
 
 
 # ---------------------------------------------------------------------------- K2 side outputs
@@ -51,9 +52,13 @@ def multi_output_writer(outputs: dict[str, Callable[[DataFrame], DataFrame]], ou
     batch overwrites only its own folder, so replays are idempotent."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        for tag, make in outputs.items():
-            make(batch).write.mode("overwrite").format(fmt).save(
-                _join(out_dir, tag, f"batch={batch_id}"))
+        batch.persist()  # read once for all outputs
+        try:
+            for tag, make in outputs.items():
+                make(batch).write.mode("overwrite").format(fmt).save(
+                    _join(out_dir, tag, f"batch={batch_id}"))
+        finally:
+            batch.unpersist()
 
     return fn
 
@@ -98,14 +103,37 @@ def write_text_buckets(df: DataFrame, path: str, value: str = "value", time_col:
 def jdbc_rows(batch: DataFrame, columns: Sequence[str], batch_id: int | None = None,
               deterministic: bool = True, id_col: str = "id", date_col: str = "create_time") -> DataFrame:
     """The target table's row: a 32-hex id, the given columns, today's date. A
-    deterministic id (content, position in the batch and batch id) lets a replayed batch
-    be recognised: a replay reads the same source offsets into the same partitions, so
-    equal rows of one batch still get distinct, repeatable ids."""
-    ident = deterministic_id(*columns, F.monotonically_increasing_id(), batch_id=batch_id) \
-        if deterministic else random_id()
+    deterministic id (content, number among the batch's equal rows, batch id) lets a replayed
+    batch be recognised: it doesn't depend on the order of rows or partitions, so it is
+    the same after a shuffle, and equal rows of one batch still get distinct ids."""
+    if deterministic:
+        same = Window.partitionBy(*columns).orderBy(F.lit(1))
+        batch = batch.withColumn("_tm_same", F.row_number().over(same))
+        ident = deterministic_id(*columns, F.col("_tm_same"), batch_id=batch_id)
+    else:
+        ident = random_id()
     return batch.select(ident.alias(id_col), *columns, F.current_date().alias(date_col))
 
 
+def table_exists(spark, url: str, table: str, properties: dict[str, str]) -> bool:
+    """Whether the database's catalogue lists the table (``schema.table`` or ``table``)."""
+    jvm = spark.sparkContext._jvm
+    if properties.get("driver"):
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    props = jvm.java.util.Properties()
+    for k, v in properties.items():
+        props.setProperty(k, str(v))
+    con = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        schema, _, name = table.replace('"', "").replace("`", "").rpartition(".")
+        for variant in {name, name.upper(), name.lower()}:
+            if con.getMetaData().getTables(None, schema or None, variant, None).next():
+                return True
+        return False
+    finally:
+        con.close()
+
+
 def jdbc_writer(url: str, table: str, columns: Sequence[str], properties: dict[str, str],
                 batchsize: int = 100, batch_col: str | None = "batch_id", deterministic: bool = True,
                 column_types: str | None = None) -> Callable[[DataFrame, int], None]:
@@ -125,14 +153,11 @@ def jdbc_writer(url: str, table: str, columns: Sequence[str], properties: dict[s
         if batch_col:
             rows = rows.withColumn(batch_col, F.lit(batch_id).cast("long"))
             spark = batch.sparkSession
-            try:
+            if table_exists(spark, url, table, props):
                 # the filter is pushed into the database with the dialect's quoting
                 done = (spark.read.jdbc(url, table, properties=props)
                         .where(F.col(batch_col) == batch_id).select("id"))
                 rows = rows.join(done, on="id", how="left_anti")
-            except Exception as e:  # table not created yet
-                if "exist" not in str(e).lower() and "not found" not in str(e).lower():
-                    raise
         w = rows.write.mode("append")
         if column_types:
             w = w.option("createTableColumnTypes", column_types)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from typing import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,24 +31,32 @@ def _batch(rows: Iterator[pd.DataFrame], seq: str | Sequence[str]) -> pd.DataFra
 
 class RunningCountProcessor(StatefulProcessor):
     """ST1: per key, a map ``level -> rows seen``; each row gets the count of its level
-    so far (including itself)."""
+    so far (including itself). ``level_type`` is the level column's SQL type; a null level
+    is a level of its own."""
 
-    def __init__(self, level: str, seq: str, out: str = "running_n"):
-        self.level, self.seq, self.out = level, seq, out
+    def __init__(self, level: str, seq: str, out: str = "running_n", level_type: str = "string"):
+        self.level, self.seq, self.out, self.level_type = level, seq, out, level_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "level string", "n long")
+        self.counts = handle.getMapState("counts", f"level {self.level_type}, missing boolean", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _batch(rows, self.seq)
-        lv = pdf[self.level].astype(str)
-        prev = {}
-        for level in lv.unique():
-            got = self.counts.getValue((level,))
-            prev[level] = got[0] if got else 0
-        pdf[self.out] = pdf.groupby(lv).cumcount() + 1 + lv.map(prev)
-        for level, n in pdf.groupby(lv)[self.out].max().items():
-            self.counts.updateValue((level,), (int(n),))
+        # a column with a null may come as floats: whole numbers are made whole again
+        whole = self.level_type in ("tinyint", "smallint", "int", "bigint")
+        code, levels = pd.factorize(pdf[self.level], use_na_sentinel=True)
+        prev, names = {}, {}
+        for c in sorted(set(code)):
+            missing = c < 0
+            level = levels[c] if not missing else (0 if whole else None)
+            level = int(level) if whole else level.item() if hasattr(level, "item") else level
+            names[c] = (level, bool(missing))
+            got = self.counts.getValue(names[c])
+            prev[c] = got[0] if got else 0
+        codes = pd.Series(code)
+        pdf[self.out] = codes.groupby(codes).cumcount() + 1 + codes.map(prev)
+        for c, n in pdf[self.out].groupby(codes).max().items():
+            self.counts.updateValue(names[c], (int(n),))
         yield pdf
 
     def close(self) -> None:
@@ -56,22 +65,28 @@ class RunningCountProcessor(StatefulProcessor):
 
 class RunningAggProcessor(StatefulProcessor):
     """A3 / ST2: per key a value state ``(sum, count)``; each row gets the running sum
-    or running average (double) of ``value`` so far."""
+    or running average (double) of ``value`` so far. Whole numbers are summed as longs,
+    others as doubles; nulls are skipped, as by the batch form: the sum is null before the
+    first value."""
 
-    def __init__(self, value: str, seq: str, out: str, kind: str = "avg"):
-        self.value, self.seq, self.out, self.kind = value, seq, out, kind
+    def __init__(self, value: str, seq: str, out: str, kind: str = "avg", whole: bool = True):
+        self.value, self.seq, self.out, self.kind, self.whole = value, seq, out, kind, whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "s long, n long")
+        self.acc = handle.getValueState("acc", f"s {'long' if self.whole else 'double'}, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _batch(rows, self.seq)
         got = self.acc.get()
         s0, n0 = (got[0], got[1]) if got else (0, 0)
-        s = pdf[self.value].astype("int64").cumsum() + s0
-        n = pd.Series(range(1, len(pdf) + 1), dtype="int64") + n0
-        pdf[self.out] = s if self.kind == "sum" else s.astype("float64") / n
-        self.acc.update((int(s.iloc[-1]), int(n.iloc[-1])))
+        value, there = pdf[self.value], pdf[self.value].notna()
+        plain = value.where(there, 0).astype("int64" if self.whole else "float64")
+        s, n = plain.cumsum() + s0, there.astype("int64").cumsum() + n0
+        if self.kind == "sum":
+            pdf[self.out] = (s.astype("Int64") if self.whole else s).where(n > 0)
+        else:
+            pdf[self.out] = s.astype("float64") / n.where(n > 0)
+        self.acc.update((int(s.iloc[-1]) if self.whole else float(s.iloc[-1]), int(n.iloc[-1])))
         yield pdf
 
     def close(self) -> None:
@@ -106,11 +121,15 @@ class CountWindowProcessor(StatefulProcessor):
             if self.buf.exists() else new.iloc[0:0]
         allr = pd.concat([old, new], ignore_index=True).astype("int64")
         last_rn = rn0 + len(pdf)
-        out = []
         first_fire = ((rn0 // self.slide) + 1) * self.slide
-        for f in range(first_fire, last_rn + 1, self.slide):
-            w = allr[(allr.rn > f - self.size) & (allr.rn <= f)]
-            out.append((f, len(w), int(w.seq.min()), int(w.seq.max()), int(w.value.sum())))
+        fires = np.arange(first_fire, last_rn + 1, self.slide, dtype="int64")
+        # row numbers are contiguous: a firing's rows are a slice, its sum a difference
+        base = int(allr.rn.iloc[0])
+        hi, lo = fires - base + 1, np.maximum(fires - self.size - base + 1, 0)
+        total = np.concatenate(([0], np.cumsum(allr.value.to_numpy())))
+        seqs = allr.seq.to_numpy()  # in arrival order, so rising
+        res = pd.DataFrame({"fire_seq": fires, "n": hi - lo, "first_seq": seqs[lo[:len(fires)]] if len(fires) else fires,
+                            "last_seq": seqs[hi - 1] if len(fires) else fires, "value_sum": total[hi] - total[lo]})
         keep_from = last_rn - self.size + 2 if self.slide != self.size \
             else (last_rn // self.size) * self.size + 1
         keep = allr[allr.rn >= keep_from]
@@ -118,7 +137,6 @@ class CountWindowProcessor(StatefulProcessor):
         if len(keep):
             self.buf.put([tuple(int(x) for x in r) for r in keep.itertuples(index=False)])
         self.rn.update((last_rn,))
-        res = pd.DataFrame(out, columns=["fire_seq", "n", "first_seq", "last_seq", "value_sum"])
         for i, k in enumerate(self.keys):
             res.insert(i, k, key[i])
         if self.slide == self.size:
@@ -129,6 +147,10 @@ class CountWindowProcessor(StatefulProcessor):
         pass
 
 
+def _whole(df: DataFrame, value: str) -> bool:
+    return isinstance(df.schema[value].dataType, T.IntegralType)
+
+
 def _schema(df: DataFrame, extra: list[T.StructField]) -> T.StructType:
     _use_rocksdb(df)
     return T.StructType(list(df.schema.fields) + extra)
@@ -151,7 +173,7 @@ def running_count_stream(df: DataFrame, keys: Sequence[str], level: str, seq: st
     with keys + level)."""
     schema = _schema(df, [T.StructField(out, T.LongType())])
     return df.groupBy(*keys).transformWithStateInPandas(
-        RunningCountProcessor(level, seq, out), schema, "append", "None")
+        RunningCountProcessor(level, seq, out, df.schema[level].dataType.simpleString()), schema, "append", "None")
 
 
 def running_avg_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str | Sequence[str],
@@ -159,15 +181,16 @@ def running_avg_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str
     """ST2 per record on a stream."""
     schema = _schema(df, [T.StructField(out, T.DoubleType())])
     return df.groupBy(*keys).transformWithStateInPandas(
-        RunningAggProcessor(value, seq, out, "avg"), schema, "append", "None")
+        RunningAggProcessor(value, seq, out, "avg", _whole(df, value)), schema, "append", "None")
 
 
 def running_sum_stream(df: DataFrame, keys: Sequence[str], value: str, seq: str | Sequence[str],
                        out: str = "running_sum") -> DataFrame:
     """A3 per record on a stream (one output per input row)."""
-    schema = _schema(df, [T.StructField(out, T.LongType())])
+    whole = _whole(df, value)
+    schema = _schema(df, [T.StructField(out, T.LongType() if whole else T.DoubleType())])
     return df.groupBy(*keys).transformWithStateInPandas(
-        RunningAggProcessor(value, seq, out, "sum"), schema, "append", "None")
+        RunningAggProcessor(value, seq, out, "sum", whole), schema, "append", "None")
 
 
 def count_window_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str, size: int,
