@@ -33,6 +33,7 @@ BUCKETS = 1 << 14
 LABEL_ROWS = 20_000  # labelled rows that the target model and the cut are fitted on
 SHARPNESS = 200.0
 SMOOTHING = 1.0
+PRIOR = 0.1  # raw counts mixed into the target's, as a share of the target's own
 SEED = 17
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -132,10 +133,12 @@ def count_models(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
 
 
 def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """Per bucket: log probability in the target model minus that in the raw model. Both are
-    smoothed towards the raw model, so unseen buckets say nothing."""
+    """Per bucket: log probability in the target model minus that in the raw model. The
+    target model is mixed with the raw one in a share that doesn't depend on the size, so a
+    bucket that the target lacks weighs so much and no more."""
     base = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
-    target = (good + 50 * SMOOTHING * BUCKETS * base) / (good.sum() + 50 * SMOOTHING * BUCKETS)
+    mass = PRIOR * good.sum() + SMOOTHING
+    target = (good + mass * base) / (good.sum() + mass)
     return np.log(target / base)
 
 
