@@ -93,7 +93,7 @@ def ngram_buckets(text: str | None) -> np.ndarray:
             pieces.append(mix((marked[:-2] * np.uint64(64) + marked[1:-1]) * np.uint64(64) + marked[2:]
                               + (np.uint64(1) << np.uint64(41)))[max(old - 2, 0):])
         out += [p % np.uint64(BUCKETS) for p in pieces]
-        tail = codes[-2:]
+        tail = codes[-3:]  # the first one only tells whether the next repeats it
     return np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)
 
 
