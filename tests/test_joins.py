@@ -18,11 +18,10 @@ def test_window_join_literals(spark):
     assert rows(out, "k", "lt", "rt", "v") == JOIN_EXPECTED
 
 
-def test_interval_join_literals_plain_and_bucketed(spark):
+def test_interval_join_literals(spark):
     l, r = sides(spark, JOIN_LEFT, INTERVAL_JOIN_RIGHT)
-    for bucketed in (False, True):
-        out = joins.interval_join(l, r, "k", "lts", "rts", "2 seconds", "2 seconds", bucketed=bucketed)
-        assert rows(out, "k", "lt", "rt", "v") == JOIN_EXPECTED
+    out = joins.interval_join(l, r, "k", "lts", "rts", "2 seconds", "2 seconds")
+    assert rows(out, "k", "lt", "rt", "v") == JOIN_EXPECTED
 
 
 def test_joins_told_apart(spark):
@@ -40,9 +39,29 @@ def test_interval_join_asymmetric_bounds_and_buckets(spark):
     left = [(rnd.choice("xyz"), rnd.randint(0, 300)) for _ in range(120)]
     right = [(rnd.choice("xyz"), rnd.randint(0, 300), i) for i in range(120)]
     l, r = sides(spark, left, right)
-    plain = joins.interval_join(l, r, "k", "lts", "rts", "3 seconds", "11 seconds", bucketed=False)
+    r2 = r.withColumnRenamed("k", "k2")
+    plain = (l.join(r2, (l["k"] == r2["k2"]) & (r2["rts"] >= l["lts"] - F.expr("INTERVAL 3 seconds"))
+                    & (r2["rts"] <= l["lts"] + F.expr("INTERVAL 11 seconds"))).drop("k2"))
     for width in (None, "1 second", "5 seconds", "60 seconds"):
         b = joins.interval_join(l, r, "k", "lts", "rts", "3 seconds", "11 seconds", bucket_width=width)
         assert rows(b, "k", "lt", "rt", "v") == rows(plain, "k", "lt", "rt", "v")
     brute = sorted((a, t, u, v) for a, t in left for b2, u, v in right if a == b2 and t - 3 <= u <= t + 11)
     assert rows(plain, "k", "lt", "rt", "v") == brute
+
+
+def test_interval_join_of_wall_clock_times_where_clocks_change(spark):
+    """timestamp_ntz values are what they read, in any session zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        found = {}
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            for day in ("2024-11-03", "2024-03-10", "1969-12-31"):
+                times = [f"{day} {h:02d}:{m:02d}:00.25" for h in range(5) for m in (0, 30)]
+                left = spark.createDataFrame([(1, i, t) for i, t in enumerate(times)], "k int, l int, t string").selectExpr("k", "l", "cast(t as timestamp_ntz) lt")
+                right = left.selectExpr("k", "l as r", "lt as rt")
+                j = joins.interval_join(left, right, "k", "lt", "rt", "1 hour", "1 hour")
+                found[z, day] = rows(j, "l", "r")
+                assert found[z, day] == [(a, b) for a in range(10) for b in range(10) if abs(a - b) <= 2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -80,3 +80,20 @@ def test_console_static(spark, capsys):
     sinks.console(spark.createDataFrame([("y",)], "value string"), label="late", stderr=True)
     got = capsys.readouterr()
     assert "main" in got.out and "late" in got.err
+
+
+def test_console_prints_every_row(spark, scratch, capfd):
+    sinks.console(spark.range(1000).selectExpr("concat('line', id) value"), label="all")
+    out = capfd.readouterr().out.split()
+    assert sum(w.startswith("line") for w in out) == 1000
+    write_batches(os.path.join(scratch, "in"), [[{"value": f"row{i}"} for i in range(1000)]])
+    sinks.console(json_stream(spark, os.path.join(scratch, "in"), "value string"), label="stream", available_now=True,
+                  checkpoint=os.path.join(scratch, "c")).awaitTermination(120)
+    out = capfd.readouterr().out.split()
+    assert sum(w.startswith("row") for w in out) == 1000
+
+
+def test_ids_repeat_after_a_shuffle(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1), ("c", 3)] * 20, "x string, y int")
+    one, two = (sorted(r["id"] for r in sinks.jdbc_rows(d, ["x", "y"], 5).collect()) for d in (df, df.repartition(7)))
+    assert one == two and len(set(one)) == 80

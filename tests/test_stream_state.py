@@ -146,3 +146,71 @@ def test_count_windows_restart_from_checkpoint(spark, scratch):
     go()
     got = sorted((r.fire_seq, r.n, r.first_seq, r.value_sum) for r in spark.read.parquet(out).collect())
     assert got == [(2, 2, 1, 3), (4, 4, 1, 10), (6, 5, 2, 20), (8, 5, 4, 30), (10, 5, 6, 40)]
+
+
+@pytest.mark.parametrize("splits", [[6], [1, 2, 3], [3, 3]])
+def test_null_levels_and_values_equal_batch(spark, scratch, splits):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import running
+
+    recs = [{"seq": i, "k": "a", "level": lv, "v": v} for i, (lv, v) in enumerate(
+        [(1, None), (1, 1.9), (None, 1.9), (1, None), (None, -0.5), (2, 0.25)])]
+    it = iter(recs)
+    write_batches(os.path.join(scratch, "in"), [[next(it) for _ in range(n)] for n in splits])
+    schema = "seq long, k string, level int, v double"
+    whole = spark.createDataFrame([tuple(r.values()) for r in recs], schema)
+
+    def stream():
+        return json_stream(spark, os.path.join(scratch, "in"), schema)
+
+    def compare(got, want, name):
+        a = {r["seq"]: r[name] for r in got.collect()}
+        assert a == {r["seq"]: r[name] for r in want.collect()}, name
+
+    compare(run_to_memory(state.running_count_stream(stream(), ["k"], "level", "seq"), os.path.join(scratch, "c1")),
+            running.running_count(whole, ["k", "level"], ["seq"]), "running_n")
+    compare(run_to_memory(state.running_avg_stream(stream(), ["k"], "v", "seq"), os.path.join(scratch, "c2")),
+            running.running_avg(whole, ["k"], ["seq"], "v"), "running_avg")
+    compare(run_to_memory(state.running_sum_stream(stream(), ["k"], "v", "seq"), os.path.join(scratch, "c3")),
+            running.running_sum(whole, ["k"], ["seq"], "v"), "running_sum")
+    ints = stream().withColumn("v", F.col("level"))
+    compare(run_to_memory(state.running_sum_stream(ints, ["k"], "v", "seq"), os.path.join(scratch, "c4")),
+            running.running_sum(whole.withColumn("v", F.col("level")), ["k"], ["seq"], "v"), "running_sum")
+
+
+def test_count_windows_of_one_large_key(spark, scratch):
+    """A hundred thousand rows of one key in one batch."""
+    import time
+
+    n = 100_000
+    write_batches(os.path.join(scratch, "in"), [[{"seq": i, "k": "a", "v": i % 7} for i in range(n)]])
+    t = time.time()
+    got = run_to_memory(state.count_window_stream(json_stream(spark, os.path.join(scratch, "in"), "seq long, k string, v long"), ["k"], "seq", "v", 50, 10),
+                        os.path.join(scratch, "c")).orderBy("fire_seq").collect()
+    assert len(got) == n // 10 and time.time() - t < 120
+    assert [got[0][c] for c in ("n", "first_seq", "last_seq")] == [10, 0, 9]
+    assert got[-1]["value_sum"] == sum(i % 7 for i in range(n - 50, n)) and got[-1]["n"] == 50
+
+
+def test_top_n_by_timers_equals_batch(spark, scratch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import topn, windows
+
+    rng = random.Random(4)
+    # behind the epoch, where a stream's first watermark stands
+    recs = [{"t": t, "age": rng.randint(1, 4)} for t in range(1000, 1120) for _ in range(rng.randint(0, 3))]
+    cut = len(recs) // 3
+    write_batches(os.path.join(scratch, "in"), [recs[:cut], recs[cut:2 * cut], recs[2 * cut:], [{"t": 1400, "age": 9}], [{"t": 1005, "age": 1}], [{"t": 1500, "age": 9}]])
+    stream = json_stream(spark, os.path.join(scratch, "in"), "t long, age int").withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", "3 seconds")
+    got = run_to_memory(state.window_top_n_stream(stream, "age", "ts", "10 seconds", "5 seconds", 2), os.path.join(scratch, "c"))
+    got = sorted((int(r["window_end"].timestamp()), r["rank"], r["age"], r["n"]) for r in got.collect())
+    df = spark.createDataFrame([(r["t"], r["age"]) for r in recs], "t long, age int").withColumn("ts", F.timestamp_seconds("t"))
+    counts = windows.window_agg(df, ["age"], windows.sliding("ts", "10 seconds", "5 seconds"), [F.count("*").alias("n")])
+    best = topn.top_n(counts, ["window_start", "window_end"], [F.col("n").desc(), F.col("age").asc()], 2, salt_cols=["age"])
+    want = sorted((int(r["window_end"].timestamp()), r["rank"], r["age"], r["n"]) for r in best.collect())
+    # the late row counts nowhere; the windows of t = 1400 end under t = 1500
+    assert [g for g in got if g[0] < 1300] == want and [g[2] for g in got if g[0] >= 1300] == [9, 9]

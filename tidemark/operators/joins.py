@@ -3,7 +3,7 @@ condition.
 
 Catalyst plans the plain interval join as an equi-join on the key with the time range
 as a residual filter, so every pair of rows of one key is compared: a hot key becomes
-quadratic in one task. :func:`interval_join` therefore buckets time by default: the left
+quadratic in one task. :func:`interval_join` therefore buckets time: the left
 row goes to the bucket of its time, the right row to the (few) buckets its range can
 reach, and the equi-join runs on (key, bucket). Only rows that can match meet, each pair
 is produced exactly once, and AQE can split a skewed (key, bucket) partition.
@@ -44,16 +44,13 @@ def window_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
-                  lower: str, upper: str, bucketed: bool = True,
-                  bucket_width: str | None = None) -> DataFrame:
+                  lower: str, upper: str, bucket_width: str | None = None) -> DataFrame:
     """Pairs with the same key and ``left_ts - lower <= right_ts <= left_ts + upper``
     (both ends closed; bounds may differ). Output: key, the other left and right columns.
 
-    ``bucketed`` (default) joins on (key, time bucket) first; ``bucket_width`` defaults to
-    ``lower + upper`` so each right row reaches at most two buckets, and the rows compared
-    stay within a constant factor of the pairs produced. ``bucketed=False`` compares every
-    left and right row of a key (Catalyst's equi-join with a residual range): only for
-    small inputs and as a reference in tests.
+    The join is on (key, time bucket); ``bucket_width`` defaults to ``lower + upper`` so each
+    right row reaches at most two buckets, and the rows compared stay within a constant
+    factor of the pairs produced.
     """
     lo, hi = interval_seconds(lower), interval_seconds(upper)
 
@@ -64,10 +61,6 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, righ
     rest_l = [c for c in left.columns if c != on]
     rest_r = [c for c in right.columns if c != on]
     r0 = _rename_key(right, on)
-    if not bucketed:
-        j = left.join(r0, (left[on] == r0["_tm_rkey"]) & cond_range(left, r0), "inner")
-        return j.select(on, *rest_l, *rest_r)
-
     width = interval_seconds(bucket_width) if bucket_width else max(lo + hi, 1)
     w_us = int(math.ceil(width * 1_000_000))
     l = left.withColumn("_tm_b", _div(epoch_micros(left_ts), w_us))

@@ -243,6 +243,19 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY n DESC, us
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, CAST(rk AS BIGINT) AS rank,
        user_id, n
 FROM r WHERE rk <= 2
+""",
+    "window_top_n_text": """
+WITH t AS (WITH w AS (SELECT user_id, time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL 5 MINUTE AS window_start
+           FROM events, range(2) r(i)),
+c AS (SELECT window_start, user_id, COUNT(*) AS n FROM w GROUP BY ALL),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY n DESC, user_id) AS rk FROM c)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, CAST(rk AS BIGINT) AS rank,
+       user_id, n
+FROM r WHERE rk <= 2)
+SELECT window_end, '*********   start     ****' || chr(10)
+  || string_agg('Top 【 ' || rank || ' 】' || chr(10) || 'age =' || user_id || chr(10) || 'count =' || n || chr(10), '' ORDER BY rank)
+  || '窗口i结束时间为：【 ' || strftime(window_end, '%Y-%m-%d %H-%M:%S.%g') || ' 】' || chr(10) || '******  end    *******' || chr(10) AS result
+FROM t GROUP BY window_end
 """,
     "late_events": f"""
 WITH {_CLASSIFIED}

@@ -19,7 +19,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import parse
+from tidemark.functions import formats, parse
 from tidemark.functions.time import cents, epoch_micros, interval
 from tidemark.operators import aggregates, joins, lateness, running, topn, windows
 from tidemark.sources.tables import table
@@ -223,16 +223,15 @@ def interval_join(spark, sf):
     """Clicks and purchases of the same user within +-2 hours (time-bucketed)."""
     clicks, purchases = _clicks_purchases(spark, sf)
     return joins.interval_join(clicks, purchases, "user_id", "click_ts", "purchase_ts",
-                               JOIN_BOUND, JOIN_BOUND, bucketed=True)
+                               JOIN_BOUND, JOIN_BOUND)
 
 
 def interval_join_plain(spark, sf):
     """J2, second bucketing: 30-minute time buckets, so each purchase reaches up to 9
-    buckets -- the same pairs as ``interval_join`` by a finer cut. (No registered query
-    compares all rows of a key: the all-pairs strategy is an opt-in for small inputs.)"""
+    buckets -- the same pairs as ``interval_join`` by a finer cut."""
     clicks, purchases = _clicks_purchases(spark, sf)
     return joins.interval_join(clicks, purchases, "user_id", "click_ts", "purchase_ts",
-                               JOIN_BOUND, JOIN_BOUND, bucketed=True, bucket_width="30 minutes")
+                               JOIN_BOUND, JOIN_BOUND, bucket_width="30 minutes")
 
 
 def _join_sides_flagged(spark, sf):
@@ -297,6 +296,14 @@ def window_top_n(spark, sf):
                       [F.col("n").desc(), F.col("user_id").asc()], 2, salt_cols=["user_id"])
     return best.select("window_start", "window_end", "rank", "user_id", "n")
 
+
+def window_top_n_text(spark, sf):
+    """ST4: the printed block of each window's top 2 (at most 2 rows a window are joined)."""
+    ranked = window_top_n(spark, sf)
+    one = ranked.groupBy("window_end").agg(F.array_sort(F.collect_list(
+        F.struct("rank", F.col("user_id").alias("key"), "n"))).alias("ranked"))
+    return one.select("window_end", formats.top_n_text("ranked", "window_end").alias("result"))
+
 # --------------------------------------------------------------------------- lateness
 
 
@@ -388,6 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_count": running_count,
     "running_avg": running_avg,
     "window_top_n": window_top_n,
+    "window_top_n_text": window_top_n_text,
     "window_watermark_ascending": window_watermark_ascending,
     "window_watermark_bounded": window_watermark_bounded,
     "late_events": late_events,

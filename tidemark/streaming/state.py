@@ -5,17 +5,19 @@ row per input row (or per count-window firing). Rows of one key inside a micro-b
 are ordered by an explicit sequence column (arrival order), and the per-batch work is
 vectorized in pandas; only the handful of state values per key is read and written.
 
-Time mode is ``None``: nothing here depends on event time, and in that mode no row is
-dropped by a watermark.
+Time mode is ``None`` where nothing depends on event time: in that mode no row is dropped
+by a watermark. The windowed top-N uses event-time timers.
 """
 
 from __future__ import annotations
 
+import heapq
 from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -147,6 +149,54 @@ class CountWindowProcessor(StatefulProcessor):
         pass
 
 
+class WindowTopNProcessor(StatefulProcessor):
+    """ST3 / U8 / ST4: per window, a map ``key -> rows`` and an event-time timer one
+    millisecond behind its end. When the watermark passes it, the window's ``n`` keys with most
+    rows come out, ranked, ties to the smaller key, and its state goes. A row whose
+    window has ended under the watermark is late and dropped."""
+
+    def __init__(self, key: str, n: int, key_type: str):
+        self.key, self.n, self.key_type = key, n, key_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", f"key {self.key_type}", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        ends = int(pd.Timestamp(key[0]).timestamp() * 1000)
+        for pdf in rows:  # one Arrow batch after the other
+            if ends <= timerValues.getCurrentWatermarkInMs():
+                continue
+            for k, n in pdf[self.key].dropna().value_counts().items():
+                k = k.item() if hasattr(k, "item") else k
+                got = self.counts.getValue((k,))
+                self.counts.updateValue((k,), ((got[0] if got else 0) + int(n),))
+            self.handle.registerTimer(ends + 1)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = list(self.counts.iterator())
+        best = heapq.nsmallest(self.n, [(-v[0], k[0]) for k, v in held])
+        self.counts.clear()
+        self.handle.deleteTimer(expiredTimerInfo.getExpiryTimeInMs())
+        yield pd.DataFrame({"window_end": [key[0]] * len(best), "rank": range(1, len(best) + 1),
+                            self.key: [k for _, k in best], "n": [-c for c, _ in best]})
+
+    def close(self) -> None:
+        pass
+
+
+def window_top_n_stream(df: DataFrame, key: str, ts: str, size: str, slide: str, n: int) -> DataFrame:
+    """ST4 with timers on a watermarked stream (``ts`` carries the watermark): ``window_end,
+    rank, <key>, n`` for the sliding windows as they end."""
+    _use_rocksdb(df)
+    rows = df.select(ts, key, F.window(ts, size, slide).alias("_tm_w")).withColumn("window_end", F.col("_tm_w.end"))
+    out = T.StructType([T.StructField("window_end", T.TimestampType()), T.StructField("rank", T.LongType()),
+                        df.schema[key], T.StructField("n", T.LongType())])
+    return rows.drop("_tm_w").groupBy("window_end").transformWithStateInPandas(
+        WindowTopNProcessor(key, n, df.schema[key].dataType.simpleString()), out, "append", "EventTime")
+
+
 def _whole(df: DataFrame, value: str) -> bool:
     return isinstance(df.schema[value].dataType, T.IntegralType)
 
