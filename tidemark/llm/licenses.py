@@ -110,17 +110,19 @@ def licence_lines(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     ``first`` holds for a file's first line that isn't blank."""
     n, counts = document_frequencies(files, vocabulary(templates))
     w = Weights(templates, n, counts, threshold)
-    lines = files.select("path", "doc_id", F.split(F.col("text").cast("string"), "\n").alias("lines"))
-    lines = lines.select("path", "doc_id", F.posexplode("lines").alias("line", "raw"),
-                         F.array_position(F.transform("lines", lambda x: F.trim(x) != ""), True).alias("top"))
-    low = F.lower("raw")
-    some = F.lit(False)
-    for a in w.anchors:
-        some = some | low.contains(a)
-    cand = lines.filter(some).withColumn("words", F.split(word_text(F.col("raw")), " "))
-    cand = cand.filter(F.arrays_overlap("words", F.lit(w.anchors)))
+
+    def words(text: str) -> Column:
+        return F.split(word_text(F.col(text)), " ")
+
+    # whole files first, then their lines: few have one of the words
+    some = files.filter(F.arrays_overlap(words("text"), F.lit(w.anchors)))
+    lines = some.select("path", "doc_id", F.split(F.col("text").cast("string"), "\n").alias("lines"))
+    lines = lines.withColumn("top", F.array_position(F.transform("lines", lambda x: F.trim(x) != ""), True))
+    lines = lines.select("path", "doc_id", "top", F.posexplode("lines").alias("line", "raw")).withColumn("words", words("raw"))
+    cand = (lines.filter(F.arrays_overlap("words", F.lit(w.anchors)))
+            .select("path", "doc_id", "line", (F.col("line") + 1 == F.col("top")).alias("first"), "words").checkpoint())
     return (cand.withColumn("best", _scores(F.col("words"), w)).filter(F.col("best.score") >= threshold)
-            .select("path", "doc_id", "line", (F.col("line") + 1 == F.col("top")).alias("first"), "best.license", "best.score"))
+            .select("path", "doc_id", "line", "first", "best.license", "best.score"))
 
 
 def parent(path: Column) -> Column:
