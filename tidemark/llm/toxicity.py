@@ -78,6 +78,8 @@ class FuzzyLexicon:
         self.inside: list[tuple[int, int] | None] = []  # exact matches, which may go on
         self.final: list[tuple[int, int] | None] = []  # any match that ends here
         self.dead = self.state(frozenset())
+        # a misspelling keeps the first letter: a word starts in its letter's state
+        self.starts = {c: self.state(self.close({(n, 0)})) for c, n in self.children[0].items()}
 
     def state(self, members: frozenset) -> int:
         number = self.numbers.get(members)
@@ -113,24 +115,25 @@ class FuzzyLexicon:
         return nxt
 
     def match(self, word: str) -> tuple[int, int] | None:
-        first = self.children[0].get(word[0])
-        if first is None:
+        s = self.starts.get(word[0])
+        if s is None:
             return None
         if len(self.sets) > self.STATES:
             self.reset()
-        s = self.state(self.close({(first, 0)}))
-        best = self.inside[s]
+            s = self.starts[word[0]]
+        steps, inside, dead, best = self.steps, self.inside, self.dead, self.inside[s]
         for c in word[1:]:
-            nxt = self.steps[s].get(c)
+            nxt = steps[s].get(c)
             s = self.step(s, c) if nxt is None else nxt
-            if s == self.dead:
+            if s == dead:
                 return best
-            best = self.inside[s] or best
+            best = inside[s] or best
         return best or self.final[s]
 
 
 def words_of(chunk: str) -> list[str]:
-    return _LETTERS.findall(chunk.lower())
+    lower = chunk.lower()
+    return [lower] if lower.isalpha() else _LETTERS.findall(lower)
 
 
 class Reader:
@@ -140,7 +143,7 @@ class Reader:
 
     def __init__(self, lexicon: FuzzyLexicon):
         self.lexicon = lexicon
-        self.chunks = ChunkCache(self.chunk)
+        self.chunks = ChunkCache(self.chunk, limit=600_000)
 
     def chunk(self, chunk: str) -> bytes:
         code, flags = 0, 0
