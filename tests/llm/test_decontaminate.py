@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from helpers import DOC_SCHEMA, empty_docs, invented, odd_docs
@@ -87,3 +88,22 @@ def test_one_passage_in_most_documents(spark):
     df = spark.createDataFrame([(i, f"{leak} and its own word {i}" if i % 3 else f"clean {i}", "en", "s", 1) for i in range(200)], DOC_SCHEMA)
     bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
     assert sorted(r["doc_id"] for r in remove_contaminated(df, bench).collect()) == [i for i in range(200) if i % 3 == 0]
+
+
+def test_substitutions_at_every_place(spark):
+    rng, docs, items, must, never = random.Random(9), [], [], set(), set()
+    for n in range(5, 21):
+        item = [f"i{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(item)))
+        for gone in [*itertools.combinations(range(n), 1), *itertools.combinations(range(n), 2), *([tuple(rng.sample(range(n), 4)) for _ in range(40)] if n == 20 else [])]:
+            doc = len(docs)
+            text = [w if j not in gone else "other" for j, w in enumerate(item)]
+            docs.append((doc, " ".join([*invented(9, doc), *text, *invented(9, -doc - 1)])))
+            if len(gone) * 5 <= n:
+                must.add((doc, n))
+            elif n < LEAST_WORDS:
+                never.add((doc, n))
+    df = spark.createDataFrame([(*d, "en", "s", 1) for d in docs], DOC_SCHEMA)
+    got = {(r["doc_id"], r["item_id"]): r for r in contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert must <= got.keys() and not never & got.keys()
+    assert all(r["equal"] * 5 >= r["words"] * 4 and r["words"] >= min(LEAST_WORDS, i) for (_, i), r in got.items())
