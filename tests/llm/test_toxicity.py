@@ -3,7 +3,7 @@ import zlib
 
 from helpers import DOC_SCHEMA, distance, empty_docs, invented, odd_docs
 
-from tidemark.llm.toxicity import FuzzyLexicon, Reader, edits_allowed, fit, pick_terms, score_toxicity
+from tidemark.llm.toxicity import FuzzyLexicon, Reader, WholeLexicon, edits_allowed, fit, pick_terms, score_toxicity
 
 LABELS = "doc_id long, quality int, toxic int"
 TERMS = ["idiot", "worthless", "scum", "vequ"]
@@ -98,3 +98,45 @@ def test_odd_rows(spark):
     assert score_toxicity(docs, labels.limit(0)).count() == docs.count()
     assert score_toxicity(empty_docs(spark), labels).count() == 0
     assert fit(docs, labels.filter("toxic = 0")).terms == []
+
+
+def swapped_distance(a, b):
+    """Edit distance in which a swap of neighbours is one edit and changes nothing else."""
+    d = [[max(i, j) if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def test_whole_automaton_equals_brute_force():
+    rng = random.Random(6)
+    terms = sorted({"".join(rng.choice("abcd") for _ in range(rng.randint(3, 11))) for _ in range(30)})
+    lexicon = WholeLexicon(terms)
+    lexicon.STATES = 500
+    for _ in range(1500):
+        w = list(rng.choice(terms)) + [rng.choice("abcd") for _ in range(rng.choice([0, 0, 1, 3]))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.randrange(len(w))
+            w[p:p + 2] = rng.choice([w[p:p + 2][::-1], [rng.choice("abcde"), *w[p + 1:p + 2]], w[p + 1:p + 2], [rng.choice("abcde"), *w[p:p + 2]]])
+            w = w or ["a"]
+        word = "".join(w)
+        found = []
+        for t, term in enumerate(terms):
+            for n in range(1, len(word) + 1):
+                e = swapped_distance(word[:n], term)
+                if e <= WholeLexicon.allowed(term):
+                    found.append((e if n == len(word) or not e else e + 2, -len(term), t))
+        want = min(found) if found else None
+        assert lexicon.match(word) == (want and (want[2], want[0])), (word, want)
+
+
+def test_every_kind_of_misspelling_alone(spark):
+    docs, labels = corpus(spark)
+    model = fit(docs, labels)
+    alone = ["mdiot", "diot", "iidiot", "id1ot", "1diot", "i*iot", "idoit", "diiot", "idot", "idiiot", "scvm", "scmu", "sc*m", "worhtless", "wrothles", "w0rthl3ss", "idoits", "worhtlessness"]
+    rows = [(i, f"w1 w2 w3 {w} w4 w5", "en", "s", 1) for i, w in enumerate(alone)] + [(99, "w1 w2 w3 decent w4 w5", "en", "s", 1)]
+    got = {r["doc_id"]: r["hits"] for r in score_toxicity(spark.createDataFrame(rows, DOC_SCHEMA), labels, model).collect()}
+    assert [w for i, w in enumerate(alone) if got[i] != 1] == [] and got[99] == 0

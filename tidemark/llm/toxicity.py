@@ -3,8 +3,12 @@
 The lexicon is learned from labelled rows: words and word stems that stand in toxic texts
 and hardly in others. Its trie is intersected with Levenshtein automata: a state is a set
 of (trie node, edits so far), worked out lazily and kept as a table, so a word is read once,
-whatever the size of the lexicon. Exact matches may go on (inflected forms); misspelled
-ones must begin with the same letter and end with the term.
+whatever the size of the lexicon. Edits are changed, lost, added and swapped letters, the
+first letter's too, and digits or marks in place of letters. Exact and misspelled matches
+may go on (inflected forms). What a kind of match is worth is learned, and kinds that are
+worth nothing are left out. Words that several clean labelled texts have are words of their
+own, no misspellings; words of a single one stand for those not seen yet and hold the
+weights of misspellings down.
 
 Each match is looked at in a window of words: in quotation marks or behind a reporting
 word it counts as quoted, near a form of address or another match as abuse. A logistic
@@ -39,6 +43,7 @@ ADDRESS = frozenset("you your yours yourself u ur du dein deine dich dir ihr euc
 REPORTING = frozenset("said says say called calls wrote writes quote quoted quoting term word sagte sagt schrieb nannte wort zitat dit écrit appelé mot citation dijo dice escribió llamó palabra cita".split())
 _QUOTES = "\"“”„«»‘’'"
 _LETTERS = re.compile(r"[^\W\d_]+")
+_AROUND = re.compile(r"^[^\w]+|[^\w]+$")
 
 
 def edits_allowed(term: str) -> int:
@@ -131,26 +136,121 @@ class FuzzyLexicon:
         return best or self.final[s]
 
 
+KINDS = 5  # of matches: exact; of the whole word with one and two edits; of its beginning with one and two edits
+
+
+class WholeLexicon(FuzzyLexicon):
+    """As :class:`FuzzyLexicon`, with edits anywhere in every term (a swap of neighbours is
+    one edit) and misspelled beginnings. :meth:`match` gives (term number, kind): the
+    smallest kind, then the longest term. ``without`` holds codes (term * KINDS + kind + 1)
+    that are no match."""
+
+    def __init__(self, terms: list[str], without: frozenset[int] = frozenset()):
+        self.without = without
+        super().__init__(terms)
+        self.reach = [0] * len(self.children)
+        for term in terms:
+            node, allowed = 0, self.allowed(term)
+            self.reach[0] = max(self.reach[0], allowed)
+            for c in term:
+                node = self.children[node][c]
+                self.reach[node] = max(self.reach[node], allowed)
+        self.reset()
+
+    @staticmethod
+    def allowed(term: str) -> int:
+        return 1 if len(term) < 9 else 2
+
+    def reset(self) -> None:
+        self.numbers, self.sets, self.steps, self.inside, self.final = {}, [], [], [], []
+        self.dead = self.state(frozenset())
+        self.start = self.state(self.close({(0, 0, "")}))
+
+    def state(self, members: frozenset) -> int:
+        """Members are (node, edits, the letter of a swap that must come next to get there)."""
+        number = self.numbers.get(members)
+        if number is None:
+            number = self.numbers[members] = len(self.sets)
+            self.sets.append(members)
+            self.steps.append({})
+            ends = [(e, -len(self.terms[t]), t) for n, e, due in members if not due and (t := self.end[n]) >= 0 and e <= self.allowed(self.terms[t])]
+            for kinds, begun in ((self.final, 0), (self.inside, 2)):
+                found = [(kind, length, t) for e, length, t in ends if t * KINDS + (kind := e + begun * (e > 0)) + 1 not in self.without]
+                kinds.append(min(found) if found else None)
+        return number
+
+    def close(self, pairs: set) -> frozenset:
+        best: dict[tuple[int, str], int] = {}
+        work = list(pairs)
+        while work:
+            n, e, due = work.pop()
+            if e > self.reach[n] or best.get((n, due), 9) <= e:
+                continue
+            best[n, due] = e
+            if not due:
+                work += [(c, e + 1, "") for c in self.children[n].values()]
+        return frozenset((n, e, due) for (n, due), e in best.items())
+
+    def step(self, state: int, char: str) -> int:
+        out = set()
+        for n, e, due in self.sets[state]:
+            if due:
+                if due == char:
+                    out.add((n, e, ""))
+                continue
+            out.add((n, e + 1, ""))
+            for c, child in self.children[n].items():
+                out.add((child, e if c == char else e + 1, ""))
+                if c != char and char in self.children[child]:
+                    out.add((self.children[child][char], e + 1, c))
+        nxt = self.steps[state][char] = self.state(self.close(out))
+        return nxt
+
+    def match(self, word: str) -> tuple[int, int] | None:
+        if len(self.sets) > self.STATES:
+            self.reset()
+        s, best = self.start, None
+        for i, c in enumerate(word):
+            nxt = self.steps[s].get(c)
+            s = self.step(s, c) if nxt is None else nxt
+            if s == self.dead:
+                break
+            found = (self.inside if i + 1 < len(word) else self.final)[s]
+            if found and (best is None or found < best):
+                best = found
+        return (best[2], best[0]) if best else None
+
+
+def spelled(chunk: str) -> list[str]:
+    """The words of a chunk; with letters on both sides of digits or marks, or digits or
+    marks at an end, also the whole chunk less the marks around it."""
+    words = words_of(chunk)
+    whole = _AROUND.sub("", chunk.lower())
+    return words if not words or words == [whole] else [*words, whole]
+
+
 def words_of(chunk: str) -> list[str]:
     lower = chunk.lower()
     return [lower] if lower.isalpha() else _LETTERS.findall(lower)
 
 
 class Reader:
-    """Matches of a text with their context. A code is term * 3 + edits + 1; 0 is no match."""
+    """Matches of a text with their context. A code is term * KINDS + kind + 1; 0 is no match."""
 
     ADDRESSED, REPORTED, OPENS, CLOSES = 1, 2, 4, 8
 
-    def __init__(self, lexicon: FuzzyLexicon):
-        self.lexicon = lexicon
+    def __init__(self, lexicon: FuzzyLexicon, known: frozenset[str] = frozenset()):
+        self.lexicon, self.known = lexicon, known
         self.chunks = ChunkCache(self.chunk, limit=600_000)
 
     def chunk(self, chunk: str) -> bytes:
         code, flags = 0, 0
-        for w in words_of(chunk):
+        for w in spelled(chunk):
             m = self.lexicon.match(w)
-            if m and (not code or m[1] < (code - 1) % 3):
-                code = m[0] * 3 + m[1] + 1
+            if m and m[1] and w in self.known:
+                m = None
+            if m and (not code or m[1] < (code - 1) % KINDS):
+                code = m[0] * KINDS + m[1] + 1
             flags |= self.ADDRESSED * (w in ADDRESS) | self.REPORTED * (w in REPORTING)
         if chunk[0] in _QUOTES:
             flags |= self.OPENS
@@ -187,8 +287,8 @@ class Reader:
 
 
 class Model:
-    def __init__(self, terms: list[str], weights: np.ndarray, coef: np.ndarray):
-        self.terms, self.weights, self.coef = terms, weights, coef
+    def __init__(self, terms: list[str], weights: np.ndarray, coef: np.ndarray, known: frozenset[str] = frozenset()):
+        self.terms, self.weights, self.coef, self.known = terms, weights, coef, known
 
     def score(self, found: dict) -> float:
         z = float(features(found, self.weights) @ self.coef)
@@ -254,7 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Model:
                     yield batch()
         yield batch()
 
-    words = known.mapInArrow(count, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    words = known.mapInArrow(count, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).checkpoint()
     # the empty word has the numbers of rows; every stem adds up its words
     stems = words.select(F.explode(F.when(F.col("word") == "", F.array(F.lit(""))).otherwise(F.transform(
         F.sequence(F.lit(STEM_CHARS[0]), F.least(F.char_length("word"), F.lit(STEM_CHARS[1]))),
@@ -271,34 +371,63 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Model:
     if not terms:
         return Model([], np.zeros(1), np.array([-5.0, 0, 0, 0, 0, 0, 0]))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(FuzzyLexicon(terms))
+    def misspelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = WholeLexicon(terms)
         for b in batches:
-            out = [reader.read(t.as_py()) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("label_id"), b.column("label"), *(pa.array([o[k] for o in out], pa.list_(pa.int64())) for k in ("plain", "times", "quoted")),
-                 *(pa.array([int(o[k]) for o in out], pa.int64()) for k in ("addressed", "clustered", "hits", "words"))],
-                names=["label_id", "label", "plain", "times", "quoted", "addressed", "clustered", "hits", "words"])
+            yield b.filter(pa.array([bool((m := lexicon.match(w)) and m[1]) for w in b.column("word").to_pylist()], pa.bool_()))
+
+    own = words.filter((F.col("word") != "") & (F.col("clean") >= 2) & (F.col("clean") * n_toxic >= F.col("toxic") * n_clean))
+    known = frozenset(r["word"] for r in own.select("word", "clean").mapInArrow(misspelt, "word string, clean long")
+                      .orderBy(F.desc("clean"), "word").limit(CANDIDATES).collect())
+
+    def read_rows(without: frozenset[int]) -> list[dict]:
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            reader = Reader(WholeLexicon(terms, without), known)
+            for b in batches:
+                out = [reader.read(t.as_py()) for t in b.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("label_id"), b.column("label"), *(pa.array([o[k] for o in out], pa.list_(pa.int64())) for k in ("plain", "times", "quoted")),
+                     *(pa.array([int(o[k]) for o in out], pa.int64()) for k in ("addressed", "clustered", "hits", "words"))],
+                    names=["label_id", "label", "plain", "times", "quoted", "addressed", "clustered", "hits", "words"])
 
-    seen = (texts.join(F.broadcast(train), "label_id").select("text", "label_id", "label")
-            .mapInArrow(read, "label_id long, label int, plain array<long>, times array<long>, quoted array<long>, addressed long, clustered long, hits long, words long"))
-    one = seen.groupBy("label_id").agg(F.min(F.struct("label", "plain", "times", "quoted", "addressed", "clustered", "hits", "words")).alias("r")).select("r.*")
-    return _weigh(terms, [r.asDict() for r in one.orderBy("label", "plain", "times", "words", "hits", "addressed", "clustered").collect()])
+        seen = (texts.join(F.broadcast(train), "label_id").select("text", "label_id", "label")
+                .mapInArrow(read, "label_id long, label int, plain array<long>, times array<long>, quoted array<long>, addressed long, clustered long, hits long, words long"))
+        one = seen.groupBy("label_id").agg(F.min(F.struct("label", "plain", "times", "quoted", "addressed", "clustered", "hits", "words")).alias("r")).select("r.*")
+        return [r.asDict() for r in one.orderBy("label", "plain", "times", "words", "hits", "addressed", "clustered").collect()]
 
+    weights = _term_weights(terms, read_rows(frozenset()))
+    without = _worthless(weights)
+    rows_read = read_rows(without)  # a word may match another way where a kind is left out
+    weights = np.where(weights > 0, _term_weights(terms, rows_read), 0.0)
+    return _weigh(terms, weights, rows_read, known)
 
-def _weigh(terms: list[str], rows: list[dict]) -> Model:
-    """Weights of terms by edits, then of the context, from at most ``LABEL_ROWS`` rows."""
-    n = np.zeros((2, 3 * len(terms) + 1))
+
+def _worthless(weights: np.ndarray) -> frozenset[int]:
+    return frozenset(np.flatnonzero(weights == 0).tolist()) - {0}
+
+
+def _term_weights(terms: list[str], rows: list[dict]) -> np.ndarray:
+    """Weights of terms by kind of match, from at most ``LABEL_ROWS`` rows."""
+    n = np.zeros((2, KINDS * len(terms) + 1))
     for r in rows:
         for c in {*r["plain"], *r["quoted"]}:
             n[int(r["label"] == 1), c] += 1
     toxic = sum(r["label"] == 1 for r in rows)
     w = np.log((n[1] + 0.5) / (toxic + 1.0)) - np.log((n[0] + 0.5) / (len(rows) - toxic + 1.0))
+    if rows:  # a misspelling's smoothing is by the share of toxic rows: a few clean rows alone give it no weight
+        share = max(toxic, 1) / len(rows)
+        w2 = np.log((n[1] + 0.5 * share) / (toxic + 0.5 * share)) - np.log((n[0] + 0.5 * (1 - share) + 1e-9) / (len(rows) - toxic + 0.5 * (1 - share) + 1e-9))
+        w = np.where((np.arange(len(w)) - 1) % KINDS == 0, w, np.minimum(w, w2))
     weights = np.where(n.sum(axis=0) > 0, np.maximum(w, 0.0), 0.0)
-    for t in range(len(terms)):  # a misspelling that no labelled row has: as its term, halved by each edit
-        for e in (1, 2):
-            if not n[:, 3 * t + 1 + e].any():
-                weights[3 * t + 1 + e] = weights[3 * t + 1] * 0.5 ** e
+    for t in range(len(terms)):  # a misspelling that no labelled row has: as its term, halved by each edit and by going on
+        for kind, halves in ((1, 1), (2, 2), (3, 2), (4, 3)):
+            if not n[:, KINDS * t + 1 + kind].any():
+                weights[KINDS * t + 1 + kind] = weights[KINDS * t + 1] * 0.5 ** halves
+    return weights
+
+
+def _weigh(terms: list[str], weights: np.ndarray, rows: list[dict], known: frozenset[str]) -> Model:
+    """Weights of the context, from at most ``LABEL_ROWS`` rows."""
     x = np.array([features(r, weights) for r in rows])
     y = np.array([float(r["label"] == 1) for r in rows])
     coef = np.zeros(x.shape[1])
@@ -309,7 +438,7 @@ def _weigh(terms: list[str], rows: list[dict]) -> Model:
         coef = coef + step
         if np.abs(step).max() < 1e-9:
             break
-    return Model(terms, weights, coef)
+    return Model(terms, weights, coef, known)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -328,7 +457,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, model: Model | None = Non
     model = model or fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(FuzzyLexicon(model.terms))
+        reader = Reader(WholeLexicon(model.terms, _worthless(model.weights)), model.known)
         for b in batches:
             found = [reader.read(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
