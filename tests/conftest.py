@@ -26,12 +26,6 @@ def scratch():
     return tempfile.mkdtemp(prefix="tidemark-t-")
 
 
-def rows(df, *cols):
-    """Sorted list of tuples for order-insensitive comparison."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
-
-
 @pytest.fixture()
 def sliced_scans(spark):
     """Run a test with its ordered scans cut into many small slices."""

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import (INTERVAL_JOIN_RIGHT, INTERVAL_ONLY, JOIN_EXPECTED, JOIN_LEFT, WINDOW_JOIN_RIGHT,
                       WINDOW_ONLY)
 from tidemark.operators import joins

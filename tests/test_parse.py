@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import BAD_USER_LINES, HELLO_LINES, SENSOR_LINES, USER_LINES
 from tidemark.functions import parse
 from tidemark.operators import aggregates

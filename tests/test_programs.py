@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import HELLO_LINES, USER_LINES
 from streamutil import run_to_memory
 from tidemark.functions import parse

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import SENSOR_LINES, SENSOR_RUNNING_AVG, SENSOR_RUNNING_COUNT
 from tidemark.functions import parse
 from tidemark.operators import running, topn

@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import HELLO_LINES, USER_LINES
 from streamutil import json_stream, write_batches
 from tidemark.streaming import sinks

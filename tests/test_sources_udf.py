@@ -3,7 +3,7 @@ import os
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import HELLO_LINES
 from tidemark.functions import udf
 from tidemark.operators import aggregates

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import OOO_ARRIVAL, OOO_CLASS
 from streamutil import json_stream, write_batches
 from tidemark.operators import lateness

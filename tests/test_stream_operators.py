@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import HELLO_LINES, INTERVAL_JOIN_RIGHT, JOIN_EXPECTED, JOIN_LEFT, WINDOW_JOIN_RIGHT
 from streamutil import json_stream, run_to_memory, write_batches
 from tidemark.functions import parse

@@ -3,7 +3,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from fixtures import SESSION_ROWS
 from tidemark.operators import aggregates, windows
 from tidemark.plans.prefix import id_buckets
