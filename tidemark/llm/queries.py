@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.filter_audit import AUDIT_SQL, filter_audit
 from tidemark.llm.licenses import document_paths, scan_licences
 from tidemark.llm.line_dedup import line_report
 from tidemark.llm.near_dedup import near_classes
@@ -20,6 +21,7 @@ from tidemark.llm.topk import quantise, top_products
 from tidemark.llm.token_counts import EDIT_TYPE, apply_edits, build_trees
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.vocabulary import vocabulary_path
+from tidemark.llm.whitening import whiten
 
 PACK_VOCABULARY = "word_bpe_49k.json"
 COUNT_VOCABULARY = "byte_bpe_50k.json"
@@ -87,9 +89,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened coordinates on the 8 leading components."""
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, in all 120 orders, for each language."""
+    return filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_harmonic_packing, op2_decontaminate, op3_toxicity, op4_near_dedup, op5_secrets,
     op6_license_scan, op7_quality_resampling, op8_edit_counts, op9_exact_topk, op10_line_dedup,
+    op11_whitening, op13_filter_audit,
 )}
 
 ORACLE: dict[str, str] = {
@@ -107,4 +120,5 @@ r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
+    "op13_filter_audit": AUDIT_SQL,
 }
