@@ -1,0 +1,54 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm.induced import common_prefixes, ranges, suffix_arrays
+
+
+def brute(s):
+    order = sorted(range(len(s)), key=lambda i: s[i:])
+    prefix = [0] * len(s)
+    for a, b in zip(order, order[1:], strict=False):
+        n = 0
+        while max(a, b) + n < len(s) and s[a + n] == s[b + n]:
+            n += 1
+        prefix[b] = n
+    return order, prefix
+
+
+def check(strings):
+    shards = sorted(([*s, 0] for s in strings), key=len, reverse=True)
+    lengths = np.array([len(s) for s in shards])
+    text = np.concatenate(shards)
+    sa = suffix_arrays(text, lengths)
+    prefix = common_prefixes(text, sa, lengths)
+    at = 0
+    for s in shards:
+        order, want = brute(s)
+        assert (sa[at:at + len(s)] - at).tolist() == order
+        assert prefix[at:at + len(s)].tolist() == want
+        at += len(s)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 3), max_size=40), min_size=1, max_size=8))
+def test_arrays_of_many_shards(strings):
+    check(strings)
+
+
+@pytest.mark.parametrize("s", [[], [1] * 300, [1, 2] * 200, [2, 1] * 200, list(range(1, 200)), list(range(200, 0, -1)), [3, 1, 3, 2] * 50])
+def test_repetitive_shards(s):
+    check([s, s[:7], [5, 5, 4], []])
+
+
+def test_deep_recursion_and_large_alphabets():
+    a, b = [1], [1, 2]
+    while len(b) < 2000:  # Fibonacci words have names that repeat on every level
+        a, b = b, b + a
+    rng = np.random.default_rng(1)
+    check([b, rng.integers(1, 100_000, 1500).tolist(), rng.integers(1, 3, 1800).tolist()])
+
+
+def test_ranges():
+    assert ranges(np.array([5, 0, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
