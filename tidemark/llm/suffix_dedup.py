@@ -10,19 +10,23 @@ string:
 1. anchors that one document only has are left out (their hashes are counted, nothing else);
 2. a segment that a document with a smaller id has in the same wording is removed as it
    stands, so only first wordings are compared further, and copies cost a row each;
-3. anchors whose wordings all come from one document are left out.
+3. anchors whose wordings all come from one document are left out, and the rest is cut
+   anew by anchors of ``FINE_GRAM`` bytes, which hardly two texts share by chance; again
+   those of one document are left out.
 
 The bytes of the rest go to their shards. Shards are small strings, sorted thousands at a
-time (:mod:`tidemark.llm.induced`). An anchor with more than ``SHARD_SEGMENTS`` segments is
-not sorted in one place: its strings are grouped one by one by their own bytes, which is
+time (:mod:`tidemark.llm.induced`). A fine anchor with more than ``SHARD_SEGMENTS`` segments
+is not sorted in one place: its strings are grouped one by one by their own bytes, which is
 exact too and leaves no group that grows with the table.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.induced import common_prefixes, ranges, suffix_arrays
-from tidemark.llm.text import join_counted
 from tidemark.session import checkpoint_path, delete_path
 
-LENGTH, GRAM = 50, 16
+LENGTH = 50
+GRAM, FINE_GRAM = 20, 34
 SHARD_SEGMENTS = 64
 RUN = 512             # strings in a segment, at most
 BLOCK = 1 << 20       # bytes that are hashed at a time
@@ -103,11 +107,11 @@ def least_of(h: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(h[:len(h) - (window - size)], h[window - size:]) if window > size else h
 
 
-def segments_of(block: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def segments_of(block: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(anchor, piece, first string, strings) of the segments of pieces of text, which lie
     at ``starts`` of the block."""
     anchors, _ = hashes()
-    gram = min(GRAM, length)
+    gram = min(gram, length)
     least = least_of(anchors.grams(anchors.sums(block), gram), length - gram + 1) >> _U(16)
     strings = np.maximum(sizes - length + 1, 0)
     at = ranges(starts, strings)
@@ -193,35 +197,48 @@ def _tag(place):
     return F.shiftright(place, _TAG)
 
 
-def segment_bytes(rows: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """``h, hot, doc_id, place, data`` for the segments in ``rows``. A document's segments
-    come together as one row, so its text is read once."""
-    per_doc = (rows.groupBy("doc_id", _tag(F.col("place")).alias("tag"))
-               .agg(F.collect_list(F.struct("place", "h", "hot")).alias("segments")))
-    wanted = join_counted(texts, per_doc, "doc_id", rows=rows.count()).select("doc_id", "tag", "segments", "text")
+def fine_segments(rows: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """``h, doc_id, place, data``: the segments in ``rows`` (``doc_id, place``) cut anew by
+    fine anchors, with their bytes. A document's segments come together as one row, so its
+    text is read once."""
+    per_doc = rows.groupBy("doc_id", _tag(F.col("place")).alias("tag")).agg(F.collect_list("place").alias("places"))
+    wanted = texts.join(per_doc, "doc_id").select("doc_id", "tag", "places", "text")
+
+    def cut(pieces: list[bytes], ids: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
+        block = np.frombuffer(b"".join(pieces), np.uint8)
+        sizes = np.array([len(p) for p in pieces])
+        starts = np.cumsum(sizes) - sizes
+        h, piece, at, n = segments_of(block, starts, sizes, length, FINE_GRAM)
+        old = np.concatenate(places)[piece]
+        start = (old >> _START & (1 << (_TAG - _START)) - 1) + at - starts[piece]
+        spans = n + length - 1
+        offsets = np.concatenate([[0], np.cumsum(spans)]).astype(np.int32)
+        data = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(block[ranges(at, spans)])])
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.concatenate(ids)[piece]), pa.array(old >> _TAG << _TAG | start << _START | n), data],
+                                          names=["h", "doc_id", "place", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "hot", "doc_id", "place", "data"]
+        pieces, ids, places, filled = [], [], [], 0
         for b in batches:
-            parts, rows = [], 0
             for doc_id, tag, segments, text in zip(*(b.column(i) for i in range(4)), strict=True):
                 data = utf8(text)
                 if text_tag(data) != tag.as_py():
                     continue  # another row of the same doc_id
-                s = segments.values
-                place = s.field("place").to_numpy()
-                at, n = place >> _START & (1 << (_TAG - _START)) - 1, place & _COUNT
-                cut = [data[a:a + m + length - 1] for a, m in zip(at.tolist(), n.tolist(), strict=True)]
-                parts.append(pa.RecordBatch.from_arrays([s.field("h"), s.field("hot"), pa.array(np.full(len(cut), doc_id.as_py())), s.field("place"),
-                                                         pa.array(cut, pa.binary())], names=names))
-                rows += len(cut)
-                if rows > 20_000:
-                    yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
-                    parts, rows = [], 0
-            if parts:
-                yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
-
-    return wanted.mapInArrow(run, "h long, hot boolean, doc_id long, place long, data binary")
+                place = segments.values.to_numpy()
+                for i in range(0, len(place), 1000):
+                    part = place[i:i + 1000]
+                    at, n = part >> _START & (1 << (_TAG - _START)) - 1, part & _COUNT
+                    pieces += [data[a:a + m + length - 1] for a, m in zip(at.tolist(), n.tolist(), strict=True)]
+                    ids.append(np.full(len(part), doc_id.as_py()))
+                    places.append(part)
+                    filled += int(n.sum()) + len(part) * (length - 1)
+                    if filled > BLOCK // 4:  # the next thousand segments fit, too
+                        yield cut(pieces, ids, places)
+                        pieces, ids, places, filled = [], [], [], 0
+        if pieces:
+            yield cut(pieces, ids, places)
+
+    return wanted.mapInArrow(run, "h long, doc_id long, place long, data binary")
 
 
 def repeats_in_shards(h: np.ndarray, doc: np.ndarray, place: np.ndarray, data: pa.BinaryArray, length: int) -> tuple[np.ndarray, ...]:
@@ -329,10 +346,22 @@ def spans(intervals: DataFrame) -> DataFrame:
     return per_doc.mapInArrow(run, "doc_id long, tag long, spans array<long>")
 
 
-def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+def several_documents(segments: DataFrame) -> DataFrame:
+    """``h`` and number ``n`` of segments of the anchors that several documents have."""
+    return (segments.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
+            .filter("a < b").select("h", "n"))
+
+
+def _stored(spark: SparkSession, make: Callable[[], DataFrame], folder: str, name: str) -> DataFrame:
+    """The table that ``make`` defines, read again from the shared folder. Nothing refers to
+    its shuffle files then, and the collection lets Spark's cleaner remove them before the
+    next table's are written."""
     path = f"{folder}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    make().write.parquet(path)
+    gc.collect()
+    time.sleep(1.5)  # references are given up in the background
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -344,24 +373,36 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     folder = checkpoint_path(spark, "suffix_dedup", uuid.uuid4().hex)
     texts = (docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
              .filter(f"doc_id is not null and octet_length(text) >= {length}"))
-    anchors = _stored(repeated_anchors(texts.select("doc_id", "text"), length), folder, "anchors")
-    shared = _stored(all_segments(texts, length).join(anchors, "h", "left_semi"), folder, "segments")
-    least = shared.groupBy("h", "wording").agg(F.min("doc_id").alias("least"))
-    # what a later table was made of goes once that table is stored
-    known = _stored(shared.join(least, ["h", "wording"]).select("h", "doc_id", "place", (F.col("doc_id") > F.col("least")).alias("copy")), folder, "known")
-    for name in ("anchors", "segments"):
-        delete_path(spark, f"{folder}/{name}")
     place = F.col("place")
-    copies = known.filter("copy").select("doc_id", _tag(place).alias("tag"), _start(place).alias("start"),
-                                         (_start(place) + place.bitwiseAND(_COUNT) + (length - 1)).alias("end"))
-    firsts = known.filter("not copy").select("h", "doc_id", "place")
-    open_anchors = (firsts.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
-                    .filter("a < b").select("h", (F.col("n") > SHARD_SEGMENTS).alias("hot")))
-    segments = _stored(segment_bytes(_stored(firsts.join(open_anchors, "h"), folder, "open"), texts, length), folder, "bytes")
-    found = (copies.unionByName(shard_repeats(segments.filter("not hot"), length))
-             .unionByName(string_repeats(segments.filter("hot"), length)))
-    out = _stored(spans(found), folder, "spans")
-    for name in ("known", "open", "bytes"):
+
+    def stored(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return _stored(spark, make, folder, name)
+
+    def compared() -> DataFrame:
+        least = shared.groupBy("h", "wording").agg(F.min("doc_id").alias("least"))
+        return shared.join(least, ["h", "wording"]).select("h", "doc_id", "place", (F.col("doc_id") > F.col("least")).alias("copy"))
+
+    def wanted() -> DataFrame:
+        firsts = known.filter("not copy")
+        return fine_segments(firsts.join(several_documents(firsts).select("h"), "h").select("doc_id", "place"), texts, length)
+
+    def found() -> DataFrame:
+        copies = known.filter("copy").select("doc_id", _tag(place).alias("tag"), _start(place).alias("start"),
+                                             (_start(place) + place.bitwiseAND(_COUNT) + (length - 1)).alias("end"))
+        return spans(copies.unionByName(shard_repeats(segments.filter("not hot"), length))
+                     .unionByName(string_repeats(segments.filter("hot"), length)))
+
+    # what a table was made of goes once it is stored
+    anchors = stored("anchors", lambda: repeated_anchors(texts, length))
+    shared = stored("segments", lambda: all_segments(texts, length).join(anchors, "h", "left_semi"))
+    delete_path(spark, f"{folder}/anchors")
+    known = stored("known", compared)
+    delete_path(spark, f"{folder}/segments")
+    fine = stored("fine", wanted)
+    segments = stored("bytes", lambda: fine.join(several_documents(fine).select("h", (F.col("n") > SHARD_SEGMENTS).alias("hot")), "h"))
+    delete_path(spark, f"{folder}/fine")
+    out = stored("spans", found)
+    for name in ("known", "bytes"):
         delete_path(spark, f"{folder}/{name}")
     return out
 
@@ -371,9 +412,8 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bytes' starts and ends, null if none) and ``kept`` (the bytes that remain)."""
     found = repeated_spans(docs, length)
     per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "spans")).alias("found"))
-    entries = found.agg(F.sum(F.size("spans") + 2)).first()[0] or 0
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = join_counted(rows, per_doc, "doc_id", "left", rows=entries).select("doc_id", "text", "found")
+    rows = rows.join(per_doc, "doc_id", "left").select("doc_id", "text", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
