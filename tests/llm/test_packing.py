@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from helpers import empty_docs, odd_docs
 
-from tidemark.llm.packing import HarmonicBins, WordTokenizer, pack, piece_lengths
+from tidemark.llm.packing import HarmonicBins, WordTokenizer, pack
 from tidemark.llm.vocabulary import vocabulary_path
 
 PATH = vocabulary_path("word_bpe_49k.json")
@@ -24,11 +24,19 @@ def test_chunks_give_the_ids_of_the_whole_text():
         assert tok(t) == array("I", ids(tok, t)[:-1]).tobytes()
 
 
+def test_a_batch_gives_the_ids_of_each_text():
+    import pyarrow as pa
+    tok, rng = WordTokenizer(PATH), random.Random(5)
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = ["".join(rng.choice(["one", "Zwei!", "...", "é", *spaces]) for _ in range(rng.randrange(50))) for _ in range(2000)] + [None, "", " a b "]
+    for t, got in zip(texts, tok.batch(pa.array([None, *texts]).slice(1)), strict=True):
+        assert got == array("I", ids(tok, t)[:-1]).tobytes()
+
+
 def test_small_cache_gives_the_same():
-    tok = WordTokenizer(PATH)
-    tok.words.half = tok.cache.half = 3
+    tok = WordTokenizer(PATH, limit=3)
     text = " ".join(f"abc{chr(97 + i % 7)}." for i in range(100))
-    assert tok(text) == array("I", ids(tok, text)[:-1]).tobytes()
+    assert tok("abc abd") and tok(text) == array("I", ids(tok, text)[:-1]).tobytes()
 
 
 @pytest.mark.parametrize("capacity", [8, 2048])
@@ -59,18 +67,56 @@ def test_pieces_cover_documents_and_sequences_have_no_padding(spark, capacity):
             assert r["offset"] == at
             at += r["length"]
         assert at <= capacity and at & (at - 1) == 0  # a power of two: nothing is padded
-        assert len({r["length"] for r in s}) == 1
 
 
-def test_bins_of_a_class_hold_a_fixed_number():
-    bins = HarmonicBins(8, 0)
-    out = [r for i in range(7) for r in bins.add(2, (i,))]
-    assert [r[1] for r in out] == [0, 0, 0, 0] and [r[2] for r in out] == [0, 2, 4, 6]
-    assert [r[1:] for r in bins.finish()] == [(1, 0), (1, 2), (2, 0)]
+def packed(lengths, capacity=8):
+    """(document, start, length, sequence, offset) of documents of these lengths."""
+    bins = HarmonicBins(capacity, 0)
+    rows = [r for d, n in enumerate(lengths) for r in bins.add(d, b"abcd" * n)]
+    return [(r[0], r[1], r[2], r[5], r[6]) for r in rows], [(r[0], r[1], r[2], r[5], r[6]) for r in bins.finish()]
 
 
-def test_piece_lengths():
-    assert piece_lengths(8 + 5, 8) == [8, 4, 1] and piece_lengths(0, 8) == [] and piece_lengths(16, 8) == [8, 8]
+def test_bins_of_a_class_hold_a_fixed_number():
+    # 3 is in (8/3, 8/2]: two a bin, its gap of two is cut off the next document
+    rows, rest = packed([3, 3, 4])
+    assert rows == [(0, 0, 3, 0, 0), (1, 0, 3, 0, 3), (2, 0, 2, 0, 6)] and rest == [(2, 2, 2, 1, 0)]
+    # 2 is in (8/5, 8/4]: four a bin; 5 in (8/2, 8]: one a bin
+    rows, rest = packed([2, 5, 2, 3, 2, 2, 2])
+    assert rows[:2] == [(1, 0, 5, 0, 0), (2, 0, 2, 0, 5)] and sum(r[2] for r in rows + rest) == 18
+    # whole sequences need no bin
+    assert packed([17])[0] == [(0, 0, 8, 0, 0), (0, 8, 8, 1, 0)]
+
+
+def test_open_bins_are_cut_into_powers_of_two():
+    rows, rest = packed([1, 1, 1, 1, 1, 2, 2, 2])
+    assert not rows
+    assert {s: sum(r[2] for r in rest if r[3] == s) for s in {r[3] for r in rest}} == {0: 8, 1: 2, 2: 1}
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_nothing_is_lost_and_bins_are_full(seed):
+    rng = random.Random(seed)
+    lengths = [rng.choice([1, 2, 3, 5, 7, 8, 9, 15, 40, 100]) for _ in range(rng.randrange(60))]
+    rows, rest = packed(lengths, 32)
+    for d, n in enumerate(lengths):
+        at = 0
+        for r in sorted(r for r in rows + rest if r[0] == d):
+            assert r[1] == at
+            at += r[2]
+        assert at == n
+    sizes = defaultdict(int)
+    for r in rows + rest:
+        assert r[4] == sizes[r[3]]
+        sizes[r[3]] += r[2]
+    assert all(sizes[r[3]] == 32 for r in rows) and all(n & (n - 1) == 0 for n in sizes.values())
+    assert len(rows) <= 3 * len(lengths) + sum(n // 32 for n in lengths)
+
+
+def test_merges_give_the_ids_of_the_tokenizer():
+    tok, rng = WordTokenizer(PATH), random.Random(7)
+    words = {"".join(rng.choice(["th", "er", "on", "ing", "é", "ß", "a", "qu", "e", "s", "ñ", "ł", "st", "tion"]) for _ in range(rng.randrange(1, 9))) for _ in range(20_000)}
+    words = sorted(words - {""})
+    assert list(tok.merges(words)) == [tok.encode(w) for w in words] and list(tok.merges([])) == []
 
 
 def test_empty_table_and_bad_capacity(spark):
