@@ -75,20 +75,20 @@ def test_generator_to_rolling_files_program(spark, scratch):
     """SinkFile: bounded rate-limited generator -> rolling text files by hour."""
     out = os.path.join(scratch, "out")
     gen = sources.generator_stream(spark, 40, rows_per_second=200)
-    q = sinks.rolling_text_sink(gen, out, roll_interval="1 second", max_records_per_file=10,
+    q = sinks.rolling_text_sink(gen, out, roll_interval="1 second", prefix="SinkToFile", suffix=".log",
                                 checkpoint=os.path.join(scratch, "ck"))
     deadline = time.time() + 90
     try:
         while time.time() < deadline:
             time.sleep(2)
             try:
-                if spark.read.text(out).count() >= 40:
+                if spark.read.option("recursiveFileLookup", "true").text(out).count() >= 40:
                     break
             except Exception:
                 pass
     finally:
         q.stop()
-    got = sorted(r.value for r in spark.read.text(out).collect())
+    got = sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(out).collect())
     assert got == sorted(f"输入数字为：{i}" for i in range(40))
 
 

@@ -6,34 +6,114 @@ from pyspark.sql import functions as F
 from support import rows
 from fixtures import HELLO_LINES, USER_LINES
 from streamutil import json_stream, write_batches
-from tidemark.streaming import sinks
+from tidemark.streaming import rolled, sinks
 from tidemark.streaming.run import run_bounded
 
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
 
+def written(spark, out):
+    """value -> file, and the files' sizes, of what readers see."""
+    df = spark.read.option("recursiveFileLookup", "true").text(out).select("value", "_metadata.file_path")
+    files = [f for f in glob.glob(os.path.join(out, "*", "*")) if not os.path.basename(os.path.dirname(f)).startswith("_")]
+    return sorted(r.value for r in df.collect()), files
+
+
 def test_rolling_text_sink_round_trip(spark, scratch):
     src = os.path.join(scratch, "in")
     recs = [{"value": v, "ts": f"2024-01-01T0{i % 3}:00:00"} for i, v in enumerate(HELLO_LINES * 3)]
     write_batches(src, [recs[:7], recs[7:]])
-    df = json_stream(spark, src, "value string, ts timestamp")
-    out = os.path.join(scratch, "out")
-    q = sinks.rolling_text_sink(df, out, time_col="ts", max_records_per_file=2,
-                                checkpoint=os.path.join(scratch, "ck"), available_now=True)
-    q.awaitTermination(120)
-    back = spark.read.text(out)
-    assert sorted(r.value for r in back.collect()) == sorted(HELLO_LINES * 3)
-    assert sorted(r.bucket for r in back.select("bucket").distinct().collect()) == [
-        "2024-01-01--00", "2024-01-01--01", "2024-01-01--02"]
-    files = [f for f in glob.glob(os.path.join(out, "bucket=*", "part-*")) if not f.endswith(".crc")]
-    assert len(files) >= 8  # at most 2 rows per file
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def run():
+        df = json_stream(spark, src, "value string, ts timestamp")
+        sinks.rolling_text_sink(df, out, time_col="ts", roll_bytes=20, prefix="SinkToFile", suffix=".log",
+                                checkpoint=ck, available_now=True).awaitTermination(120)
+
+    run()
+    values, files = written(spark, out)
+    assert values == sorted(HELLO_LINES * 3)
+    assert {os.path.basename(os.path.dirname(f)) for f in files} == {"2024-01-01--00", "2024-01-01--01", "2024-01-01--02"}
+    assert all(os.path.basename(f).startswith("SinkToFile-") and f.endswith(".log") for f in files)
+    longest = max(len(v.encode()) + 1 for v in HELLO_LINES)
+    assert len(files) >= 8 and max(map(os.path.getsize, files)) < 20 + longest
+    # the last batch again, as after a crash between the write and Spark's own commit
+    os.remove(os.path.join(ck, "commits", "1"))
+    for crc in glob.glob(os.path.join(ck, "commits", ".1.crc")):
+        os.remove(crc)
+    run()
+    again, names = written(spark, out)
+    assert again == values and sorted(names) == sorted(files)
+    assert not glob.glob(os.path.join(out, "_staging", "*"))
+
+
+def test_a_crash_between_manifest_and_moves_is_finished(scratch):
+    from pyspark import TaskContext
+    import pyarrow as pa
+
+    class Crash(Exception):
+        pass
+
+    class Once(rolled._StreamWriter):
+        def _fs(self):
+            fs, base = super()._fs()
+            moved = []
+
+            class Fs:
+                def __getattr__(self, name):
+                    return getattr(fs, name)
+
+                def move(self, a, b):
+                    if self is not None and "_staging" in a:
+                        moved.append(a)
+                        if len(moved) > 1:
+                            raise Crash
+                    fs.move(a, b)
+
+            return Fs(), base
+
+    out = os.path.join(scratch, "o")
+    batch = [pa.RecordBatch.from_arrays([pa.array([f"row {i}" for i in range(9)]), pa.array(["h"] * 9)], names=["value", "bucket"])]
+    opts = {"path": out, "writer_id": "w", "roll_bytes": "12"}
+    TaskContext._taskContext = context = TaskContext()
+    context._partitionId = 0
+    try:
+        first = Once(opts)
+        message = first.write(iter(batch))
+        try:
+            first.commit([message], 0)
+        except Crash:
+            pass
+        assert len(glob.glob(os.path.join(out, "h", "*"))) == 1
+        again = rolled._StreamWriter(opts)  # the replay after the restart
+        again.commit([again.write(iter(batch))], 0)
+        third = rolled._StreamWriter(opts)
+        third.abort([None, third.write(iter(batch))], 1)
+    finally:
+        TaskContext._taskContext = None
+    lines = [line for f in glob.glob(os.path.join(out, "h", "*")) for line in open(f).read().splitlines()]
+    assert sorted(lines) == [f"row {i}" for i in range(9)]
+    assert [os.path.basename(p) for p in glob.glob(os.path.join(out, "_commits", "*"))] == ["w-000000"]
 
 
 def test_text_buckets_batch(spark, scratch):
-    df = spark.createDataFrame([(v,) for v in HELLO_LINES], "value string")
+    df = spark.createDataFrame([(v,) for v in HELLO_LINES] + [(None,)], "value string")
     out = os.path.join(scratch, "b")
-    sinks.write_text_buckets(df, out, max_records_per_file=1)
-    assert sorted(r.value for r in spark.read.text(out).collect()) == sorted(HELLO_LINES)
+    sinks.write_text_buckets(df, out, roll_bytes=1, prefix="p", suffix=".txt")
+    values, files = written(spark, out)
+    assert values == sorted(["", *HELLO_LINES]) and len(files) == len(HELLO_LINES) + 1
+    sinks.write_text_buckets(spark.range(400_000).selectExpr("concat('line ', id) value"), os.path.join(scratch, "big"))
+    values, files = written(spark, os.path.join(scratch, "big"))
+    assert len(values) == 400_000 and max(map(os.path.getsize, files)) < rolled.ROLL_BYTES + 20
+
+
+def test_a_failed_batch_leaves_no_file(spark, scratch):
+    import pytest
+    out = os.path.join(scratch, "f")
+    df = spark.range(0, 1000, 1, 4).selectExpr("if(id = 999, raise_error('stop'), string(id)) value")
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_text_buckets(df, out)
+    assert not [f for f in glob.glob(os.path.join(out, "**", "*"), recursive=True) if os.path.isfile(f)]
 
 
 def test_jdbc_sink_replay_adds_no_rows(spark, scratch):

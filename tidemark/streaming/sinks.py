@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.ids import deterministic_id, random_id
-from tidemark.streaming.run import start
+from tidemark.streaming import rolled
+from tidemark.streaming.run import default_checkpoint, start
 
 # Fixed value: directory name layout of the rolling file sink's time buckets.
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
@@ -72,31 +73,30 @@ def with_time_bucket(df: DataFrame, time_col: str | None = None, fmt: str = BUCK
 
 
 def rolling_text_sink(df: DataFrame, path: str, value: str = "value", time_col: str | None = None,
-                      roll_interval: str = "10 seconds", max_records_per_file: int | None = None,
-                      checkpoint: str | None = None, **kw) -> StreamingQuery:
-    """K3: UTF-8 text rows into ``path/bucket=<yyyy-MM-dd--HH>/part-...``.
-
-    Files roll at every trigger (``roll_interval``) and, within a trigger, after
-    ``max_records_per_file`` rows (Spark rolls by rows, not bytes: size the row count for
-    the wanted file size). The sink commits files through its metadata log, so readers
-    never see a half-written batch and a restart does not duplicate files.
+                      roll_interval: str = "10 seconds", roll_bytes: int = rolled.ROLL_BYTES,
+                      prefix: str = "part", suffix: str = "", checkpoint: str | None = None, **kw) -> StreamingQuery:
+    """K3: UTF-8 text rows into ``path/<yyyy-MM-dd--HH>/<prefix>-...<suffix>``.
+
+    A file is closed when it has ``roll_bytes`` encoded bytes, and with its micro-batch, so
+    after ``roll_interval`` (the trigger). Each micro-batch is committed as a whole
+    (:mod:`tidemark.streaming.rolled`): a batch that comes again adds nothing. Read the
+    files with ``recursiveFileLookup``; unfinished ones are in folders that Spark skips.
     """
-    out = with_time_bucket(df.select(F.col(value).cast("string").alias("value"),
-                                     *([F.col(time_col)] if time_col else [])), time_col)
-    out = out.select("value", "bucket")
-    opts = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
-    return start(out, sink="text", path=path, partition_by=["bucket"], trigger=roll_interval,
-                 checkpoint=checkpoint, options=opts, **kw)
+    df.sparkSession.dataSource.register(rolled.RolledText)
+    out = with_time_bucket(df, time_col).select(F.col(value).cast("string").alias("value"), "bucket")
+    checkpoint = checkpoint or default_checkpoint(df)
+    return start(out, sink=rolled.FORMAT, trigger=roll_interval, checkpoint=checkpoint,
+                 options={"path": path, "prefix": prefix, "suffix": suffix, "roll_bytes": str(roll_bytes),
+                          "writer_id": rolled.writer_id(checkpoint)}, **kw)
 
 
 def write_text_buckets(df: DataFrame, path: str, value: str = "value", time_col: str | None = None,
-                       max_records_per_file: int | None = None) -> None:
-    """K3, batch form."""
+                       roll_bytes: int = rolled.ROLL_BYTES, prefix: str = "part", suffix: str = "") -> None:
+    """K3, batch form: all files or, if a task fails for good, none."""
+    df.sparkSession.dataSource.register(rolled.RolledText)
     out = with_time_bucket(df, time_col).select(F.col(value).cast("string").alias("value"), "bucket")
-    w = out.write.mode("append").partitionBy("bucket")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.text(path)
+    (out.write.format(rolled.FORMAT).mode("append").option("path", path).option("prefix", prefix)
+     .option("suffix", suffix).option("roll_bytes", str(roll_bytes)).save())
 
 
 # ---------------------------------------------------------------------------- K4 JDBC
