@@ -71,25 +71,44 @@ def test_checkpointed_line_count_program(spark, scratch):
     assert final == {"a": 3, "b": 1, "c": 1}
 
 
+def generated(spark, out):
+    df = spark.read.option("recursiveFileLookup", "true").text(out)
+    return sorted(int(r.value.removeprefix("输入数字为：")) for r in df.collect())
+
+
 def test_generator_to_rolling_files_program(spark, scratch):
-    """SinkFile: bounded rate-limited generator -> rolling text files by hour."""
+    """SinkFile: bounded rate-limited generator -> rolling text files by hour, by itself to
+    its end, with a restart on the way."""
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def begin():
+        gen = sources.generator_stream(spark, 3000, rows_per_second=100, partitions=3, name=os.path.basename(scratch))
+        return sinks.rolling_text_sink(gen, out, roll_interval="1 second", prefix="SinkToFile", suffix=".log", checkpoint=ck)
+
+    q = begin()
+    deadline = time.time() + 60
+    while time.time() < deadline and not (q.lastProgress and q.lastProgress["numInputRows"]):
+        time.sleep(0.2)
+    q.stop()
+    first = generated(spark, out)
+    assert 0 < len(first) < 3000 and first == list(range(len(first)))
+    sources.run_to_end(begin(), 3000, 90)
+    assert generated(spark, out) == list(range(3000))
+
+
+def test_generator_ends_under_available_now(spark, scratch):
     out = os.path.join(scratch, "out")
-    gen = sources.generator_stream(spark, 40, rows_per_second=200)
-    q = sinks.rolling_text_sink(gen, out, roll_interval="1 second", prefix="SinkToFile", suffix=".log",
-                                checkpoint=os.path.join(scratch, "ck"))
-    deadline = time.time() + 90
-    try:
-        while time.time() < deadline:
-            time.sleep(2)
-            try:
-                if spark.read.option("recursiveFileLookup", "true").text(out).count() >= 40:
-                    break
-            except Exception:
-                pass
-    finally:
-        q.stop()
-    got = sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(out).collect())
-    assert got == sorted(f"输入数字为：{i}" for i in range(40))
+    gen = sources.generator_stream(spark, 99_999, rows_per_second=None, partitions=14)
+    q = sinks.rolling_text_sink(gen, out, checkpoint=os.path.join(scratch, "ck"), available_now=True)
+    assert q.awaitTermination(90) and generated(spark, out) == list(range(99_999))
+
+
+def test_generator_ranges():
+    reader = sources._GeneratorReader({"count": "10", "tasks": "4"})
+    parts = reader.partitions({"next": 3}, {"next": 10})
+    assert [(p.first, p.end) for p in parts] == [(3, 4), (4, 6), (6, 8), (8, 10)]
+    assert reader.partitions({"next": 10}, {"next": 10}) == [] and reader.latestOffset() == {"next": 10}
+    assert [i for p in parts for b in reader.read(p) for i in b.column(0).to_pylist()] == list(range(3, 10))
 
 
 def test_users_to_jdbc_program(spark, scratch):
