@@ -175,6 +175,25 @@ SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
 FROM events GROUP BY ALL
 """,
     "window_process": _HOURLY_BY_USER,
+    "window_process_rows": f"""
+SELECT event_type, window_start, COUNT(*) AS n, COALESCE(MAX(gap), 0) AS longest_gap_us
+FROM (SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS window_start,
+             epoch_us(ts) - LAG(epoch_us(ts)) OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY ts, event_id) AS gap
+      FROM events)
+GROUP BY event_type, window_start
+""",
+    "window_user_aggregate": f"""
+SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS window_start, COUNT(*) AS n, CAST(SUM({CENTS}) AS BIGINT) AS cents,
+       CAST(COUNT(*) * SUM({CENTS} * {CENTS}) - SUM({CENTS}) * SUM({CENTS}) AS BIGINT) AS spread
+FROM events GROUP BY ALL
+""",
+    "window_fold_ordered": f"""
+SELECT event_type, FIRST(c ORDER BY ts, event_id) AS first_cents, LAST(c ORDER BY ts, event_id) AS last_cents,
+       COUNT(*) FILTER (WHERE c > before) AS rises
+FROM (SELECT event_type, ts, event_id, {CENTS} AS c,
+             LAG({CENTS}) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before FROM events)
+GROUP BY event_type
+""",
     "window_aggregate": f"""
 SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,

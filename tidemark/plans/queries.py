@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import formats, parse
 from tidemark.functions.time import cents, epoch_micros, interval
-from tidemark.operators import aggregates, joins, lateness, running, topn, windows
+from tidemark.operators import aggregates, joins, lateness, running, topn, user_functions, windows
 from tidemark.sources.tables import table
 
 # Fixed parameters of the query set.
@@ -186,6 +186,60 @@ def window_aggregate(spark, sf):
                                        F.sum("cents"), as_text=True, name="result")
 
 
+class CentsSpread(user_functions.UserAggregate):
+    """Count, sum and ``n * sum of squares - sum squared`` of whole cents."""
+
+    def create(self):
+        return 0, 0, 0
+
+    def add(self, state, rows):
+        cents = rows.column("cents").drop_null().to_pylist()
+        return state[0] + len(cents), state[1] + sum(cents), state[2] + sum(c * c for c in cents)
+
+    def merge(self, a, b):
+        return tuple(x + y for x, y in zip(a, b, strict=True))
+
+    def result(self, state):
+        n, total, squares = state
+        return {"n": n, "cents": total, "spread": n * squares - total * total}
+
+
+def _daily_events(spark, sf):
+    day = windows.tumbling("ts", "1 day")
+    return _with_cents(_events(spark, sf)).select("event_id", "event_type", "ts", "cents", day.start.alias("window_start"))
+
+
+def window_user_aggregate(spark, sf):
+    """A user's create / add / merge / result per event type and day."""
+    return user_functions.user_aggregate(_daily_events(spark, sf), ["event_type", "window_start"], CentsSpread(),
+                                         "n long, cents long, spread long")
+
+
+def _longest_gap(key, batches):
+    n, last, gap = 0, None, 0
+    for b in batches:
+        for t in b.column("us").to_pylist():
+            n, gap, last = n + 1, max(gap, t - last if n else 0), t
+    yield {**key, "n": n, "longest_gap_us": gap}
+
+
+def window_process_rows(spark, sf):
+    """A full-window function over the rows of each event type and day, in time
+    order: how many, and the longest time between two of them."""
+    events = _daily_events(spark, sf).withColumn("us", epoch_micros("ts"))
+    return user_functions.process_groups(events, ["event_type", "window_start"], _longest_gap,
+                                         "event_type string, window_start timestamp_ntz, n long, longest_gap_us long", order=["us", "event_id"])
+
+
+def window_fold_ordered(spark, sf):
+    """An ordered fold that is not commutative, per event type: the first and the last
+    value, and how often a value is above the one before."""
+    return user_functions.fold_ordered(
+        _daily_events(spark, sf), ["event_type"], ["ts", "event_id"], lambda r: (r["cents"], r["cents"], 0),
+        lambda a, b: (a[0], b[1], a[2] + b[2] + (b[0] > a[1])),
+        lambda s: {"first_cents": s[0], "last_cents": s[1], "rises": s[2]}, "first_cents long, last_cents long, rises long")
+
+
 def window_agg_process(spark, sf):
     """Per user and hour, the aggregate together with the true row count."""
     ev = _with_cents(_events(spark, sf))
@@ -226,14 +280,6 @@ def interval_join(spark, sf):
                                JOIN_BOUND, JOIN_BOUND)
 
 
-def interval_join_plain(spark, sf):
-    """J2, second bucketing: 30-minute time buckets, so each purchase reaches up to 9
-    buckets -- the same pairs as ``interval_join`` by a finer cut."""
-    clicks, purchases = _clicks_purchases(spark, sf)
-    return joins.interval_join(clicks, purchases, "user_id", "click_ts", "purchase_ts",
-                               JOIN_BOUND, JOIN_BOUND, bucket_width="30 minutes")
-
-
 def _join_sides_flagged(spark, sf):
     ev = _with_arrival(_events(spark, sf))
     clicks = ev.where(F.col("event_type") == "click").select(
@@ -245,6 +291,14 @@ def _join_sides_flagged(spark, sf):
     return lateness.join_lateness(clicks, purchases, "click_ts", "purchase_ts", ARRIVAL, DELAY)
 
 
+def interval_join_plain(spark, sf):
+    """J2, second bucketing: 30-minute time buckets, so each purchase reaches up to 9
+    buckets -- the same pairs as ``interval_join`` by a finer cut."""
+    clicks, purchases = _clicks_purchases(spark, sf)
+    return joins.interval_join(clicks, purchases, "user_id", "click_ts", "purchase_ts",
+                               JOIN_BOUND, JOIN_BOUND, bucket_width="30 minutes")
+
+
 def interval_join_late(spark, sf):
     """J3 main output: pairs within +-2 h whose two rows are both not late."""
     l, r = _join_sides_flagged(spark, sf)
@@ -382,6 +436,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_count_sliding": window_count_sliding,
     "window_reduce": window_reduce,
     "window_process": window_process,
+    "window_process_rows": window_process_rows,
+    "window_user_aggregate": window_user_aggregate,
+    "window_fold_ordered": window_fold_ordered,
     "window_aggregate": window_aggregate,
     "window_agg_process": window_agg_process,
     "window_label": window_label,
