@@ -65,3 +65,18 @@ def test_interval_join_of_wall_clock_times_where_clocks_change(spark):
                 assert found[z, day] == [(a, b) for a in range(10) for b in range(10) if abs(a - b) <= 2]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_window_join_drops_rows_behind_the_joint_watermark(spark):
+    """Windows of 10 s, delay 0: once both sides have passed 10, a row of [0, 10) joins
+    nothing; while one side lags, the watermark does too."""
+    left = spark.createDataFrame([("a", 1, 0, "l0"), ("a", 25, 2, "l1"), ("a", 3, 3, "l2"), ("a", 4, 5, "l3"), ("a", 26, 6, "l4")], "k string, t int, seq int, l string")
+    right = spark.createDataFrame([("a", 2, 1, "r0"), ("a", 21, 4, "r1"), ("a", 5, 7, "r2"), ("b", 26, 8, "r3")], "k string, t int, seq int, r string")
+    left, right = (x.withColumn(f"{c}t", F.timestamp_seconds("t")).drop("t") for x, c in ((left, "l"), (right, "r")))
+    out = joins.window_join_watermarked(left, right, "k", "lt", "rt", "10 seconds", ["seq"], "0 seconds")
+    # l2 comes while the right side is at 2 only; l3 and r2 come when both are past 20
+    assert out.columns == ["k", "window_start", "window_end", "l", "lt", "r", "rt"]
+    assert sorted((r.l, r.r) for r in out.collect()) == [("l0", "r0"), ("l1", "r1"), ("l2", "r0"), ("l4", "r1")]
+    # while one side has no row there is no watermark, and nothing is late
+    alone = joins.window_join_watermarked(left, right.where("r = 'r2'"), "k", "lt", "rt", "10 seconds", ["seq"], "0 seconds")
+    assert sorted((r.l, r.r) for r in alone.collect()) == [("l0", "r2"), ("l2", "r2"), ("l3", "r2")]

@@ -18,7 +18,7 @@ TOP_N_RANK_PARTS = ("Top 【 ", " 】\n")
 TOP_N_KEY = "age ="
 TOP_N_COUNT = "count ="
 TOP_N_END_PARTS = ("窗口i结束时间为：【 ", " 】\n")
-TOP_N_TIME_FORMAT = "yyyy-MM-dd HH-mm:ss.SSS"
+TOP_N_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 TOP_N_END = "******  end    *******\n"
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import epoch_micros, interval, interval_seconds
+from tidemark.operators.lateness import join_lateness
 
 
 def _rename_key(right: DataFrame, on: str) -> DataFrame:
@@ -43,6 +44,16 @@ def window_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_
     return j.select(on, "window_start", "window_end", *rest_l, *rest_r)
 
 
+def window_join_watermarked(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, size: str,
+                            arrival: Sequence[str], delay: str) -> DataFrame:
+    """J1 under the joint watermark of both inputs, without allowed lateness: a row that
+    arrives after its window has ended joins nothing. ``arrival`` orders the rows of both;
+    these columns are in both inputs and not in the output."""
+    l, r = join_lateness(left, right, left_ts, right_ts, arrival, delay, window=size)
+    gone = ["late", *arrival]
+    return window_join(l.where(~F.col("late")).drop(*gone), r.where(~F.col("late")).drop(*gone), on, left_ts, right_ts, size)
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str,
                   lower: str, upper: str, bucket_width: str | None = None) -> DataFrame:
     """Pairs with the same key and ``left_ts - lower <= right_ts <= left_ts + upper``

@@ -7,7 +7,8 @@ order, ``wm = max(event time of all earlier rows) - D``; null before the first r
 * window rows: *on time* if ``wm`` is null or ``window_end > wm``; *allowed late* if
   ``window_end + L > wm``; otherwise *late* (side output).
 * join rows: ``wm = min(max earlier left time, max earlier right time) - D``, null until
-  both sides have a row; a row is *late* if ``ts < wm``.
+  both sides have a row; a row is *late* if ``ts < wm`` (interval join) or if its window has
+  ended, ``window_end <= wm`` (window join).
 
 This is the per-row limit of a periodically emitted watermark, so the result does not
 depend on timing. Spark's own streaming late filter lags one micro-batch and drops
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import col, interval
-from tidemark.plans.prefix import Scan, materialize, prefix_scan
+from tidemark.plans.prefix import Scan, prefix_scan
 
 ON_TIME = "on_time"
 ALLOWED_LATE = "allowed_late"
@@ -99,8 +100,7 @@ def refinements(classified: DataFrame, keys: Sequence[str], arrival: Sequence[st
     """
     keys = list(keys)
     wkeys = keys + ["window_start", "window_end"]
-    # read twice below: classified once
-    classified = materialize(classified.select(*wkeys, *arrival, name))
+    classified = classified.select(*wkeys, *arrival, name)
     base = classified.groupBy(*wkeys).agg(
         F.count(F.when(F.col(name) == ON_TIME, 1)).alias("_tm_n0"))
     first = base.where(F.col("_tm_n0") > 0).select(
@@ -116,11 +116,14 @@ def refinements(classified: DataFrame, keys: Sequence[str], arrival: Sequence[st
 
 def join_lateness(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str,
                   arrival: Sequence[str], delay: str, ranges: int | None = None,
-                  bucket: Column | None = None) -> tuple[DataFrame, DataFrame]:
+                  bucket: Column | None = None, window: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Flag each row of both join inputs ``late`` under the joint watermark (the
-    minimum of the two sides'), both inputs sharing one arrival order.
+    minimum of the two sides'), both inputs sharing one arrival order. A row is late if its
+    time is below the watermark, or with ``window`` (the size of tumbling windows) if its
+    window's end is not above it.
 
-    Returns ``(left, right)`` with a boolean ``late`` column added.
+    Returns ``(left, right)`` with a boolean ``late`` column added. Both read the rows that
+    the scan has stored; nothing is stored a second time.
     """
     tagged = (left.withColumn("_tm_side", F.lit("L")).withColumn("_tm_t", F.col(left_ts))
               .unionByName(right.withColumn("_tm_side", F.lit("R"))
@@ -132,8 +135,8 @@ def join_lateness(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str
         ranges=ranges, bucket=bucket)
     wm = F.when(F.col("_tm_ml").isNotNull() & F.col("_tm_mr").isNotNull(),
                 F.least("_tm_ml", "_tm_mr") - interval(delay))
-    # both outputs are read from one stored scan
-    s = materialize(s.withColumn("late", F.coalesce(F.col("_tm_t") < wm, F.lit(False))))
+    past = F.col("_tm_t") < wm if window is None else F.window(F.col("_tm_t"), window).end <= wm
+    s = s.withColumn("late", F.coalesce(past, F.lit(False)))
     l_out = s.where(is_left).select(*left.columns, "late")
     r_out = s.where(~is_left).select(*right.columns, "late")
     return l_out, r_out

@@ -90,7 +90,8 @@ m AS (SELECT *, MAX(CASE WHEN is_left THEN ts END) OVER o AS ml,
                 MAX(CASE WHEN NOT is_left THEN ts END) OVER o AS mr
       FROM u WINDOW o AS (ORDER BY arrival, event_id
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-c AS (SELECT *, COALESCE(ts < CASE WHEN ml IS NOT NULL AND mr IS NOT NULL
+c AS (SELECT *, CASE WHEN ml IS NOT NULL AND mr IS NOT NULL THEN least(ml, mr) - INTERVAL 30 MINUTE END AS joint,
+                COALESCE(ts < CASE WHEN ml IS NOT NULL AND mr IS NOT NULL
                                    THEN least(ml, mr) - INTERVAL 30 MINUTE END, FALSE) AS late
       FROM m)
 """
@@ -221,6 +222,20 @@ FROM ({_CLICKS}) l JOIN ({_PURCHASES}) r
 """,
     "interval_join": _INTERVAL_JOIN,
     "interval_join_plain": _INTERVAL_JOIN,
+    "window_join_watermarked": f"""
+WITH {_JOIN_FLAGS},
+w AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM c
+      WHERE joint IS NULL OR time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR > joint)
+SELECT l.user_id, l.ws AS window_start, l.ws + INTERVAL 1 HOUR AS window_end, l.event_id AS click_id, l.ts AS click_ts,
+       r.event_id AS purchase_id, r.ts AS purchase_ts
+FROM w l JOIN w r ON l.user_id = r.user_id AND l.ws = r.ws WHERE l.is_left AND NOT r.is_left
+""",
+    "assigned_event_time": """
+SELECT o_orderkey, make_timestamp(o_orderkey * 1000000) AS event_ts FROM orders
+""",
+    "processing_stamps": """
+SELECT o_orderkey, true AS dated_today, true AS stamped, true AS hex_id FROM orders
+""",
     "interval_join_late": f"""
 WITH {_JOIN_FLAGS}
 SELECT l.user_id, l.event_id AS click_id, l.ts AS click_ts, r.event_id AS purchase_id,
@@ -273,7 +288,7 @@ SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, CAST(rk AS
 FROM r WHERE rk <= 2)
 SELECT window_end, '*********   start     ****' || chr(10)
   || string_agg('Top 【 ' || rank || ' 】' || chr(10) || 'age =' || user_id || chr(10) || 'count =' || n || chr(10), '' ORDER BY rank)
-  || '窗口i结束时间为：【 ' || strftime(window_end, '%Y-%m-%d %H-%M:%S.%g') || ' 】' || chr(10) || '******  end    *******' || chr(10) AS result
+  || '窗口i结束时间为：【 ' || strftime(window_end, '%Y-%m-%d %H:%M:%S.%g') || ' 】' || chr(10) || '******  end    *******' || chr(10) AS result
 FROM t GROUP BY window_end
 """,
     "late_events": f"""

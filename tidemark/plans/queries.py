@@ -19,7 +19,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import formats, parse
+from tidemark.functions import formats, ids, parse
 from tidemark.functions.time import cents, epoch_micros, interval
 from tidemark.operators import aggregates, joins, lateness, running, topn, user_functions, windows
 from tidemark.sources.tables import table
@@ -299,6 +299,31 @@ def interval_join_plain(spark, sf):
                                JOIN_BOUND, JOIN_BOUND, bucket_width="30 minutes")
 
 
+def window_join_watermarked(spark, sf):
+    """Clicks and purchases of the same user and hour, without rows that arrive when
+    the joint watermark has passed their hour."""
+    ev = _with_arrival(_events(spark, sf)).withColumn("seq", F.col("event_id"))
+    sides = [ev.where(F.col("event_type") == kind).select(
+        "user_id", F.col("event_id").alias(f"{kind}_id"), F.col("ts").alias(f"{kind}_ts"), "arrival", "seq")
+        for kind in ("click", "purchase")]
+    return joins.window_join_watermarked(*sides, "user_id", "click_ts", "purchase_ts", "1 hour", ["arrival", "seq"], DELAY)
+
+
+def assigned_event_time(spark, sf):
+    """Event time from an integer field, here the order key as seconds."""
+    orders = lateness.with_event_time(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "event_ts")
+    return orders.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+def processing_stamps(spark, sf):
+    """Current date and time and an id of 32 hex digits on every row. Their values differ by
+    run, so the result says of what kind they are."""
+    stamped = table(spark, sf, "orders").select("o_orderkey", F.current_date().alias("d"), F.current_timestamp().alias("t"),
+                                                ids.random_id().alias("id"))
+    return stamped.select("o_orderkey", (F.col("d") == F.to_date("t")).alias("dated_today"), F.col("t").isNotNull().alias("stamped"),
+                          F.col("id").rlike("^[0-9a-f]{32}$").alias("hex_id"))
+
+
 def interval_join_late(spark, sf):
     """J3 main output: pairs within +-2 h whose two rows are both not late."""
     l, r = _join_sides_flagged(spark, sf)
@@ -445,6 +470,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_join": window_join,
     "interval_join": interval_join,
     "interval_join_plain": interval_join_plain,
+    "window_join_watermarked": window_join_watermarked,
+    "assigned_event_time": assigned_event_time,
+    "processing_stamps": processing_stamps,
     "interval_join_late": interval_join_late,
     "interval_join_late_left": interval_join_late_left,
     "interval_join_late_right": interval_join_late_right,
