@@ -69,3 +69,31 @@ def test_odd_rows(spark):
     assert selected(docs, labels).count() == docs.count()
     assert resample(docs, labels.limit(0)).count() == docs.count()  # nothing to tell by
     assert resample(empty_docs(spark), labels).count() == 0 and selected(empty_docs(spark), labels).count() == 0
+
+
+def test_the_selection_is_the_top_k_of_the_noisy_weights(spark, monkeypatch):
+    """Played through by itself, with so little sharpness that the noise decides rows."""
+    from tidemark.llm import quality
+    monkeypatch.setattr(quality, "SHARPNESS", 2.0)
+    docs, labels = corpus(spark)
+    rows = selected(docs, labels).collect()
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if r["doc_id"] is not None and r["quality"] is not None}
+    cut = best_cut([(r["log_weight"], known[r["doc_id"]]) for r in rows if r["doc_id"] in known])
+    k = sum(r["log_weight"] >= cut for r in rows)
+    assert 0 < k < len(rows)
+    want = sorted(rows, key=lambda r: -r["noisy"])[:k]
+    assert {r["doc_id"] for r in rows if r["selected"]} == {r["doc_id"] for r in want}
+    assert {r["doc_id"] for r in want} != {r["doc_id"] for r in rows if r["log_weight"] >= cut}
+    # another k selects other rows, the best ones of the same order
+    _, less, scored = quality.fit(docs, labels)
+    fewer = kth_largest(scored, "noisy", k // 2)
+    assert fewer > less and scored.filter(scored["noisy"] >= fewer).count() == k // 2
+
+
+def test_label_sample_is_bounded_and_spread(spark):
+    from tidemark.llm.quality import labelled_sample
+    labels = spark.range(1000).selectExpr("id doc_id", "cast(id % 2 as int) quality")
+    assert labelled_sample(labels, "quality").count() == 1000
+    n = labelled_sample(labels, "quality", 300, bins=64).count()
+    assert 250 < n <= 300
+    assert labelled_sample(labels.union(labels), "quality", 300, bins=64).count() == n

@@ -97,13 +97,20 @@ def ngram_buckets(text: str | None) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)
 
 
-def labelled_sample(labels: DataFrame, column: str, rows: int = LABEL_ROWS) -> DataFrame:
-    """``label_id, label`` of at most ``rows`` labelled rows, those first by a hash of their
-    id; of several labels of an id the smallest counts. Rows with a null id or label are
-    left out."""
+def labelled_sample(labels: DataFrame, column: str, rows: int = LABEL_ROWS, bins: int = 4096) -> DataFrame:
+    """``label_id, label`` of at most ``rows`` labelled rows: all, or those whose id's hash is
+    in the first of ``bins`` equal ranges that hold no more (counted first, so nothing is
+    ordered in one task); of several labels of an id the smallest counts. Rows with a null
+    id or label are left out."""
     one = (labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
            .groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min(F.col(column).cast("int")).alias("label")))
-    return one.orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
+    at = F.pmod(F.xxhash64("label_id"), F.lit(bins))
+    counts = {r["at"]: r["count"] for r in one.groupBy(at.alias("at")).count().collect()}  # at most ``bins`` rows
+    cut, left = 0, rows
+    while cut < bins and counts.get(cut, 0) <= left:
+        left -= counts.get(cut, 0)
+        cut += 1
+    return one.filter(at < cut)
 
 
 def count_models(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, DataFram
     known = (scored.join(F.broadcast(sample), scored["doc_id"] == sample["label_id"])
              .groupBy("label_id").agg(F.min("log_weight").alias("w"), F.min("label").alias("y")))
     cut = best_cut([(r["w"], r["y"]) for r in known.collect()])  # at most LABEL_ROWS rows
-    k = scored.filter(F.col("noisy") >= cut).count()
+    # k doesn't depend on the noise: which rows the k are does
+    k = scored.filter(F.col("log_weight") >= cut).count()
     least = kth_largest(scored, "noisy", k) if k else float("inf")
     return ratios, least, scored
 

@@ -34,8 +34,6 @@ LABEL_ROWS = 20_000  # labelled rows that everything here is fitted on
 STEM_CHARS = (3, 10)
 LEAST_ROWS = 5  # toxic rows that must hold a term
 LEAST_LOG_ODDS = 3.0
-CANDIDATES = 20_000
-TERMS = 1000
 WINDOW = 6
 
 # Words of address and of reporting in the languages of the corpora: fixed values.
@@ -323,7 +321,7 @@ def pick_terms(rows: list[tuple[str, int, float]]) -> list[str]:
                 break
             at = nxt[0]
         taken.append(at)
-    return sorted(sorted(taken, key=lambda t: -by[t][0] * by[t][1])[:TERMS])
+    return sorted(taken)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Model:
@@ -366,8 +364,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Model:
     found = []
     if n_toxic and n_clean:
         found = (sums.filter(F.col("stem") != "").withColumn("w", odds).filter((F.col("toxic") >= LEAST_ROWS) & (F.col("w") >= LEAST_LOG_ODDS))
-                 .orderBy(F.desc(F.col("toxic") * F.col("w")), "stem").limit(CANDIDATES).collect())
-    terms = pick_terms([(r["stem"], r["toxic"], r["w"]) for r in found])
+                 .collect())  # words of at most ``rows`` labelled rows
+    terms = pick_terms(sorted(((r["stem"], r["toxic"], r["w"]) for r in found), key=lambda t: (-t[1] * t[2], t[0])))
     if not terms:
         return Model([], np.zeros(1), np.array([-5.0, 0, 0, 0, 0, 0, 0]))
 
@@ -377,8 +375,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Model:
             yield b.filter(pa.array([bool((m := lexicon.match(w)) and m[1]) for w in b.column("word").to_pylist()], pa.bool_()))
 
     own = words.filter((F.col("word") != "") & (F.col("clean") >= 2) & (F.col("clean") * n_toxic >= F.col("toxic") * n_clean))
-    known = frozenset(r["word"] for r in own.select("word", "clean").mapInArrow(misspelt, "word string, clean long")
-                      .orderBy(F.desc("clean"), "word").limit(CANDIDATES).collect())
+    known = frozenset(r["word"] for r in own.select("word").mapInArrow(misspelt, "word string").collect())
 
     def read_rows(without: frozenset[int]) -> list[dict]:
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
