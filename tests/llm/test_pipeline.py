@@ -62,7 +62,7 @@ def test_stages_on_planted_documents(spark):
 def test_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(entry.oracle_sql())
 
 

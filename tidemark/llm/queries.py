@@ -125,28 +125,6 @@ p AS (
 r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
-""",
-    "op12_suffix_dedup": """
-WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-s AS (SELECT doc_id, unnest(range(0, len(x) // 2 - 49)) AS i, x FROM b WHERE len(x) >= 100 AND doc_id IS NOT NULL),
-w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS string FROM s),
-least AS (SELECT string, min(doc_id) AS lo FROM w GROUP BY string),
-hits AS (SELECT w.doc_id, w.i FROM w JOIN least ON w.string = least.string WHERE w.doc_id > least.lo),
-covered AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS i FROM hits),
-starts AS (
-  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM covered),
-removed AS (
-  SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE before IS NULL OR before < i - 1) AS spans, list(i) AS places
-  FROM starts GROUP BY doc_id),
-bytes AS (
-  SELECT b.doc_id, unnest(range(0, len(b.x) // 2)) AS i, b.x FROM b JOIN removed r ON b.doc_id = r.doc_id),
-kept AS (
-  SELECT bytes.doc_id, string_agg(substr(bytes.x, 2 * bytes.i + 1, 2), '' ORDER BY bytes.i) AS x
-  FROM bytes LEFT JOIN covered c ON bytes.doc_id = c.doc_id AND bytes.i = c.i WHERE c.i IS NULL GROUP BY bytes.doc_id)
-SELECT b.doc_id, CAST(len(b.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
-       CAST(coalesce(r.spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(CASE WHEN r.n IS NULL THEN b.x ELSE coalesce(kept.x, '') END)) AS kept_sha256
-FROM b LEFT JOIN removed r ON b.doc_id = r.doc_id LEFT JOIN kept ON b.doc_id = kept.doc_id
 """,
     "op13_filter_audit": AUDIT_SQL,
 }
