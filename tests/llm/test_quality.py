@@ -94,6 +94,6 @@ def test_label_sample_is_bounded_and_spread(spark):
     from tidemark.llm.quality import labelled_sample
     labels = spark.range(1000).selectExpr("id doc_id", "cast(id % 2 as int) quality")
     assert labelled_sample(labels, "quality").count() == 1000
-    n = labelled_sample(labels, "quality", 300, bins=64).count()
+    n = labelled_sample(labels, "quality", 300).count()
     assert 250 < n <= 300
-    assert labelled_sample(labels.union(labels), "quality", 300, bins=64).count() == n
+    assert labelled_sample(labels.union(labels), "quality", 300).count() == n

@@ -5,7 +5,7 @@ import re
 import numpy as np
 from helpers import DOC_SCHEMA, empty_docs, invented, odd_docs
 
-from tidemark.llm.secrets import INSIDE, OUT, Field, Tagger, base_spans, find_secrets, secret_report, tokens_of, train, training_windows
+from tidemark.llm.secrets import INSIDE, OUT, Field, Tagger, base_spans, find_secrets, fit, secret_report, tokens_of, train, training_windows
 
 KINDS = ["assign", "access", "hex", "crf"]
 
@@ -76,6 +76,39 @@ def test_field_finds_what_it_was_not_shown():
     assert train([(["a"], [0], 0)]) is None
 
 
+def test_field_adds_secrets_that_no_pattern_matches(spark):
+    """Plants under names and in alphabets the patterns don't have; half of the names are not
+    in the training either. Settings that are no secrets stand in as many texts."""
+    rng, alphabet = random.Random(9), "ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789"
+    shown = [(i, t, "en", "s", 1) for i, t in enumerate(secret_texts(400, 5))]
+    field = fit(spark.createDataFrame(shown, DOC_SCHEMA))
+    rows, want = [], {}
+    for i in range(1000, 1200):
+        w = invented(rng.randint(10, 60), i)
+        at = rng.randint(0, len(w))
+        if i % 2:
+            value = "".join(rng.choices(alphabet, k=rng.choice([16, 24])))
+            plant = rng.choice(["passphrase: {}", "credential = \"{}\"", "auth_code={}", "login_key: {}", "my-pass='{}'"]).format(value)
+        else:
+            value, plant = None, rng.choice(["version: 3.11", "name = \"main\"", "retries=12", "colour: blue", "limit='500'"])
+        text = " ".join([*w[:at], plant, *w[at:]])
+        assert not plain_base(text)
+        rows.append((i, text))
+        want[i] = (text.index(value), text.index(value) + len(value)) if value else None
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOC_SCHEMA)
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "crf"] for r in find_secrets(docs, field).collect()}
+    recall = sum(v in got[i] for i, v in want.items() if v) / 100
+    false = sum(len(got[i]) for i, v in want.items() if not v)
+    print(f"recall {recall}, false spans {false} in 100 texts")
+    assert recall >= 0.9 and false <= 3
+
+
+def test_a_very_long_token_trains_in_a_few_characters():
+    text = "token = " + "a1" * 500_000 + " and on"
+    windows = training_windows(text, 3)
+    assert len(windows) == 4 and all(len(s) < 16 and len(w or "") <= 48 for toks, _, _ in windows for s, w in toks)
+
+
 def test_report(spark):
     texts = secret_texts(120, 3)
     docs = odd_docs(spark, texts)

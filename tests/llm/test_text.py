@@ -36,3 +36,18 @@ def test_joins_beyond_the_broadcast_bound_give_the_same(spark, monkeypatch):
         assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_first_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.text import first_by_hash
+
+    rows = spark.range(20_000).withColumn("at", F.xxhash64("id")).withColumn("third", F.col("id") % 3 == 0)
+    order = [(r["at"] % (1 << 64) >> 1, r["id"], r["third"]) for r in rows.collect()]
+    for limit in (1, 70, 5000, 20_000, 50_000):
+        got = {r["id"] for r in first_by_hash(rows, F.col("at"), [(F.lit(True), limit)]).collect()}
+        assert got == {i for _, i, _ in sorted(order)[:len(got)]} and min(limit, 20_000) * 0.93 - 3 <= len(got) <= limit
+    both = first_by_hash(rows, F.col("at"), [(F.lit(True), 300), (F.col("third"), 300)]).collect()
+    assert sum(r["third"] for r in both) <= 300 and 450 <= len(both) <= 600 and len({r["id"] for r in both}) == len(both)
+    assert first_by_hash(rows.limit(0), F.col("at"), [(F.lit(True), 5)]).count() == 0

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.near_dedup import mix
-from tidemark.llm.text import ChunkCache, slices_at_space
+from tidemark.llm.text import ChunkCache, first_by_hash, slices_at_space
 from tidemark.session import ensure_checkpoint_dir
 
 BUCKETS = 1 << 14
@@ -97,20 +97,13 @@ def ngram_buckets(text: str | None) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)
 
 
-def labelled_sample(labels: DataFrame, column: str, rows: int = LABEL_ROWS, bins: int = 4096) -> DataFrame:
-    """``label_id, label`` of at most ``rows`` labelled rows: all, or those whose id's hash is
-    in the first of ``bins`` equal ranges that hold no more (counted first, so nothing is
-    ordered in one task); of several labels of an id the smallest counts. Rows with a null
-    id or label are left out."""
+def labelled_sample(labels: DataFrame, column: str, rows: int = LABEL_ROWS) -> DataFrame:
+    """``label_id, label`` of at most ``rows`` labelled rows: all, or those first by a hash of
+    the id; of several labels of an id the smallest counts. Rows with a null id or label
+    are left out."""
     one = (labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
            .groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min(F.col(column).cast("int")).alias("label")))
-    at = F.pmod(F.xxhash64("label_id"), F.lit(bins))
-    counts = {r["at"]: r["count"] for r in one.groupBy(at.alias("at")).count().collect()}  # at most ``bins`` rows
-    cut, left = 0, rows
-    while cut < bins and counts.get(cut, 0) <= left:
-        left -= counts.get(cut, 0)
-        cut += 1
-    return one.filter(at < cut)
+    return first_by_hash(one, F.xxhash64("label_id"), [(F.lit(True), rows)])
 
 
 def count_models(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

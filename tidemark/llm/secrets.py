@@ -4,7 +4,9 @@ The field tags tokens as begin, inside or outside of a secret. Its features are
 shape (kind of characters, length, variety), the shapes and words of the three tokens
 before and of the one behind, and a feature of the whole file (how much of it isn't
 prose). It is trained here on windows of a bounded sample, with the patterns' matches as
-labels, and so also finds strings that look and stand like those without matching them.
+labels, and on copies of them in which a match is put in other words: under another name,
+in other characters or shorter, so that no pattern matches it any more, or as a plain
+setting that is no secret. So it finds secrets that the patterns miss.
 
 Decoding is exact Viterbi. A token whose outside score leads by more than any change of
 its transitions could make up is outside on the best path, so the path is worked out only
@@ -14,6 +16,7 @@ table and gathered with array operations.
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import ChunkCache, slices_at_space
+from tidemark.llm.text import ChunkCache, first_by_hash, slices_at_space
 
 TRAIN_DOCS = 3000  # half of them with a match of a pattern, if there are so many
-WINDOWS_PER_DOC = 4
 WINDOW = 40
 STEPS, RATE, L2 = 120, 0.3, 0.002
 
@@ -102,24 +104,76 @@ def tokens_of(text: str) -> Iterator[tuple[str, int]]:
             yield m.group(), c.start() + m.start()
 
 
-def training_windows(text: str, seed: int) -> list[tuple[list[str], list[int], int]]:
-    """At most ``WINDOWS_PER_DOC`` windows (tokens, tags, file bucket): around the first
-    secrets, and one elsewhere."""
-    toks = list(tokens_of(text))
-    if not toks:
-        return []
+def described(token: str) -> tuple[str, str | None]:
+    """What the field sees of a token: its shape and, for a word, the word. Both are short."""
+    word = len(token) <= 48 and token.replace("_", "").replace("-", "").isalpha()
+    return shape_of(token), token.lower() if word else None
+
+
+# How secrets are put in other words for the training: names that no pattern has, ways to
+# write them, and settings that are no secrets.
+NAMES = ("passphrase", "credential", "private_key", "access_key", "auth", "pwd", "bearer", "client-key", "pin", "signature")
+SETTINGS = ("version", "name", "count", "mode", "size", "path", "user", "date", "level", "id")
+WRITTEN = ("{}={}", "{}: {}", '{} = "{}"', "{}='{}'", '"{}": "{}"')
+_ALPHABETS = ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789abcdef",
+              "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+
+def reworded(seed: int, secret: bool) -> tuple[str, int, int]:
+    """A secret that the patterns don't match, or a setting: the text, and the span of the
+    value (empty for a setting)."""
+    rng = random.Random(seed)
+    if not secret:
+        value = rng.choice([str(rng.randrange(10_000)), f"{rng.randrange(20)}.{rng.randrange(20)}", rng.choice(("true", "none", "default", "main"))])
+        return rng.choice(WRITTEN).format(rng.choice(SETTINGS), value), 0, 0
+    value = "".join(rng.choices(rng.choice(_ALPHABETS), k=rng.randrange(12, 31)))
+    text = rng.choice(WRITTEN).format(rng.choice(NAMES), value)
+    at = text.index(value)
+    return text, at, at + len(value)
+
+
+def _tagged(toks: list[tuple[str, int]], values: list[tuple[int, int]]) -> tuple[list, list[int], list[int]]:
+    """Tokens, tags, and the places where values begin."""
     tags = [OUT] * len(toks)
     starts = np.array([s for _, s in toks])
     ends = starts + np.array([len(t) for t, _ in toks])
     hits = []
-    for a, b in value_spans(text):
+    for a, b in values:
         i, j = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))
         if i < j:
             tags[i:j] = [BEGIN] + [INSIDE] * (j - i - 1)
             hits.append(i)
-    at = [max(0, h - WINDOW // 2) for h in hits[:WINDOWS_PER_DOC - 1]] + [seed % len(toks)]
+    return toks, tags, hits
+
+
+def training_windows(text: str, seed: int) -> list[tuple[list[tuple[str, str | None]], list[int], int]]:
+    """At most four windows (described tokens, tags, file bucket): around a secret and one
+    elsewhere; and the former twice more, with the match and its name put in other words
+    and with a plain setting in its place."""
+    toks = list(tokens_of(text))
+    if not toks:
+        return []
     bucket = file_bucket(sum(t.isalpha() for t, _ in toks), len(toks))
-    return [([t for t, _ in toks[a:a + WINDOW]], tags[a:a + WINDOW], bucket) for a in at]
+    toks, tags, hits = _tagged(toks, value_spans(text))
+
+    def window(toks: list[tuple[str, int]], tags: list[int], at: int) -> tuple:
+        return [described(t) for t, _ in toks[at:at + WINDOW]], tags[at:at + WINDOW], bucket
+
+    out = [window(toks, tags, seed % len(toks))]
+    if hits:
+        out.append(window(toks, tags, max(0, hits[seed % len(hits)] - WINDOW // 2)))
+        spans = base_spans(text)
+        _, start, end = spans[seed % len(spans)]
+        # enough text on both sides for a window, without other matches
+        left = max([0, start - 400, *(e for _, _, e in spans if e <= start)])
+        right = min([len(text), end + 400, *(s for _, s, _ in spans if s >= end)])
+        for secret in (True, False):
+            new, a, b = reworded(seed, secret)
+            part, at = text[left:start] + new + text[end:right], start - left
+            new_toks, new_tags, _ = _tagged(list(tokens_of(part)), [(at + a, at + b)] if secret else [])
+            first = sum(p < at for _, p in new_toks)
+            out.append(window(new_toks, new_tags, max(0, first - WINDOW // 2)))
+    return out
 
 
 class Field:
@@ -137,9 +191,9 @@ class Field:
         return into + onward
 
 
-def _features(tokens: list[str], bucket: int, words: frozenset) -> list[list]:
-    shapes = [shape_of(t) for t in tokens]
-    named = [t.lower() if t.lower() in words else None for t in tokens]
+def _features(tokens: list[tuple[str, str | None]], bucket: int, words: frozenset) -> list[list]:
+    shapes = [shape for shape, _ in tokens]
+    named = [word if word in words else None for _, word in tokens]
     out = []
     for i in range(len(tokens)):
         f: list = [("file", bucket)]
@@ -152,7 +206,7 @@ def _features(tokens: list[str], bucket: int, words: frozenset) -> list[list]:
     return out
 
 
-def train(windows: list[tuple[list[str], list[int], int]]) -> Field | None:
+def train(windows: list[tuple[list[tuple[str, str | None]], list[int], int]]) -> Field | None:
     """Maximum conditional likelihood by gradient ascent; None without any tagged token."""
     if not any(any(tags) for _, tags, _ in windows):
         return None
@@ -160,7 +214,7 @@ def train(windows: list[tuple[list[str], list[int], int]]) -> Field | None:
     for toks, tags, _ in windows:
         for i, tag in enumerate(tags):
             if tag == BEGIN:
-                near.update({t.lower() for t in toks[max(0, i - 3):i] if t.isalpha()})
+                near.update({word for _, word in toks[max(0, i - 3):i] if word})
     words = frozenset(w for w, n in near.items() if n >= 3)
     feats = [_features(t, b, words) for t, _, b in windows]
     names = sorted({f for w in feats for t in w for f in t}, key=repr)
@@ -306,22 +360,23 @@ def _runs(tags: list[int]) -> list[tuple[int, int]]:
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Field | None:
     """A field trained on windows of at most ``train_docs`` rows: those first by a hash of id
-    and text, half of them among texts that may have a match."""
+    and text, half of them among texts that may have a match. A secret in them that no
+    pattern matches counts as outside, so such ones should be rarer than matches."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
     rows = rows.withColumn("at", F.xxhash64("doc_id", "text"))
-    some = rows.orderBy("at").limit(train_docs - train_docs // 2)
-    cued = rows.filter(F.col("text").rlike(SAMPLE_CUE)).orderBy("at").limit(train_docs // 2)
+    chosen = first_by_hash(rows, F.col("at"), [(F.lit(True), train_docs - train_docs // 2), (F.col("text").rlike(SAMPLE_CUE), train_docs // 2)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [w for text, at in zip(b.column("text"), b.column("at").to_pylist(), strict=True)
                    for w in training_windows(text.as_py(), at)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w[0] for w in out], pa.list_(pa.string())), pa.array([w[1] for w in out], pa.list_(pa.int64())),
-                 pa.array([w[2] for w in out], pa.int64())], names=["tokens", "tags", "bucket"])
+                [pa.array([[s for s, _ in w[0]] for w in out], pa.list_(pa.string())), pa.array([[n for _, n in w[0]] for w in out], pa.list_(pa.string())),
+                 pa.array([w[1] for w in out], pa.list_(pa.int64())), pa.array([w[2] for w in out], pa.int64())],
+                names=["shapes", "words", "tags", "bucket"])
 
-    found = some.union(cued).select("text", "at").mapInArrow(run, "tokens array<string>, tags array<long>, bucket long")
-    return train(sorted((list(r["tokens"]), list(r["tags"]), r["bucket"]) for r in found.collect()))
+    found = chosen.select("text", "at").mapInArrow(run, "shapes array<string>, words array<string>, tags array<long>, bucket long")
+    return train(sorted(((list(zip(r["shapes"], r["words"], strict=True)), list(r["tags"]), r["bucket"]) for r in found.collect()), key=repr))
 
 
 def find_secrets(docs: DataFrame, field: Field | None = None) -> DataFrame:
