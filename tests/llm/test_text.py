@@ -51,3 +51,25 @@ def test_first_by_hash(spark):
     both = first_by_hash(rows, F.col("at"), [(F.lit(True), 300), (F.col("third"), 300)]).collect()
     assert sum(r["third"] for r in both) <= 300 and 450 <= len(both) <= 600 and len({r["id"] for r in both}) == len(both)
     assert first_by_hash(rows.limit(0), F.col("at"), [(F.lit(True), 5)]).count() == 0
+
+
+def test_workers_keep_no_cache_behind_a_task(spark):
+    import pyarrow as pa
+
+    import corpus_pipeline as cp
+
+    docs = spark.createDataFrame([(i, " ".join(f"word{i * j % 7919}x" for j in range(60)), "en", "s", 1) for i in range(400)], DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    kept = cp.resample(docs.repartition(4), labels).count()
+    assert 0 < kept <= 400
+    assert cp.keep_one_of_each(docs.repartition(4)).count() <= 400
+    assert cp.pack(docs.repartition(4), cp.vocabulary_path(cp.PACK_VOCABULARY)).count() >= 400
+
+    def sizes(batches):
+        from tidemark.llm import near_dedup, packing, quality
+        caches = [quality._CODES, near_dedup._WORD_HASHES, *[c for t in packing._TOKENIZERS.values() for c in (t.others, t.words)]]
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([sum(len(c) + len(getattr(c, "older", ())) for c in caches)])], names=["n"])
+
+    assert [r["n"] for r in spark.range(0, 64, 1, 8).mapInArrow(sizes, "n long").collect()] == [0] * 8

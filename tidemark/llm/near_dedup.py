@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import ChunkCache
+from tidemark.llm.text import ChunkCache, release
 from tidemark.session import ensure_checkpoint_dir
 
 SHINGLE_WORDS = 5
@@ -167,6 +167,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("key"), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
              pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "sig", "bands"])
+    release(_WORD_HASHES)
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,6 +195,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(common >= SIMILARITY * (len(x) + len(y) - common) - 1e-9)
         yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    release(_WORD_HASHES)
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tidemark.llm.induced import ranges
-from tidemark.llm.text import UNSHARED_SPACE, ChunkCache
+from tidemark.llm.text import UNSHARED_SPACE, ChunkCache, release
 
 CAPACITY = 2048
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -94,6 +94,11 @@ class WordTokenizer:
             ids.byteswap()
         return ids.tobytes()
 
+    def release(self) -> None:
+        """At the end of a task; the vocabulary stays."""
+        self.words = {}
+        release(self.others)
+
     def chunks(self, chunks: pa.StringArray) -> list[bytes]:
         """The ids of distinct chunks. Words are remembered up to ``limit``, and never fewer
         than those at hand."""
@@ -247,6 +252,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, capacity: int
                 if len(rows) >= 50_000:
                     yield batch()
         rows += bins.finish()
+        tokenizer.release()
         if rows:
             yield batch()
 

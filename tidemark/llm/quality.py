@@ -19,14 +19,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.near_dedup import mix
-from tidemark.llm.text import ChunkCache, first_by_hash, slices_at_space
+from tidemark.llm.text import ChunkCache, first_by_hash, release, slices_at_space
 from tidemark.session import ensure_checkpoint_dir
 
 BUCKETS = 1 << 14
@@ -72,6 +71,11 @@ def _chunk_code(chunk: str) -> int:
 _CODES = ChunkCache(_chunk_code)
 
 
+def end_of_task() -> None:
+    """A function of the module, since what a nested one names is sent to the worker as a copy."""
+    release(_CODES)
+
+
 def ngram_buckets(text: str | None) -> np.ndarray:
     """Buckets of all n-grams of a text; a text without words has none."""
     out = []
@@ -121,6 +125,7 @@ def count_models(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
                 total[0] += c
                 if label is not None:
                     total[1 if label == 1 else 2] += c
+        end_of_task()
         seen = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays([pa.array(seen), *[pa.array(t[seen]) for t in total]], names=["bucket", "raw", "good", "bad"])
 
@@ -145,14 +150,16 @@ def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
 def weight_column(text: Column, ratios: np.ndarray) -> Column:
     """The log weight of a text: the mean log ratio of its n-grams times ``SHARPNESS``; 0 for
     a text without words."""
-    @F.pandas_udf("double")
-    def log_weight(texts: pd.Series) -> pd.Series:
-        out = np.zeros(len(texts))
-        for i, t in enumerate(texts):
-            x = ngram_buckets(t)
-            if len(x):
-                out[i] = SHARPNESS * float(ratios[x].sum()) / len(x)
-        return pd.Series(out)
+    @F.arrow_udf("double")
+    def log_weight(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = np.zeros(len(texts))
+            for i, t in enumerate(texts):
+                x = ngram_buckets(t.as_py())
+                if len(x):
+                    out[i] = SHARPNESS * float(ratios[x].sum()) / len(x)
+            yield pa.array(out)
+        end_of_task()
 
     return log_weight(text.cast("string"))
 
